@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,3 +40,13 @@ def dropped(df: DataFrame) -> None:
     for f in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
         path = sc._jvm.org.apache.hadoop.fs.Path(f)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join of rows whose keys may be very uneven with a table that has a key once.
+
+    A hash of the keys joins along. It is made after whatever grouped ``small``, so both sides get their own
+    exchange, which is what AQE needs to split the partitions of a hot key.
+    """
+    k = F.xxhash64(*keys)
+    return big.withColumn("_k", k).join(small.withColumn("_k", k), ["_k", *keys], how).drop("_k")
