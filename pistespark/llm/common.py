@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +44,16 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], salt: str, value: C
     totals = df.withColumn("_v", value).groupBy(*keys, salt).agg(F.sum("_v").alias("_t"))
     totals = totals.withColumn("_off", F.sum("_t").over(far.rowsBetween(before, Window.currentRow)) - F.col("_t")).drop("_t")
     return inner.join(totals, [*keys, salt]).withColumn(out, (F.col("_off") + F.col("_in")).cast("long")).drop("_v", "_in", "_off")
+
+
+def slices(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text's bytes in slices that end at ASCII white space, so that no word is cut and memory stays bounded."""
+    at = 0
+    while len(data) - at > size:
+        end = max(data.rfind(s, at, at + size) for s in (b" ", b"\n", b"\t"))
+        end = end + 1 if end > at else at + size
+        while end < len(data) and data[end] & 0xC0 == 0x80:
+            end += 1
+        yield data[at:end]
+        at = end
+    yield data[at:]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pistespark.llm import exact_dedup, mixing, packing
+from pistespark.llm import exact_dedup, language, mixing, packing, repetition, simhash, toxicity, url_filter
 from pistespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,29 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, sf_dir, "pages"), url_filter.labelled(table(spark, sf_dir, "labels")))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op7_exact_dedup)}
-SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op5_simhash, op6_repetition, op7_exact_dedup, op9_language, op10_toxicity)}
+SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL, "op7_exact_dedup": exact_dedup.SQL}
