@@ -95,7 +95,8 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, see
     take = F.when(F.col("epoch") == F.col("s.epochs"), F.least(left, F.lit(block).cast("long"))).otherwise(F.lit(block).cast("long"))
     drawn = permuted(F.col("place"), F.col("s.blocks"), F.lit(seed), F.col("s.src"), F.col("epoch"))
     slots = slots.select(F.expr(f"id div {shard_slots}").alias("shard"), (F.col("id") % shard_slots).alias("slot"), F.col("s.src").cast("int").alias("src"), "epoch", drawn.alias("block"), take.alias("take"))
-    return placed, slots
+    # a table: else the join's null filters pull the permutations, written out many times over, below it
+    return placed, written(slots, "slots")
 
 
 def pieces(placed: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
