@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -50,3 +51,9 @@ def spread_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
     """
     k = F.xxhash64(*keys)
     return big.withColumn("_k", k).join(small.withColumn("_k", k), ["_k", *keys], how).drop("_k")
+
+
+def released(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished jobs whose results are tables by now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
