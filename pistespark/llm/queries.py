@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pistespark.llm import exact_dedup, language, mixing, packing, repetition, simhash, toxicity, url_filter
+from pistespark.llm import exact_dedup, language, mixing, packing, repetition, simhash, suffix_dedup, toxicity, url_filter
 from pistespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -44,5 +48,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op5_simhash, op6_repetition, op7_exact_dedup, op9_language, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op5_simhash, op6_repetition, op7_exact_dedup, op8_suffix_dedup, op9_language, op10_toxicity)}
 SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL, "op7_exact_dedup": exact_dedup.SQL}
