@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pistespark.llm import exact_dedup, language, mixing, packing, repetition, simhash, suffix_dedup, toxicity, url_filter
+from pistespark.llm import exact_dedup, language, language_model, mixing, packing, repetition, simhash, suffix_dedup, toxicity, url_filter
 from pistespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(table(spark, sf_dir, "pages"), url_filter.labelled(table(spark, sf_dir, "labels")))
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -48,5 +52,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op5_simhash, op6_repetition, op7_exact_dedup, op8_suffix_dedup, op9_language, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_model, op5_simhash, op6_repetition, op7_exact_dedup, op8_suffix_dedup, op9_language, op10_toxicity)}
 SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL, "op7_exact_dedup": exact_dedup.SQL}
