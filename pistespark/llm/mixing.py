@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import n_words, ranked, salts, written
+from pistespark.llm.common import WORD, n_words, ranked, salts, written
 
 WEIGHTS = (5, 2, 1)
 BLOCK, SHARD_SLOTS, MOST, SEED, ROUNDS, EACH = 64, 1024, 3, 17, 14, 20_000
@@ -60,17 +60,17 @@ def permuted(x: Column, n: Column, *key: Column, rounds: int = ROUNDS) -> Column
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), x, step)
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def sized(docs: DataFrame, by_text: bool = False) -> DataFrame:
     """One row per document, with its size and the salted order that its source is packed in."""
-    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *([F.xxhash64("text").alias("text_hash")] if by_text else [])), "sizes")
     s = salts(rows.count(), EACH)
     return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(s)).cast("int"))
 
 
-def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED, by_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """(placed, slots). placed: a row per document: doc_id, source, src, size, source_size, target, offset, salt, _row.
     slots: shard, slot, src, epoch, block, take (words of that block, from its start)."""
-    rows = sized(docs)
+    rows = sized(docs, by_text)
     spark = docs.sparkSession
     plan = targets([(r["source"], r["n"]) for r in rows.groupBy("source").agg(F.sum("size").alias("n")).collect()])
     made, at = [], 0
@@ -102,7 +102,8 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, see
 def pieces(placed: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
     """Documents joined with the slots that draw their blocks: per piece its document, epoch, first word and number of words."""
     at, end = F.expr(f"offset div {block}"), F.expr(f"(offset + size - 1) div {block}")
-    parts = placed.filter("size > 0").select("src", "salt", "_row", "doc_id", "offset", "size", F.explode(F.sequence(at, end)).alias("block"))
+    more = [c for c in ("text_hash",) if c in placed.columns]
+    parts = placed.filter("size > 0").select("src", "salt", "_row", "doc_id", *more, "offset", "size", F.explode(F.sequence(at, end)).alias("block"))
     parts = parts.withColumn("from", F.greatest(F.col("offset") - F.col("block") * block, F.lit(0))).withColumn("to", F.least(F.col("offset") + F.col("size") - F.col("block") * block, F.lit(block)))
     cut = parts.join(slots, ["src", "block"]).withColumn("words", F.least("to", "take") - F.col("from")).filter("words > 0")
     return cut.withColumn("first", F.col("block") * block + F.col("from") - F.col("offset"))
@@ -115,3 +116,26 @@ def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     got = pieces(placed, slots, block).groupBy("src", "salt", "_row").agg(F.sum("words").alias("taken"))
     out = placed.join(got, ["src", "salt", "_row"], "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: a row per document and epoch that takes some of it.
+
+    A text that is taken whole stays as it is; of others the taken stretches follow each other, words parted by
+    blanks. n_chars, where there is one, is that of the new text. Texts without words are not in the mix."""
+    placed, slots = mix(docs, block, by_text=True)
+    placed = written(placed, "placed")
+    stretch = F.struct("first", "words")
+    got = pieces(placed, slots, block).groupBy("src", "salt", "_row", "epoch", "doc_id", "text_hash", "size")
+    got = got.agg(F.sum("words").alias("_taken"), F.array_sort(F.collect_list(stretch)).alias("_parts"))
+    got = got.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), (F.col("_taken") == F.col("size")).alias("_whole"), F.when(F.col("_taken") < F.col("size"), F.col("_parts")).alias("_parts"))
+    rows = docs
+    if not placed.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
+        rows = rows.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    out = rows.join(got, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    cut = F.array_join(F.transform("_parts", lambda p: F.array_join(F.slice(words, p["first"].cast("int") + 1, p["words"].cast("int")), " ")), " ")
+    out = out.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(cut))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_whole"), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

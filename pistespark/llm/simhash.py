@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pistespark.llm.common import written
@@ -34,6 +34,8 @@ from pistespark.operators.components import connected_components
 from pistespark.shared import spread_join
 
 K, WORDS, SEED, FAN, MOST, BLOCK = 3, 3, 42, 8, 4096, 1 << 16
+#: For copies at a similarity of 0.8 or more: bits of the first code, words and bits of the second.
+WIDE_K, WORDS2, K2 = 8, 5, 14
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -57,6 +59,18 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits((votes * 2 > n).reshape(64), bitorder="little").view("<u8")[0])
 
 
+def set_fingerprint(text: str | None, words: int = WORDS2) -> int:
+    """The same over the distinct shingles only, so that a repeated line has one vote; estimates the sets' similarity."""
+    parts = (text or "").encode("utf-8", "replace").lower().split()
+    if not parts:
+        return 0
+    hashed = xxhash.xxh64_intdigest
+    seen = {hashed(b" ".join(parts[i : i + words]), SEED) for i in range(max(1, len(parts) - words + 1))}
+    h = np.fromiter(seen, np.uint64, len(seen)).view(np.uint8).reshape(-1, 8)
+    votes = np.stack([np.bincount(h[:, i], minlength=256) for i in range(8)]) @ _BITS
+    return int(np.packbits((votes * 2 > len(seen)).reshape(64), bitorder="little").view("<u8")[0])
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, fp (the unsigned fingerprint's bits as a long)."""
 
@@ -91,10 +105,13 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links inside each group, as pairs of fingerprints. fp: uint64, distinct in a group."""
+def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room: int = 1 << 20, second: np.ndarray | None = None, sure: int = K, k2: int = K2) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links inside each group, as pairs of places in ``fp`` (uint64).
+
+    With a second code, a link of more than ``sure`` bits also needs the second codes within ``k2`` bits."""
     order = np.lexsort((gray_rank(fp), group))
     group, fp = group[order], fp[order]
+    second = None if second is None else second[order]
     # levels from the leaves up: bits that all members have, bits that any has, first leaf, leaves, first child, children
     one = np.ones(len(fp), np.int64)
     levels = [(fp, fp, np.arange(len(fp)), one, np.arange(len(fp)), one)]
@@ -135,9 +152,12 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
         near = np.bitwise_count((every[a] ^ every[b]) & shared) <= k
         a, b = a[near], b[near]
         if level == 0:
-            add(*(x[a != b] for x in (a, b)))
+            use = a != b
+            if second is not None:
+                use &= (np.bitwise_count(fp[a] ^ fp[b]) <= sure) | (np.bitwise_count(second[a] ^ second[b]) <= k2)
+            add(a[use], b[use])
             continue
-        close = np.bitwise_count((every[a] & every[b]) ^ (some[a] | some[b])) <= k
+        close = np.bitwise_count((every[a] & every[b]) ^ (some[a] | some[b])) <= (k if second is None else sure)
         # all below is linked: members of one node to its first leaf, two nodes by their first leaves
         same = close & (a == b)
         if same.any():
@@ -159,7 +179,7 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
             work.append((level - 1, x[once], y[once]))
     merge()
     tied = root != np.arange(len(fp))
-    return fp[tied], fp[root[tied]]
+    return order[tied], order[root[tied]]
 
 
 def cut(mask: int, parts: int = K + 1) -> list[int]:
@@ -174,15 +194,15 @@ def _signed(x: int) -> int:
 
 
 def _dealt(rows: DataFrame, masks: list[int], k: int) -> DataFrame:
-    """Rows (mask, fp) dealt by the finer masks of their mask: (mask, bits, fp)."""
+    """Rows (mask, node, fp, second) dealt by the finer masks of their mask, with the bits that the mask leaves."""
     finer = None
     for m in masks:
         some = F.array(*[F.lit(_signed(x)).cast("long") for x in cut(m, k + 1)])
         finer = F.when(F.col("mask") == _signed(m), some) if finer is None else finer.when(F.col("mask") == _signed(m), some)
-    return rows.select("fp", F.explode(finer).alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "fp")
+    return rows.select("node", "fp", "second", F.explode(finer).alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "node", "fp", "second")
 
 
-def _searched(rows: DataFrame, k: int, most: int) -> DataFrame:
+def _searched(rows: DataFrame, k: int, most: int, wide: bool) -> DataFrame:
     """Forest edges (a, b) of the groups of 2 to ``most`` rows; larger ones are left to the next level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,11 +214,12 @@ def _searched(rows: DataFrame, k: int, most: int) -> DataFrame:
             size = np.diff(np.append(start, part.shape[1]))
             use = np.repeat((size > 1) & (size <= most), size)
             if use.any():
-                a, b = linked(np.repeat(np.arange(len(start)), size)[use], part[2, use].view(np.uint64), k)
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a, b)], names=["a", "b"])
+                node, fp, second = part[2, use], part[3, use].view(np.uint64), part[4, use].view(np.uint64)
+                a, b = linked(np.repeat(np.arange(len(start)), size)[use], fp, k, second=second if wide else None)
+                yield pa.RecordBatch.from_arrays([pa.array(node[x]) for x in (a, b)], names=["a", "b"])
 
         for batch in batches:
-            part = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
+            part = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
             if not part.shape[1]:
                 continue
             part = np.concatenate([*held, part], axis=1)
@@ -213,30 +234,62 @@ def _searched(rows: DataFrame, k: int, most: int) -> DataFrame:
     return rows.repartition("mask", "bits").sortWithinPartitions("mask", "bits").mapInArrow(run, "a long, b long")
 
 
-def links(distinct: DataFrame, k: int = K, most: int = MOST) -> DataFrame:
-    """Edges (a, b) that connect exactly the fingerprints that chains of at most k differing bits connect. distinct: (fp)."""
+def links(nodes: DataFrame, k: int = K, most: int = MOST, wide: bool = False) -> DataFrame:
+    """Edges (a, b) between nodes that connect exactly what chains of links connect. nodes: (node, fp, second), a row per node."""
     masks, edges = [0], None
-    rows = distinct.select(F.lit(0).cast("long").alias("mask"), "fp")
+    rows = nodes.select(F.lit(0).cast("long").alias("mask"), "node", "fp", "second")
     while True:
         dealt = _dealt(rows, masks, k)
         masks = sorted({x for m in masks for x in cut(m, k + 1)})
         hot = written(dealt.groupBy("mask", "bits").agg(F.count("*").alias("n")).filter(F.col("n") > most).drop("n"), "hot")
+        # where few bits are left, a group has few fingerprints whatever the corpus; rows with one fingerprint link at once
         last = hot.isEmpty() or (1 << 64 - min(m.bit_count() for m in masks)) <= 8 * most
         if last:
-            found = _searched(dealt, k, 8 * most)
+            found = _searched(dealt, k, 1 << 40, wide)
             return found if edges is None else edges.unionByName(found)
-        found = _searched(dealt.join(hot, ["mask", "bits"], "left_anti"), k, most)
+        found = _searched(dealt.join(hot, ["mask", "bits"], "left_anti"), k, most, wide)
         edges = found if edges is None else edges.unionByName(found)
-        rows = written(dealt.join(hot, ["mask", "bits"], "left_semi").select("mask", "fp"), "split")
+        rows = written(dealt.join(hot, ["mask", "bits"], "left_semi").select("mask", "node", "fp", "second"), "split")
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, k: int = K, most: int = MOST) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, fp."""
     fps = written(fingerprints(docs, words), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    member = connected_components(links(distinct.select("fp"), k, most)).withColumnRenamed("node", "fp")
+    nodes = distinct.select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("second"))
+    member = connected_components(links(nodes, k, most)).withColumnRenamed("node", "fp")
     member = written(distinct.join(member, "fp"), "member")
     lowest = member.groupBy("root").agg(F.min("first").alias("component_id"))
     member = spread_join(member.select("fp", "root"), lowest, ["root"]).select("fp", "component_id")
     label = distinct.join(member, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     return spread_join(fps, label, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp")
+
+
+def keepers(docs: DataFrame, k: int = WIDE_K, most: int = MOST) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns: the smallest doc_id of each group of near copies.
+
+    Copies link at K bits of the fingerprint, as above, or at ``WIDE_K`` bits where a second code, over distinct
+    five-word shingles, agrees in all but ``K2`` bits, which a similarity of 0.8 or more of the shingle sets does.
+    The index searches the first code with the wide radius and looks at the second where a pair comes that far.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.as_py() for x in batch.column(2)]
+            codes = [pa.array(np.fromiter((f(t) for t in texts), np.uint64, len(texts)).view(np.int64)) for f in (fingerprint, set_fingerprint)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *codes], names=["id", "text_hash", "fp", "second"])
+
+    keys = [F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash")]
+    rows = written(docs.select(*keys, "text").mapInArrow(run, "id long, text_hash long, fp long, second long"), "codes")
+    # nulls last; a row per pair of codes is enough, and it stands for the first of its documents
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash"))
+    nodes = written(rows.groupBy("fp", "second").agg(first.alias("first")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    member = connected_components(links(nodes.select("node", "fp", "second"), k, most, wide=True))
+    stay = nodes.join(member, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    stay = written(stay.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash")), "stay")
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    kept = docs.join(stay, here, "left_semi")
+    if rows.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
+        return kept
+    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*[c for c, t in docs.dtypes if not t.startswith("map")])
+    return kept.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
