@@ -90,7 +90,7 @@ def centroid_of_line(g: Column) -> Column:
 
 def _moments(ring: Column) -> Column:
     """Twice the signed area of a ring in degrees and its first moments, relative to its first vertex."""
-    o = F.element_at(ring, 1)
+    o = F.get(ring, F.lit(0))
     cross = _steps(
         F.transform(_around(ring), lambda v: F.struct((v["lon"] - o["lon"]).alias("x"), (v["lat"] - o["lat"]).alias("y"))),
         lambda a, b: F.struct((a["x"] * b["y"] - b["x"] * a["y"]).alias("c"), (a["x"] + b["x"]).alias("x"), (a["y"] + b["y"]).alias("y")),
@@ -106,7 +106,7 @@ def centroid_of_polygon(rings: Column) -> Column:
     area = _sum(F.transform(signed, lambda p: p["s"] * F.abs(p["m"]["c"])))
     lon = _sum(F.transform(signed, lambda p: p["s"] * F.signum(p["m"]["c"]) * (p["m"]["x"] / 3 + p["m"]["c"] * p["m"]["lon"])))
     lat = _sum(F.transform(signed, lambda p: p["s"] * F.signum(p["m"]["c"]) * (p["m"]["y"] / 3 + p["m"]["c"] * p["m"]["lat"])))
-    return F.when(F.size(rings) > 0, F.when(area > 1e-14, vertex(lat / area, lon / area)).otherwise(centroid_of_line(F.element_at(rings, 1))))
+    return F.when(F.size(rings) > 0, F.when(area > 1e-14, vertex(lat / area, lon / area)).otherwise(centroid_of_line(F.get(rings, F.lit(0)))))
 
 
 def box_around(lat: Column, lon: Column, radius_m: float) -> Column:
@@ -143,7 +143,7 @@ def inside_any(lat: Column, lon: Column, parts: Column) -> Column:
 
 def geometry_kind(g: Column) -> Column:
     """Point, LineString or Polygon for a vertex list: closed with four vertices or more is a polygon; null if empty."""
-    n, same = n_vertices(g), F.element_at(g, 1) == F.element_at(g, -1)
+    n, same = n_vertices(g), F.get(g, F.lit(0)) == F.try_element_at(g, F.lit(-1))
     return F.when(n == 1, "Point").when((n >= 4) & same, "Polygon").when(n >= 2, "LineString")
 
 
@@ -178,7 +178,7 @@ def _hex_list(g: Column) -> Column:
 def wkb(g: Column) -> Column:
     """Well-known binary (big-endian) of a vertex list, by its kind; null if empty."""
     kind = geometry_kind(g)
-    text = F.when(kind == "Point", F.concat(F.lit("0000000001"), _hex_point(F.element_at(g, 1)))).when(kind == "LineString", F.concat(F.lit("0000000002"), _hex_list(g))).when(kind == "Polygon", F.concat(F.lit("000000000300000001"), _hex_list(g)))
+    text = F.when(kind == "Point", F.concat(F.lit("0000000001"), _hex_point(F.get(g, F.lit(0))))).when(kind == "LineString", F.concat(F.lit("0000000002"), _hex_list(g))).when(kind == "Polygon", F.concat(F.lit("000000000300000001"), _hex_list(g)))
     return F.unhex(text)
 
 

@@ -77,7 +77,7 @@ def _last_wins(entries: Column) -> Column:
 def hstore(text: Column) -> Column:
     """``"k"=>"v","k2"=>"v2"`` as a map; the last of repeated keys wins; a comma inside a value stays."""
     pairs = F.transform(F.split(text, r'"\s*,\s*"'), lambda p: F.split(F.replace(p, F.lit('"'), F.lit("")), "=>", 2))
-    entries = F.transform(F.filter(pairs, lambda p: F.size(p) == 2), lambda p: F.struct(F.trim(p[0]).alias("key"), F.trim(p[1]).alias("value")))
+    entries = F.transform(F.filter(pairs, lambda p: F.size(p) == 2), lambda p: F.struct(F.trim(F.get(p, F.lit(0))).alias("key"), F.trim(F.get(p, F.lit(1))).alias("value")))
     return _last_wins(F.coalesce(F.filter(entries, lambda e: e["key"] != ""), F.array().cast("array<struct<key:string,value:string>>")))
 
 

@@ -26,10 +26,9 @@ def _column(lon: Column, size: float) -> Column:
     return F.floor((lon + 180) / size).cast("int")
 
 
-def _columns(low: Column, high: Column, size: float) -> Column:
-    """Cell columns from one longitude to another, around the antimeridian; all of them for a full turn."""
-    n = math.ceil(360 / size)
-    a, b = _column(low, size), _column(high, size)
+def _columns(low: Column, high: Column, n: int) -> Column:
+    """Of n cell columns, those from one longitude to another, around the antimeridian; all of them for a full turn."""
+    a, b = _column(low, 360 / n), _column(high, 360 / n)
     some = F.sequence(a, F.least(b, a + n - 1))
     return F.array_distinct(F.transform(some, lambda c: F.pmod(c, F.lit(n))))
 
@@ -41,14 +40,15 @@ def radius_join(features: DataFrame, areas: DataFrame, radius_m: float, lat: str
     """
     up = radius_m * _MARGIN / _SPHERE_DEGREE
     size = max(2 * up, 1e-4)
-    n = math.ceil(360 / size)
+    n = max(1, math.floor(360 / size))
+    wide = 360 / n  # columns that end at the antimeridian, so that counting goes around
     # the longitude span of a cap at the latitude nearest to the pole that it reaches
     reach = F.cos(F.radians(F.least(F.abs(F.col(area_lat)) + up, F.lit(90.0))))
     along = F.when(reach > 1e-3, F.least(F.lit(180.0), up / reach)).otherwise(F.lit(180.0))
     dealt = areas.filter(F.col(area_lat).isNotNull() & F.col(area_lon).isNotNull())
     dealt = dealt.withColumn("_cy", F.explode(F.sequence(_row(F.col(area_lat) - up, size), _row(F.col(area_lat) + up, size))))
-    dealt = dealt.withColumn("_cx", F.explode(_columns(F.col(area_lon) - along, F.col(area_lon) + along, size)))
-    placed = features.withColumn("_cy", _row(F.col(lat), size)).withColumn("_cx", F.pmod(_column(F.col(lon), size), F.lit(n)))
+    dealt = dealt.withColumn("_cx", F.explode(_columns(F.col(area_lon) - along, F.col(area_lon) + along, n)))
+    placed = features.withColumn("_cy", _row(F.col(lat), size)).withColumn("_cx", F.pmod(_column(F.col(lon), wide), F.lit(n)))
     pairs = placed.join(dealt, ["_cy", "_cx"]).drop("_cy", "_cx")
     return pairs.withColumn(out, geo.haversine(F.col(lat), F.col(lon), F.col(area_lat), F.col(area_lon))).filter(F.col(out) <= radius_m)
 
@@ -65,7 +65,7 @@ def containment_join(points: DataFrame, polygons: DataFrame, cell: float = 0.5,
 
     polygons: ``parts``, an array of polygons, each an array of rings, outer first. Columns must differ in name.
     """
-    ring = lambda f: F.flatten(F.transform(F.col(parts), lambda p: F.transform(p[0], f)))
+    ring = lambda f: F.flatten(F.transform(F.col(parts), lambda p: F.transform(F.get(p, F.lit(0)), f)))
     lat, lon = ring(lambda v: v["lat"]), ring(lambda v: v["lon"])
     dealt = polygons.withColumn("_b", F.struct(F.array_min(lat).alias("y0"), F.array_max(lat).alias("y1"), F.array_min(lon).alias("x0"), F.array_max(lon).alias("x1"))).filter("_b.y0 IS NOT NULL")
     dealt = dealt.withColumn("_cy", F.explode(F.sequence(_row(F.col("_b.y0"), cell), _row(F.col("_b.y1"), cell))))

