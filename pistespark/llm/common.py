@@ -23,6 +23,11 @@ def held_out(doc_id: Column, mod: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod == 2
 
 
+def thinned(df: DataFrame, keep: Column, id_: Column) -> DataFrame:
+    """Rows whose id hashes below a share ``keep`` of all hashes: a sample that any task can take alone and reruns repeat."""
+    return df.filter(F.pmod(F.xxhash64(id_), F.lit(1 << 30)) < keep * (1 << 30))
+
+
 def salts(rows: int, each: int) -> int:
     """How many salts keep a group of ``rows`` rows at about ``each`` rows a task."""
     return max(1, -(-rows // each))

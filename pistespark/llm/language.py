@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import held_out, written
+from pistespark.llm.common import held_out, thinned, written
 
 SAMPLE, NGRAMS, SIZES, SHARE, CELLS, PROBES, FOLD, SLICE = 1500, 30_000, (2, 3, 4), 0.25, 1 << 19, 3, 4, 1 << 18
 UND = "und"
@@ -120,8 +120,10 @@ class Filters:
 def learn(docs: DataFrame, sample: int = SAMPLE, top: int = NGRAMS) -> Filters:
     rows = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), FOLD))
     pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # the rank is taken over ids alone, and Spark keeps the first ``sample`` per language in each task
-    ids = rows.select("lang", "doc_id").withColumn("r", F.row_number().over(pick)).filter(F.col("r") <= sample).select("lang", "doc_id").distinct()
+    # thinned to about 1.5 times the sample per language first, so that ranking it is a small task whatever the corpus
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, (1.5 * sample + 50) / n))])[F.col("lang")] if sizes else F.lit(1.0)
+    ids = thinned(rows.select("lang", "doc_id"), share, F.col("doc_id")).withColumn("r", F.row_number().over(pick)).filter(F.col("r") <= sample).select("lang", "doc_id").distinct()
     ids = written(ids, "sample")  # at most ``sample`` ids per language
     chosen = rows.join(F.broadcast(ids.withColumnRenamed("lang", "_l")), (rows["doc_id"].eqNullSafe(ids["doc_id"])) & (F.col("lang") == F.col("_l")), "left_semi")
 

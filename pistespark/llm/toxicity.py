@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import held_out, slices, written
+from pistespark.llm.common import held_out, slices, thinned, written
 
 SAMPLE, TERMS, FACTORS, HASH_BITS, THRESHOLD, FOLD = 20_000, 4096, 8, 20, 0.3, 4
 STEPS, BATCH, RATE, DECAY, LEAST_ROWS, LEAST_GAIN = 2500, 256, 0.02, 2e-3, 3, 20.0
@@ -117,6 +117,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     """Fit on at most ``sample`` labelled rows that are not held out."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id"), FOLD))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = written(known, "known")
+    # thinned first, so that taking the first ``sample`` is a small task whatever the number of labels
+    known = thinned(known, F.lit(min(1.0, (1.5 * sample + 50) / max(1, known.count()))), F.col("doc_id"))
     known = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "labelled")  # at most ``sample`` rows of 12 bytes
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").withColumn("at", F.monotonically_increasing_id())
     rows = written(_terms(rows), "terms")
