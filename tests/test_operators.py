@@ -134,3 +134,16 @@ def test_combine(spark):
     assert got == {(1, "x", None, "r1"), (2, None, 0.5, "r2")}
     assert combine.combined({}) is None
     assert {(r["dataset"], r["rows"]) for r in combine.row_counts({"a": a, "b": b.limit(0)}).collect()} == {("a", 1), ("b", 0)}
+
+
+def test_banded_containment_is_the_same_join(spark):
+    rnd = random.Random(11)
+    wheel = lambda x, y, r, n: [{"lat": y + r * (1 + 0.3 * (i % 2)) * math.sin(6.283185 * i / n), "lon": x + r * (1 + 0.3 * (i % 2)) * math.cos(6.283185 * i / n)} for i in range(n)]
+    polys = [(k, [[wheel(k * 0.7, 0.3 * k, 1.0, 60), wheel(k * 0.7, 0.3 * k, 0.4, 9)], [wheel(k * 0.7 + 4, -2.0, 0.5, 12)]]) for k in range(4)] + [(9, square(0.0, 0.0, 1.0)), (10, [])]
+    polygons = spark.createDataFrame(polys, f"poly int, parts array<array<array<{V}>>>")
+    pts = [(i, rnd.uniform(-3, 3), rnd.uniform(-2, 7)) for i in range(300)] + [(900, 1.0, 0.0), (901, 0.0, 1.0), (902, -1.0, -1.0)]
+    points = spark.createDataFrame(pts, "id int, lat double, lon double")
+    pairs = lambda df: {(r["id"], r["poly"]) for r in df.collect()}
+    want = pairs(spatial_join.containment_join(points, polygons))
+    assert len(want) > 50 and not {p for p in want if p[0] >= 900 and p[1] == 9}
+    assert pairs(spatial_join.containment_join_banded(points, polygons, "id", "poly")) == want
