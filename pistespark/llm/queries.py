@@ -33,7 +33,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.repetition(table(spark, sf_dir, "documents"))
+    return repetition.repetition(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +53,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_model, op5_simhash, op6_repetition, op7_exact_dedup, op8_suffix_dedup, op9_language, op10_toxicity)}
-SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL, "op7_exact_dedup": exact_dedup.SQL}
+SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL, "op6_repetition": repetition.SQL, "op7_exact_dedup": exact_dedup.SQL}

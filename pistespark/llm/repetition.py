@@ -122,3 +122,23 @@ def repetition(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, SCHEMA)
+
+_LIMITS = ", ".join(f"({k}, {v})" for k, v in {**TOP, **DUPLICATE}.items())
+#: The verdict of the same rules, with texts compared instead of hashes. Fast enough for small tables only.
+SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+b AS (SELECT doc_id, t, w, len(w) AS n, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS chars FROM d),
+g AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM b, unnest(range(2, {max(DUPLICATE) + 1})) AS x(k), unnest(range(1, len(w) - k + 2)) AS y(i)),
+c AS (SELECT *, count(*) OVER (PARTITION BY doc_id, k, g) AS c, row_number() OVER (PARTITION BY doc_id, k, g ORDER BY i) AS r FROM g),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM c, unnest(range(0, 3)) AS z(j) WHERE k = 3 AND c > 1 GROUP BY doc_id),
+top AS (SELECT doc_id, k, max(c * (length(g) - k + 1)) AS x FROM c WHERE k <= {max(TOP)} AND c > 1 GROUP BY doc_id, k),
+cov AS (SELECT doc_id, k, sum(length(w[p])) AS x FROM (SELECT DISTINCT doc_id, k, i + j AS p FROM c, unnest(range(0, k)) AS z(j) WHERE k > {max(TOP)} AND r > 1) JOIN b USING (doc_id) GROUP BY doc_id, k),
+bad AS (SELECT DISTINCT doc_id FROM (SELECT * FROM top UNION ALL SELECT * FROM cov) JOIN b USING (doc_id) JOIN (VALUES {_LIMITS}) AS v(k, most) USING (k) WHERE least(1.0::double, x::double / greatest(chars, 1)) > most::double),
+l AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS r FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+s AS (SELECT doc_id, count(*) AS lines, count(*) FILTER (r > 1) AS dup, coalesce(sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) FILTER (r > 1), 0) AS x FROM l GROUP BY doc_id),
+f AS (SELECT b.doc_id, b.n AS n_words, chars AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(s.dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+  bad.doc_id IS NULL AND coalesce(s.x, 0)::double / greatest(chars, 1) <= {LINE_CHARS}::double AND coalesce(s.dup, 0) <= {LINES}::double * coalesce(s.lines, 0) AS fine
+  FROM b LEFT JOIN rep USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN bad USING (doc_id))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed, NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words) AND fine AS kept FROM f
+"""
