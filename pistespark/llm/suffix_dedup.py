@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pistespark.llm.common import written
 from pistespark.shared import released
 
-LENGTH, GRAM, PART, RANGE, HOT = 100, 32, 16 << 20, 8 << 20, 50_000
+LENGTH, GRAM, PART, RANGE, HOT = 100, 32, 8 << 20, 8 << 20, 50_000
 WIDE = LENGTH - GRAM + 1  # anchors to choose from in a window, and most windows in a run
 KEY = 9 + WIDE + LENGTH - 1  # hash, length, bytes
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -342,11 +342,15 @@ def _sorted_runs(buckets: int):
             body = np.where(np.arange(KEY - 9) < size[:, None], data[np.minimum(span, len(data) - 1)], 0).astype(np.uint8)
             made.append((np.concatenate([_mixed(mine).astype(">u8").view(np.uint8).reshape(-1, 8), size[:, None].astype(np.uint8), body], 1), np.full(len(start), doc), np.full(len(start), tie), start, count, twice, np.isin(mine, often)))
         if made:
-            keys, doc, tie, start, count, twice, hot = (np.concatenate(x) for x in zip(*made, strict=True))
-            del made
+            columns = [list(x) for x in zip(*made, strict=True)]
+            made.clear()
+            keys, doc, tie, start, count, twice, hot = (np.concatenate(columns.pop(0)) for _ in range(7))
             order = np.argsort(np.ascontiguousarray(keys).view(f"S{KEY}").ravel(), kind="stable")
-            keys, doc, tie, start, count, twice, hot = (x[order] for x in (keys, doc, tie, start, count, twice, hot))
-            same = np.concatenate([[False], (keys[1:] == keys[:-1]).all(1)])
+            keys = keys[order]
+            doc, tie, start, count, twice, hot = (x[order] for x in (doc, tie, start, count, twice, hot))
+            same = np.zeros(len(keys), bool)
+            for at in range(1, len(keys), 1 << 14):
+                same[at : at + (1 << 14)] = (keys[at : at + (1 << 14)] == keys[at - 1 : at - 1 + len(keys[at : at + (1 << 14)])]).all(1)
             first = np.flatnonzero(~same)[np.cumsum(~same) - 1]
             # a fully repeated row stands at the same place and is no repeat
             gone = same & ((doc != doc[first]) | (tie != tie[first]) | (start != start[first]))
@@ -431,13 +435,18 @@ def _merged_range(buckets: int):
                     out.extend(_rows(WINDOW, d1[row], t1[row], s1[row] + offset, np.ones(len(row), np.int64), a.view(np.int64), b.view(np.int64)))
                 else:
                     row, offset = windows_repeated(keys, d1, t1, s1, n1)
-                    out.extend(_rows(REPEAT, d1[row], t1[row], s1[row] + offset, np.ones(len(row), np.int64)))
+                    if len(row):  # neighbours go back as one row
+                        order = np.lexsort((offset, row))
+                        row, offset = row[order], offset[order]
+                        new = np.concatenate([[True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)])
+                        runs = np.diff(np.append(np.flatnonzero(new), len(row)))
+                        out.extend(_rows(REPEAT, d1[row[new]], t1[row[new]], s1[row[new]] + offset[new], runs))
         return pa.Table.from_batches(out, schema=pa.schema(list(zip(_NAMES, _KINDS, strict=True))))
 
     return run
 
 
-def _chunks(head: np.ndarray, size: int = 20_000) -> Iterator[slice]:
+def _chunks(head: np.ndarray, size: int = 4000) -> Iterator[slice]:
     """Slices of whole groups, of about ``size`` rows."""
     at = 0
     ends = np.append(np.flatnonzero(head[1:] != head[:-1]) + 1, len(head))
@@ -495,6 +504,7 @@ def repeated(docs: DataFrame, hot: int = HOT, part: int = PART) -> tuple[DataFra
     released(spark)
     ranged = runs.filter(F.col("kind") == BLOCK).select("bucket", "block").groupBy("bucket").applyInArrow(_merged_range(buckets), _OUT)
     ranged = written(ranged, "merged")
+    released(spark)
     at = ["doc", "tie", "start", "n"]
     out = runs.filter(F.col("kind") == REPEAT).select(*at).unionByName(ranged.filter(F.col("kind") == REPEAT).select(*at))
     windows = ranged.filter(F.col("kind") == WINDOW).select("a", "b", F.struct("doc", "tie", "start").alias("at"))
