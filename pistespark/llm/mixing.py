@@ -133,8 +133,10 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     if not placed.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
         rows = rows.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
     out = rows.join(got, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = F.array_join(F.transform("_parts", lambda p: F.array_join(F.slice(words, p["first"].cast("int") + 1, p["words"].cast("int")), " ")), " ")
+    # the words are one element of an array, so that they are split once and not for each stretch
+    words = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    stretches = lambda w: F.array_join(F.transform("_parts", lambda p: F.array_join(F.slice(w, p["first"].cast("int") + 1, p["words"].cast("int")), " ")), " ")
+    cut = F.get(F.transform(words, stretches), F.lit(0))
     out = out.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(cut))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_whole"), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
