@@ -15,13 +15,16 @@ model sums to one, ids have 16 bits, and the only thing every task needs, the ro
 Data flow. Documents are dealt by id into parts of about PART bytes.
 1. Each part sends its distinct words with their training counts, by hash range, and gets their corpus counts
    back in the same order; with them it has n_tokens, n_known and base_score. (Text moves: once.)
-2. Each part sends its triples, packed and sorted, by the middle word b: a task then has the restaurants of b
-   and of all contexts that end in b, and the occurrences to be scored. (Text moves: a second time.)
+2. Each part sends its distinct triples with their training counts, packed and sorted, by the middle word b: a
+   task then has the restaurants of b and of all contexts that end in b. The occurrences to be scored lie in a
+   column of their own, which only the last round reads. (Text moves: a second time.)
 3. Two rounds over the packed triples: sweeps give the tables that b's restaurants have of each dish, which sum
    up to the root's customers; with the root reseated, sweeps go on and the triples are scored.
 4. Each task returns one packed block of sums per part.
-A word with very many occurrences has its restaurant split by a hash of the word before it (and, if still too
-large, by part); the pieces share the root. So no task's load grows with one word or pair.
+The contexts that end in a word with very many occurrences are dealt by a hash of the word before it. A context
+is whole in one task, with the counts of all parts, and is seated from its distinct dishes, so its load does not
+grow with a pair's occurrences. The restaurant of such a word is one, too: between the rounds a task sums the
+tables of all its contexts, seats it, and sends its probabilities back to the tasks of the contexts.
 
 Defined results: null is the empty text, which has the end token alone; a null doc_id counts as the empty string
 for the fold; repeated rows are learned and scored each; extra columns are ignored; with no training row the
@@ -110,8 +113,8 @@ def _range(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def _ordered(docs: pa.Table) -> pa.Table:
-    """A part's documents in an order that does not depend on the shuffle."""
-    return docs.sort_by([("doc_id", "ascending"), ("held", "ascending"), ("text", "ascending")])
+    """A part's documents in an order that does not depend on the shuffle, those to learn from first."""
+    return docs.sort_by([("held", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
 
 
 def _tokens(docs: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -134,7 +137,7 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 _WORDS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("block", pa.binary())])
 _COUNTS = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("block", pa.binary()), ("w", pa.int64()), ("c", pa.int64()), ("kinds", pa.int64())])
-_SCORED = pa.schema([("part", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("rare", pa.float64()), ("bucket", pa.int32()), ("block", pa.binary())])
+_SCORED = pa.schema([("part", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("rare", pa.float64()), ("bucket", pa.int32()), ("block", pa.binary()), ("docs", pa.binary())])
 _SQL = {pa.int32(): "int", pa.int64(): "long", pa.float64(): "double", pa.bool_(): "boolean", pa.binary(): "binary"}
 
 
@@ -182,10 +185,9 @@ class Vocabulary:
         order = np.argsort(hashes)
         self.hashes, self.counts, self.tokens, self.kinds, self.buckets = hashes[order], counts[order], tokens, kinds, buckets
         self.rare_tokens, self.rare_kinds = tokens - int(counts.sum()), kinds - len(counts)
-        # pieces of a restaurant: at most 64 by the word before, the rest by part
+        # tasks that share the contexts of a word, dealt by the word before
         own = np.concatenate([[tokens / 50, 0, self.rare_tokens], self.counts])
-        pieces = np.maximum(1, np.ceil(own / max(1.0, tokens / buckets / 4))).astype(np.int64)
-        self.by_word, self.by_part = np.minimum(pieces, 64), -(-pieces // 64)
+        self.pieces = np.maximum(1, np.ceil(own / max(1.0, tokens / buckets / 4))).astype(np.int64)
         self.root0 = np.maximum(np.concatenate([[0, 0, self.rare_tokens], self.counts]), 0).astype(float)
 
     def ids(self, kinds: np.ndarray) -> np.ndarray:
@@ -218,26 +220,31 @@ def _send_triples(vocabulary):
         del each
         start = np.cumsum(size) - size
         sums = [np.add.reduceat(x[at], start) for x in ((count > 0).astype(np.int64), base, rare)]
-        w = ids.astype(np.uint16)[at]
+        w = ids.astype(np.uint32)[at]
         del at, kinds, count, base, rare
-        b = np.concatenate([[START], w[:-1]]).astype(np.uint16)
+        b = np.concatenate([[START], w[:-1]]).astype(np.uint32)
         b[start] = START
-        a = np.concatenate([[START], b[:-1]]).astype(np.uint16)
+        a = np.concatenate([[START], b[:-1]]).astype(np.uint32)
         a[start] = START
         held = docs.column("held").to_numpy()
-        rows: list[tuple] = [(part, i, d, h, int(n), int(k), float(s), float(r), None, None) for i, (d, h, n, k, s, r) in enumerate(zip(docs.column("doc_id").to_pylist(), held, size, *sums, strict=True))]
-        words_ = v.by_word[b].astype(np.uint64)
-        piece = _mixed(a.astype(np.uint64) + _U(977)) % words_ + words_ * (_U(part) % v.by_part[b].astype(np.uint64))
-        del words_
-        bucket = (_mixed(b.astype(np.uint64) * _U(1 << 20) + piece + _U(5)) % _U(v.buckets)).astype(np.uint32)
-        order = np.lexsort(((b.astype(np.uint64) << _U(32)) | (a.astype(np.uint64) << _U(16)) | w, bucket))  # stable: documents stay in order
-        doc = np.repeat(np.arange(len(size), dtype=np.uint32), size)
-        columns = [x[order] for x in (b, a, w, doc, held[doc].astype(np.uint8), piece.astype(np.uint16))]
-        bucket = bucket[order]
-        del b, a, w, doc, piece, order
+        rows: list[tuple] = [(part, i, d, h, int(n), int(k), float(s), float(r), None, None, None) for i, (d, h, n, k, s, r) in enumerate(zip(docs.column("doc_id").to_pylist(), held, size, *sums, strict=True))]
+        piece = _mixed(a.astype(np.uint64) + _U(977)) % v.pieces[b].astype(np.uint64)
+        to_b = (_mixed((b.astype(np.uint64) << _U(24)) + piece + _U(5)) % _U(v.buckets) << _U(32)) | b
+        a_w = (a.astype(np.uint64) << _U(32)) | w
+        del a, b, w, piece
+        order = np.lexsort((a_w, to_b))  # stable: documents stay in order
+        to_b, a_w = to_b[order], a_w[order]
+        doc = np.repeat(np.arange(len(size), dtype=np.uint32), size)[order]
+        del order
+        first = np.flatnonzero(np.concatenate([[True], (to_b[1:] != to_b[:-1]) | (a_w[1:] != a_w[:-1])]))
+        learned = np.add.reduceat((doc < (~held).sum()).astype(np.uint32), first)
+        to_b, a_w, many = to_b[first], a_w[first], np.diff(np.append(first, len(doc))).astype(np.uint32)
+        bucket, low = (to_b >> _U(32)).astype(np.int64), _U(0xFFFFFFFF)
+        columns = [x.astype(np.uint32) for x in (to_b & low, a_w >> _U(32), a_w & low, learned)]
+        first = np.append(first, len(doc))
         edge = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
         for x, y in zip(edge, edge[1:], strict=False):
-            rows.append((part, None, None, None, None, None, None, None, int(bucket[x]), _packed(*(c[x:y] for c in columns))))
+            rows.append((part, None, None, None, None, None, None, None, int(bucket[x]), _packed(*(c[x:y] for c in columns)), _packed(many[x:y], doc[first[x] : first[y]])))
         return _table(rows, _SCORED)
 
     return run
@@ -291,20 +298,22 @@ class Restaurants:
     """The restaurants of some middle words: dishes of contexts (a, b) and of b, with customers and tables."""
 
     def __init__(self, keys: np.ndarray, count: np.ndarray):
-        """Distinct (piece, b, a, w), 16 bits each, in order, with training counts that may be 0."""
-        w = (keys & _U(0xFFFF)).astype(np.int32)
+        """Distinct (b, a, w) in order, as rows of three or packed in 16 bits each, with training counts that may be 0."""
+        b, a, w = keys if keys.ndim == 2 else [(keys >> _U(i)) & _U(0xFFFF) for i in (32, 16, 0)]
+        b, a, w = b.astype(np.uint64), a.astype(np.uint64), w.astype(np.int32)
         self.w, self.n = w, count
-        self.context, self.contexts = _group(keys >> _U(16))
-        pair_key = (keys >> _U(32) << _U(16)) | w.astype(np.uint64)
+        self.context, self.contexts = _group((b << _U(32)) | a)
+        pair_key = (b << _U(32)) | w.astype(np.uint64)
         order = np.argsort(pair_key, kind="stable")
         pair, pairs = _group(pair_key[order])
-        self.pair = np.empty(len(keys), np.int32)
+        self.pair = np.empty(len(w), np.int32)
         self.pair[order] = pair
         del order, pair
         kept = np.zeros(pairs, np.uint64)
         kept[self.pair] = pair_key
-        self.pair_w = (kept & _U(0xFFFF)).astype(np.int32)
-        self.middle, self.middles = _group(kept >> _U(16))
+        self.pair_b, self.pair_w = kept >> _U(32), (kept & _U(0xFFFFFFFF)).astype(np.int32)
+        self.middle, self.middles = _group(self.pair_b)
+        self.given = np.full(pairs, np.nan)
         self.t = np.minimum(count, 1)
         self.customers = np.bincount(self.context, count, self.contexts)
         self.n2 = np.bincount(self.pair, self.t, pairs).astype(np.int64)
@@ -313,10 +322,11 @@ class Restaurants:
         self.s, self.s2 = stirling(self.d), stirling(self.d2)
 
     def parent(self, root: np.ndarray) -> np.ndarray:
-        """Probability of each (b, w) in b's restaurant."""
+        """Probability of each (b, w) in b's restaurant; that in ``given`` where b's restaurant is seated elsewhere."""
         tables = np.bincount(self.middle, self.t2, self.middles)[self.middle]
         all_ = np.bincount(self.middle, self.n2, self.middles)[self.middle]
-        return (self.n2 - self.d2 * self.t2 + (STRENGTH[1] + self.d2 * tables) * root[self.pair_w]) / (STRENGTH[1] + all_)
+        own = (self.n2 - self.d2 * self.t2 + (STRENGTH[1] + self.d2 * tables) * root[self.pair_w]) / (STRENGTH[1] + all_)
+        return np.where(np.isnan(self.given), own, self.given)
 
     def sweep(self, root: np.ndarray, rng: np.random.Generator) -> None:
         tables = np.bincount(self.middle, self.t2, self.middles)[self.middle]
@@ -330,6 +340,7 @@ class Restaurants:
             left = np.maximum(self.n2[p] - own, 0)
             t2 = np.minimum(self.t2[p], left)
             up = (left - self.d2 * t2 + (STRENGTH[1] + self.d2 * (tables - self.t2[p] + t2)) * root[self.pair_w[p]]) / (STRENGTH[1] + np.maximum(all_, 0))
+            up = np.where(np.isnan(self.given[p]), up, self.given[p])
             other = np.bincount(self.context, self.t, self.contexts)[self.context[many]] - own
             self.t[many] = seated(self.n[many], other, up, self.d, STRENGTH[2], self.s, rng)
         self.n2 = np.bincount(self.pair, self.t, len(self.pair_w)).astype(np.int64)
@@ -342,60 +353,132 @@ class Restaurants:
         return (self.n - self.d * self.t + (STRENGTH[2] + self.d * tables) * up) / (STRENGTH[2] + self.customers[self.context])
 
 
-def _dealt(table: pa.Table) -> tuple[Restaurants, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(restaurants, order of the occurrences by dish, dish of each in that order, their documents' places by block)."""
-    keys, held, docs = [], [], []
-    for x in table.column("block"):
-        b, a, w, doc, h, piece = _unpacked(x.as_py(), "<u2", "<u2", "<u2", "<u4", "u1", "<u2")
-        key = piece.astype(np.uint64)  # pieces of a word's restaurant are restaurants of their own
-        for part in (b, a, w):
-            key = (key << _U(16)) | part
-        keys.append(key)
-        held.append(h)
-        docs.append(doc)
-    key, learn = np.concatenate(keys), np.concatenate(held) == 0
-    del keys, held
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    new = np.concatenate([[True], key[1:] != key[:-1]])
-    dish = np.cumsum(new, dtype=np.int32) - 1
-    key = key[new]
-    count = np.bincount(dish[learn[order]], minlength=len(key)).astype(np.int64)
-    return Restaurants(key, count), order, dish, docs
-
-
-_ROOT = pa.schema([("w", pa.int32()), ("n", pa.int64())])
+class Middles:
+    """Whole restaurants of words whose contexts are dealt to many tasks."""
+
+    def __init__(self, b: np.ndarray, n: np.ndarray):
+        """Middle word of each dish, in order, and its customers: the tables of all contexts."""
+        self.middle, self.middles = _group(b)
+        self.n, self.t, self.d = n, np.minimum(n, 1), discount(n)
+        self.s = stirling(self.d)
+
+    def sweep(self, root: np.ndarray, rng: np.random.Generator) -> None:
+        other = np.bincount(self.middle, self.t, self.middles)[self.middle] - self.t
+        self.t = seated(self.n, other, root, self.d, STRENGTH[1], self.s, rng)
+
+    def predictive(self, root: np.ndarray) -> np.ndarray:
+        tables = np.bincount(self.middle, self.t, self.middles)[self.middle]
+        all_ = np.bincount(self.middle, self.n, self.middles)[self.middle]
+        return (self.n - self.d * self.t + (STRENGTH[1] + self.d * tables) * root) / (STRENGTH[1] + all_)
+
+
+def _dealt(table: pa.Table) -> tuple[Restaurants, np.ndarray]:
+    """(restaurants with the counts of all parts, dish of each distinct triple of each block in turn)."""
+    b, a, w, n = (np.concatenate(c) for c in zip(*(_unpacked(x.as_py(), *["<u4"] * 4) for x in table.column("block")), strict=True))
+    a_w = (a.astype(np.uint64) << _U(32)) | w
+    order = np.lexsort((a_w, b))
+    new = np.concatenate([[True], (a_w[order][1:] != a_w[order][:-1]) | (b[order][1:] != b[order][:-1])])
+    dish = np.empty(len(b), np.int32)
+    dish[order] = np.cumsum(new, dtype=np.int32) - 1
+    first = order[new]
+    return Restaurants(np.stack([b[first], a[first], w[first]]), np.bincount(dish, n, len(first)).astype(np.int64)), dish
+
+
+def _elsewhere(r: Restaurants, pieces: np.ndarray, tasks: int) -> dict[int, np.ndarray]:
+    """The pairs whose middle word has its restaurant in another task, by that task."""
+    at = np.flatnonzero(pieces[r.pair_b.astype(np.int64)] > 1)
+    to = (_mixed(r.pair_b[at] + _U(31)) % _U(tasks)).astype(np.int64)
+    return {int(x): at[to == x] for x in np.unique(to)}
+
+
+_ROOT = pa.schema([("w", pa.int32()), ("n", pa.int64()), ("task", pa.int32()), ("bucket", pa.int32()), ("block", pa.binary())])
 _SUMS = pa.schema([("part", pa.int32()), ("block", pa.binary())])
+_GIVEN = pa.schema([("bucket", pa.int32()), ("task", pa.int32()), ("block", pa.binary())])
+
 
+def _customers(w: np.ndarray, n: np.ndarray) -> list[tuple]:
+    """Rows of the root's customers."""
+    total = np.bincount(w, n).astype(np.int64)
+    return [(int(x), int(total[x]), None, None, None) for x in np.flatnonzero(total)]
 
-def _rooted(root, seed: int):
+
+def _rooted(root, seed: int, tasks: int):
     def run(table: pa.Table) -> pa.Table:
-        r, _, _, _ = _dealt(table)
-        rng = np.random.default_rng([seed, table.column("bucket")[0].as_py()])
+        first, pieces = root.value
+        r, _ = _dealt(table)
+        bucket = table.column("bucket")[0].as_py()
+        rng = np.random.default_rng([seed, bucket])
         for _ in range(BURN):
-            r.sweep(root.value, rng)
-        n = np.bincount(r.pair_w, r.t2).astype(np.int64)
-        at = np.flatnonzero(n)
-        return pa.Table.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], schema=_ROOT)
+            r.sweep(first, rng)
+        sent = _elsewhere(r, pieces, tasks)
+        here = np.ones(len(r.pair_w), bool)
+        rows = []
+        for to, at in sent.items():
+            here[at] = False
+            rows.append((None, None, to, bucket, _packed(r.pair_b[at].astype(np.uint32), r.pair_w[at].astype(np.uint32), r.n2[at].astype(np.uint32))))
+        return _table(rows + _customers(r.pair_w[here], r.t2[here]), _ROOT)
 
     return run
 
 
-def _scored(root, seed: int):
+def _middles(table: pa.Table) -> tuple[Middles, np.ndarray, np.ndarray, list[int]]:
+    """(restaurants with the tables of all contexts, their dishes, dish of each pair of each block in turn, the blocks' lengths)."""
+    sent = [_unpacked(x.as_py(), *["<u4"] * 3) for x in table.column("block")]
+    b, w, n = (np.concatenate(c) for c in zip(*sent, strict=True))
+    kinds, dish = np.unique((b.astype(np.uint64) << _U(32)) | w, return_inverse=True)
+    return Middles(kinds >> _U(32), np.bincount(dish, n, len(kinds)).astype(np.int64)), (kinds & _U(0xFFFFFFFF)).astype(np.int64), dish, [len(x[0]) for x in sent]
+
+
+def _middles_rooted(root, seed: int):
+    def run(table: pa.Table) -> pa.Table:
+        first, _ = root.value
+        m, w, _, _ = _middles(table)
+        rng = np.random.default_rng([seed, 1, table.column("task")[0].as_py()])
+        for _ in range(BURN):
+            m.sweep(first[w], rng)
+        return _table(_customers(w, m.t), _ROOT)
+
+    return run
+
+
+def _middles_given(root, seed: int):
     def run(table: pa.Table) -> pa.Table:
-        r, order, dish, docs = _dealt(table)
+        first, _ = root.value
+        m, w, dish, sizes = _middles(table)
+        task = table.column("task")[0].as_py()
+        rng = np.random.default_rng([seed, 1, task])
+        mean = np.zeros(len(w))
+        for i in range(BURN + SAMPLES):
+            m.sweep(first[w], rng)
+            if i >= BURN:
+                mean += m.predictive(first[w]) / SAMPLES
+        each = np.split(mean[dish].astype(np.float32), np.cumsum(sizes)[:-1])
+        return _table([(bucket, task, _packed(p)) for bucket, p in zip(table.column("bucket").to_pylist(), each, strict=True)], _GIVEN)
+
+    return run
+
+
+def _scored(root, seed: int, tasks: int):
+    def run(table: pa.Table, given: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _table([], _SUMS)
+        first, pieces = root.value
+        r, dish = _dealt(table)
+        sent = _elsewhere(r, pieces, tasks)
+        for task, p in zip(given.column("task").to_pylist(), given.column("block"), strict=True):
+            r.given[sent[task]] = _unpacked(p.as_py(), "<f4")[0]
         rng = np.random.default_rng([seed, table.column("bucket")[0].as_py()])
         mean = np.zeros(len(r.w))
         for i in range(BURN + SAMPLES):
-            r.sweep(root.value, rng)
+            r.sweep(first, rng)
             if i >= BURN:
-                mean += r.predictive(root.value) / SAMPLES
-        score = np.empty(len(dish))
-        score[order] = np.log10(mean)[dish]
+                mean += r.predictive(first) / SAMPLES
+        score = np.log10(mean)[dish]
         rows, at = [], 0
-        for part, doc in zip(table.column("part").to_pylist(), docs, strict=True):
-            sums = np.bincount(doc, score[at : at + len(doc)])
-            at += len(doc)
+        for part, x in zip(table.column("part").to_pylist(), table.column("docs"), strict=True):
+            many, doc = _unpacked(x.as_py(), "<u4", "<u4")
+            sums = np.bincount(doc, np.repeat(score[at : at + len(many)], many))
+            at += len(many)
             some = np.unique(doc)
             rows.append((part, _packed(some, sums[some].astype(np.float32))))
         return _table(rows, _SUMS)
@@ -461,17 +544,21 @@ def scores(docs: DataFrame, part: int = PART, vocabulary: int = VOCABULARY, trip
     made = written(rows.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(_send_triples(shared), _ddl(_SCORED)), "triples")
     dropped(counts)
     released(spark)
-    packed = made.filter("block IS NOT NULL").select("bucket", "part", "block")
+    packed = made.filter("block IS NOT NULL")
     dishes = len(v.hashes) + 2  # START is never a dish
-    first = (v.root0 + 1) / (v.root0.sum() + dishes)
-    root = packed.groupBy("bucket").applyInArrow(_rooted(spark.sparkContext.broadcast(first), SEED), _ddl(_ROOT)).groupBy("w").agg(F.sum("n").alias("n"))
+    first = spark.sparkContext.broadcast(((v.root0 + 1) / (v.root0.sum() + dishes), v.pieces))
+    seated_ = written(packed.select("bucket", "block").groupBy("bucket").applyInArrow(_rooted(first, SEED, v.buckets), _ddl(_ROOT)), "seated")
+    split = seated_.filter("block IS NOT NULL").select("task", "bucket", "block")
+    root = seated_.filter("w IS NOT NULL").unionByName(split.groupBy("task").applyInArrow(_middles_rooted(first, SEED), _ddl(_ROOT)))
     customers = np.zeros(len(v.root0), np.int64)
-    for r in root.collect():  # at most one row per dish
+    for r in root.groupBy("w").agg(F.sum("n").alias("n")).collect():  # at most one row per dish
         customers[r["w"]] = r["n"]
     del root  # it holds on to its shuffle files
     released(spark)
-    second = spark.sparkContext.broadcast(root_table(customers, dishes))
-    sums = packed.groupBy("bucket").applyInArrow(_scored(second, SEED + 1), _ddl(_SUMS))
+    second = spark.sparkContext.broadcast((root_table(customers, dishes), v.pieces))
+    given = written(split.groupBy("task").applyInArrow(_middles_given(second, SEED + 1), _ddl(_GIVEN)), "given")
+    dropped(seated_)
+    sums = packed.select("bucket", "part", "block", "docs").groupBy("bucket").cogroup(given.groupBy("bucket")).applyInArrow(_scored(second, SEED + 1, v.buckets), _ddl(_SUMS))
     total = sums.groupBy("part").applyInArrow(_summed, _ddl(_TOTAL))
-    out = made.filter("place IS NOT NULL").drop("bucket", "block").join(total, ["part", "place"])
+    out = made.filter("place IS NOT NULL").drop("bucket", "block", "docs").join(total, ["part", "place"])
     return out.select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), (F.col("model") + F.col("rare")).alias("score"))

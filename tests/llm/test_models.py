@@ -42,6 +42,16 @@ def test_language_model_reruns_agree(edge):
     assert a == b
 
 
+def test_language_model_is_one_however_it_is_dealt(spark):
+    """A frequent word's contexts learn from all parts and share one restaurant, however many parts and tasks there are."""
+    rnd = random.Random(8)
+    follow = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(f"the {follow[min(int(rnd.expovariate(0.1)), 59)]}" for _ in range(60))) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, dealt = ({r["doc_id"]: r["score"] / r["n_tokens"] for r in language_model.scores(df, part, 65_000, triples).collect()} for part, triples in ((1 << 24, 2_000_000), (1 << 12, 80)))
+    assert dealt == pytest.approx(whole, abs=0.03)
+
+
 def test_seatings_give_a_distribution():
     """Over all words, the predictive probabilities of every context add up to one."""
     rng = np.random.default_rng(3)
