@@ -8,9 +8,11 @@ parent's predictive probability to the power of the tables (above ``EXACT`` cust
 after another, as a Poisson number of new tables). Dishes of a sweep are drawn side by side. Predictive
 probabilities are averaged over the sweeps after burn-in, and their log10 sums to a text's score.
 
-Words: the vocabulary is the training words of at least a count c*, the least that leaves at most ``VOCABULARY``
-words; others are one dish, RARE, times the word's add-one share of the rare words' training tokens. So the
-model sums to one, ids have 16 bits, and the only thing every task needs, the root's table, is bounded.
+Words: each training word has a dish and contexts of its own; ids have 32 bits. Only the root's table, which every
+task needs, is bounded: words of at least a count c*, the least that leaves at most ``VOCABULARY`` words, have a
+dish in it, and the root's probability of any other is that of the dish RARE times the word's add-one share of the
+rare words' training tokens, which its count, sent along, gives. Words that no training row has are one dish, with
+the share of one more. So the model sums to one.
 
 Data flow. Documents are dealt by id into parts of about PART bytes.
 1. Each part sends its distinct words with their training counts, by hash range, and gets their corpus counts
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 from pistespark.llm.common import held_out, slices, written
 from pistespark.shared import dropped, released
 
-FOLD, VOCABULARY, PART, WORDS_RANGE, TRIPLES, LEAST, BURN, SAMPLES, EXACT, SEED = 7, 65_000, 8 << 20, 400_000, 1_500_000, 4, 2, 3, 48, 11
+FOLD, VOCABULARY, PART, WORDS_RANGE, TRIPLES, BURN, SAMPLES, EXACT, SEED = 7, 65_000, 8 << 20, 400_000, 1_500_000, 2, 3, 48, 11
 STRENGTH = (1.0, 1.0, 1.0)
 START, END, RARE, FIRST = 0, 1, 2, 3
 END_HASH = np.uint64(1)
@@ -137,7 +139,7 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 _WORDS = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("block", pa.binary())])
 _COUNTS = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("block", pa.binary()), ("w", pa.int64()), ("c", pa.int64()), ("kinds", pa.int64())])
-_SCORED = pa.schema([("part", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("rare", pa.float64()), ("bucket", pa.int32()), ("block", pa.binary()), ("docs", pa.binary())])
+_SCORED = pa.schema([("part", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("bucket", pa.int32()), ("block", pa.binary()), ("docs", pa.binary())])
 _SQL = {pa.int32(): "int", pa.int64(): "long", pa.float64(): "double", pa.bool_(): "boolean", pa.binary(): "binary"}
 
 
@@ -160,38 +162,43 @@ def _send_words(buckets: int):
 
 
 def _count_words(table: pa.Table) -> pa.Table:
-    """Corpus counts of a range's words: a block per part in the order it sent, counts of LEAST or more, and bins of counts."""
+    """Corpus counts of a range's words: a block per part in the order it sent, with each training word's number in the range, and the training words' counts."""
     bucket = table.column("bucket")[0].as_py()
     parts = table.column("part").to_pylist()
     sent = [_unpacked(b.as_py(), "<u8", "<u4") for b in table.column("block")]
     kinds, place = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
     total = np.bincount(place, np.concatenate([s[1] for s in sent]), len(kinds)).astype(np.int64)
+    number = np.cumsum(total > 0) - 1
     rows: list[tuple] = []
     at = 0
     for part, s in zip(parts, sent, strict=True):
-        rows.append((part, bucket, _packed(total[place[at : at + len(s[0])]].astype(np.uint64)), None, None, None))
+        own = place[at : at + len(s[0])]
+        rows.append((part, bucket, _packed(total[own].astype(np.uint64), number[own].astype(np.int64)), None, None, None))
         at += len(s[0])
     known = total[total > 0]
     rows.append((None, bucket, None, None, int(known.sum()), len(known)))
-    often = total >= LEAST
+    often = total > 0
     rows += [(None, bucket, None, int(w), int(c), None) for w, c in zip(kinds[often].view(np.int64), total[often], strict=True)]
     return _table(rows, _COUNTS)
 
 
 class Vocabulary:
-    """The words that have a dish of their own, by hash, and how their restaurants are split. At most VOCABULARY words."""
+    """The words that have a dish of their own in the root, by hash, and how the contexts that end in them are dealt. At most VOCABULARY words."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, kinds: int, buckets: int):
         order = np.argsort(hashes)
         self.hashes, self.counts, self.tokens, self.kinds, self.buckets = hashes[order], counts[order], tokens, kinds, buckets
         self.rare_tokens, self.rare_kinds = tokens - int(counts.sum()), kinds - len(counts)
         # tasks that share the contexts of a word, dealt by the word before
-        own = np.concatenate([[tokens / 50, 0, self.rare_tokens], self.counts])
+        own = np.concatenate([[tokens / 50, 0, tokens / 50], self.counts])
         self.pieces = np.maximum(1, np.ceil(own / max(1.0, tokens / buckets / 4))).astype(np.int64)
         self.root0 = np.maximum(np.concatenate([[0, 0, self.rare_tokens], self.counts]), 0).astype(float)
 
-    def ids(self, kinds: np.ndarray) -> np.ndarray:
-        out = np.full(len(kinds), RARE, np.int64)
+    def ids(self, kinds: np.ndarray, count: np.ndarray, number: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """Ids of words with their corpus counts, and their numbers in their ranges: RARE is what no training row has."""
+        out = np.where(count > 0, FIRST + len(self.hashes) + number * self.words_range + to, RARE)
+        if out.max(initial=0) >> 32:
+            raise ValueError("more words than 32 bits can number")
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, kinds), len(self.hashes) - 1)
             hit = self.hashes[at] == kinds
@@ -200,6 +207,16 @@ class Vocabulary:
         return out
 
 
+def dealt_to(pieces: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """To how many tasks the contexts go that end in each word: one where the root has no dish of it."""
+    return np.where(b < len(pieces), pieces[np.minimum(b, len(pieces) - 1)], 1)
+
+
+def rooted(root: np.ndarray, w: np.ndarray, rare: np.ndarray, all_rare: int) -> np.ndarray:
+    """The root's probabilities of words: of those it has no dish of, a share of RARE's."""
+    return np.where(rare > 0, root[RARE] * rare / all_rare, root[np.where(rare > 0, RARE, w)])
+
+
 def _send_triples(vocabulary):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
@@ -209,42 +226,45 @@ def _send_triples(vocabulary):
         part = docs.column("part")[0].as_py()
         each, kinds, _ = _tokens(docs)
         to = _range(_mixed(kinds), v.words_range)
-        count = np.zeros(len(kinds), np.int64)
+        count, number = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
         for b, block in zip(replies.column("bucket").to_pylist(), replies.column("block"), strict=True):
-            count[to == b] = _unpacked(block.as_py(), "<u8")[0]
-        ids = v.ids(kinds)
+            at = to == b
+            count[at], number[at] = _unpacked(block.as_py(), "<u8", "<i8")
+        ids = v.ids(kinds, count, number, to)
         base = np.log10((count + 1) / (v.tokens + v.kinds + 1))
-        rare = np.where(ids == RARE, np.log10((count + 1) / (v.rare_tokens + v.rare_kinds + 1)), 0.0)
+        # what the root's share of a word goes by: its count, or 0 where it has a dish there
+        rare = np.where((ids == RARE) | (ids >= FIRST + len(v.hashes)), count + 1, 0).astype(np.uint32)
         size = np.array([len(t) for t in each])
         at = np.searchsorted(kinds, np.concatenate(each)).astype(np.int32)
         del each
         start = np.cumsum(size) - size
-        sums = [np.add.reduceat(x[at], start) for x in ((count > 0).astype(np.int64), base, rare)]
-        w = ids.astype(np.uint32)[at]
-        del at, kinds, count, base, rare
+        sums = [np.add.reduceat(x[at], start) for x in ((count > 0).astype(np.int64), base)]
+        w, rare = ids.astype(np.uint32)[at], rare[at]
+        del at, kinds, count, number, base
         b = np.concatenate([[START], w[:-1]]).astype(np.uint32)
         b[start] = START
         a = np.concatenate([[START], b[:-1]]).astype(np.uint32)
         a[start] = START
         held = docs.column("held").to_numpy()
-        rows: list[tuple] = [(part, i, d, h, int(n), int(k), float(s), float(r), None, None, None) for i, (d, h, n, k, s, r) in enumerate(zip(docs.column("doc_id").to_pylist(), held, size, *sums, strict=True))]
-        piece = _mixed(a.astype(np.uint64) + _U(977)) % v.pieces[b].astype(np.uint64)
-        to_b = (_mixed((b.astype(np.uint64) << _U(24)) + piece + _U(5)) % _U(v.buckets) << _U(32)) | b
+        rows: list[tuple] = [(part, i, d, h, int(n), int(k), float(s), None, None, None) for i, (d, h, n, k, s) in enumerate(zip(docs.column("doc_id").to_pylist(), held, size, *sums, strict=True))]
+        piece = _mixed(a.astype(np.uint64) + _U(977)) % dealt_to(v.pieces, b).astype(np.uint64)
+        to_b = (_mixed((b.astype(np.uint64) << _U(32)) + piece + _U(5)) % _U(v.buckets) << _U(32)) | b
         a_w = (a.astype(np.uint64) << _U(32)) | w
         del a, b, w, piece
         order = np.lexsort((a_w, to_b))  # stable: documents stay in order
         to_b, a_w = to_b[order], a_w[order]
         doc = np.repeat(np.arange(len(size), dtype=np.uint32), size)[order]
+        rare = rare[order]
         del order
         first = np.flatnonzero(np.concatenate([[True], (to_b[1:] != to_b[:-1]) | (a_w[1:] != a_w[:-1])]))
         learned = np.add.reduceat((doc < (~held).sum()).astype(np.uint32), first)
         to_b, a_w, many = to_b[first], a_w[first], np.diff(np.append(first, len(doc))).astype(np.uint32)
         bucket, low = (to_b >> _U(32)).astype(np.int64), _U(0xFFFFFFFF)
-        columns = [x.astype(np.uint32) for x in (to_b & low, a_w >> _U(32), a_w & low, learned)]
+        columns = [x.astype(np.uint32) for x in (to_b & low, a_w >> _U(32), a_w & low, learned, rare[first])]
         first = np.append(first, len(doc))
         edge = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket))
         for x, y in zip(edge, edge[1:], strict=False):
-            rows.append((part, None, None, None, None, None, None, None, int(bucket[x]), _packed(*(c[x:y] for c in columns)), _packed(many[x:y], doc[first[x] : first[y]])))
+            rows.append((part, None, None, None, None, None, None, int(bucket[x]), _packed(*(c[x:y] for c in columns)), _packed(many[x:y], doc[first[x] : first[y]])))
         return _table(rows, _SCORED)
 
     return run
@@ -372,21 +392,24 @@ class Middles:
         return (self.n - self.d * self.t + (STRENGTH[1] + self.d * tables) * root) / (STRENGTH[1] + all_)
 
 
-def _dealt(table: pa.Table) -> tuple[Restaurants, np.ndarray]:
-    """(restaurants with the counts of all parts, dish of each distinct triple of each block in turn)."""
-    b, a, w, n = (np.concatenate(c) for c in zip(*(_unpacked(x.as_py(), *["<u4"] * 4) for x in table.column("block")), strict=True))
-    a_w = (a.astype(np.uint64) << _U(32)) | w
+def _dealt(table: pa.Table) -> tuple[Restaurants, np.ndarray, np.ndarray, np.ndarray]:
+    """(restaurants with the counts of all parts, dish of each distinct triple of each block in turn, words, and their counts where rare).
+
+    The restaurants have words by their places among the words."""
+    b, a, w, n, rare = (np.concatenate(c) for c in zip(*(_unpacked(x.as_py(), *["<u4"] * 5) for x in table.column("block")), strict=True))
+    words_, at, w = np.unique(w, return_index=True, return_inverse=True)
+    a_w = (a.astype(np.uint64) << _U(32)) | w.astype(np.uint64)
     order = np.lexsort((a_w, b))
     new = np.concatenate([[True], (a_w[order][1:] != a_w[order][:-1]) | (b[order][1:] != b[order][:-1])])
     dish = np.empty(len(b), np.int32)
     dish[order] = np.cumsum(new, dtype=np.int32) - 1
     first = order[new]
-    return Restaurants(np.stack([b[first], a[first], w[first]]), np.bincount(dish, n, len(first)).astype(np.int64)), dish
+    return Restaurants(np.stack([b[first], a[first], w[first]]), np.bincount(dish, n, len(first)).astype(np.int64)), dish, words_.astype(np.int64), rare[at].astype(np.int64)
 
 
 def _elsewhere(r: Restaurants, pieces: np.ndarray, tasks: int) -> dict[int, np.ndarray]:
     """The pairs whose middle word has its restaurant in another task, by that task."""
-    at = np.flatnonzero(pieces[r.pair_b.astype(np.int64)] > 1)
+    at = np.flatnonzero(dealt_to(pieces, r.pair_b.astype(np.int64)) > 1)
     to = (_mixed(r.pair_b[at] + _U(31)) % _U(tasks)).astype(np.int64)
     return {int(x): at[to == x] for x in np.unique(to)}
 
@@ -396,16 +419,17 @@ _SUMS = pa.schema([("part", pa.int32()), ("block", pa.binary())])
 _GIVEN = pa.schema([("bucket", pa.int32()), ("task", pa.int32()), ("block", pa.binary())])
 
 
-def _customers(w: np.ndarray, n: np.ndarray) -> list[tuple]:
+def _customers(w: np.ndarray, rare: np.ndarray, n: np.ndarray) -> list[tuple]:
     """Rows of the root's customers."""
-    total = np.bincount(w, n).astype(np.int64)
+    total = np.bincount(np.where(rare > 0, RARE, w), n).astype(np.int64)
     return [(int(x), int(total[x]), None, None, None) for x in np.flatnonzero(total)]
 
 
 def _rooted(root, seed: int, tasks: int):
     def run(table: pa.Table) -> pa.Table:
-        first, pieces = root.value
-        r, _ = _dealt(table)
+        first, pieces, all_rare = root.value
+        r, _, w, rare = _dealt(table)
+        first = rooted(first, w, rare, all_rare)
         bucket = table.column("bucket")[0].as_py()
         rng = np.random.default_rng([seed, bucket])
         for _ in range(BURN):
@@ -415,43 +439,46 @@ def _rooted(root, seed: int, tasks: int):
         rows = []
         for to, at in sent.items():
             here[at] = False
-            rows.append((None, None, to, bucket, _packed(r.pair_b[at].astype(np.uint32), r.pair_w[at].astype(np.uint32), r.n2[at].astype(np.uint32))))
-        return _table(rows + _customers(r.pair_w[here], r.t2[here]), _ROOT)
+            rows.append((None, None, to, bucket, _packed(*(x.astype(np.uint32) for x in (r.pair_b[at], w[r.pair_w[at]], r.n2[at], rare[r.pair_w[at]])))))
+        of = r.pair_w[here]
+        return _table(rows + _customers(w[of], rare[of], r.t2[here]), _ROOT)
 
     return run
 
 
-def _middles(table: pa.Table) -> tuple[Middles, np.ndarray, np.ndarray, list[int]]:
-    """(restaurants with the tables of all contexts, their dishes, dish of each pair of each block in turn, the blocks' lengths)."""
-    sent = [_unpacked(x.as_py(), *["<u4"] * 3) for x in table.column("block")]
-    b, w, n = (np.concatenate(c) for c in zip(*sent, strict=True))
-    kinds, dish = np.unique((b.astype(np.uint64) << _U(32)) | w, return_inverse=True)
-    return Middles(kinds >> _U(32), np.bincount(dish, n, len(kinds)).astype(np.int64)), (kinds & _U(0xFFFFFFFF)).astype(np.int64), dish, [len(x[0]) for x in sent]
+def _middles(table: pa.Table) -> tuple[Middles, np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """(restaurants with the tables of all contexts, their words, and their counts where rare, dish of each pair of each block in turn, the blocks' lengths)."""
+    sent = [_unpacked(x.as_py(), *["<u4"] * 4) for x in table.column("block")]
+    b, w, n, rare = (np.concatenate(c) for c in zip(*sent, strict=True))
+    kinds, at, dish = np.unique((b.astype(np.uint64) << _U(32)) | w, return_index=True, return_inverse=True)
+    return Middles(kinds >> _U(32), np.bincount(dish, n, len(kinds)).astype(np.int64)), w[at].astype(np.int64), rare[at].astype(np.int64), dish, [len(x[0]) for x in sent]
 
 
 def _middles_rooted(root, seed: int):
     def run(table: pa.Table) -> pa.Table:
-        first, _ = root.value
-        m, w, _, _ = _middles(table)
+        first, _, all_rare = root.value
+        m, w, rare, _, _ = _middles(table)
+        first = rooted(first, w, rare, all_rare)
         rng = np.random.default_rng([seed, 1, table.column("task")[0].as_py()])
         for _ in range(BURN):
-            m.sweep(first[w], rng)
-        return _table(_customers(w, m.t), _ROOT)
+            m.sweep(first, rng)
+        return _table(_customers(w, rare, m.t), _ROOT)
 
     return run
 
 
 def _middles_given(root, seed: int):
     def run(table: pa.Table) -> pa.Table:
-        first, _ = root.value
-        m, w, dish, sizes = _middles(table)
+        first, _, all_rare = root.value
+        m, w, rare, dish, sizes = _middles(table)
+        first = rooted(first, w, rare, all_rare)
         task = table.column("task")[0].as_py()
         rng = np.random.default_rng([seed, 1, task])
         mean = np.zeros(len(w))
         for i in range(BURN + SAMPLES):
-            m.sweep(first[w], rng)
+            m.sweep(first, rng)
             if i >= BURN:
-                mean += m.predictive(first[w]) / SAMPLES
+                mean += m.predictive(first) / SAMPLES
         each = np.split(mean[dish].astype(np.float32), np.cumsum(sizes)[:-1])
         return _table([(bucket, task, _packed(p)) for bucket, p in zip(table.column("bucket").to_pylist(), each, strict=True)], _GIVEN)
 
@@ -462,8 +489,9 @@ def _scored(root, seed: int, tasks: int):
     def run(table: pa.Table, given: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _table([], _SUMS)
-        first, pieces = root.value
-        r, dish = _dealt(table)
+        first, pieces, all_rare = root.value
+        r, dish, w, rare = _dealt(table)
+        first = rooted(first, w, rare, all_rare)
         sent = _elsewhere(r, pieces, tasks)
         for task, p in zip(given.column("task").to_pylist(), given.column("block"), strict=True):
             r.given[sent[task]] = _unpacked(p.as_py(), "<f4")[0]
@@ -545,8 +573,8 @@ def scores(docs: DataFrame, part: int = PART, vocabulary: int = VOCABULARY, trip
     dropped(counts)
     released(spark)
     packed = made.filter("block IS NOT NULL")
-    dishes = len(v.hashes) + 2  # START is never a dish
-    first = spark.sparkContext.broadcast(((v.root0 + 1) / (v.root0.sum() + dishes), v.pieces))
+    dishes, all_rare = len(v.hashes) + 2, v.rare_tokens + v.rare_kinds + 1  # START is never a dish
+    first = spark.sparkContext.broadcast(((v.root0 + 1) / (v.root0.sum() + dishes), v.pieces, all_rare))
     seated_ = written(packed.select("bucket", "block").groupBy("bucket").applyInArrow(_rooted(first, SEED, v.buckets), _ddl(_ROOT)), "seated")
     split = seated_.filter("block IS NOT NULL").select("task", "bucket", "block")
     root = seated_.filter("w IS NOT NULL").unionByName(split.groupBy("task").applyInArrow(_middles_rooted(first, SEED), _ddl(_ROOT)))
@@ -555,10 +583,10 @@ def scores(docs: DataFrame, part: int = PART, vocabulary: int = VOCABULARY, trip
         customers[r["w"]] = r["n"]
     del root  # it holds on to its shuffle files
     released(spark)
-    second = spark.sparkContext.broadcast((root_table(customers, dishes), v.pieces))
+    second = spark.sparkContext.broadcast((root_table(customers, dishes), v.pieces, all_rare))
     given = written(split.groupBy("task").applyInArrow(_middles_given(second, SEED + 1), _ddl(_GIVEN)), "given")
     dropped(seated_)
     sums = packed.select("bucket", "part", "block", "docs").groupBy("bucket").cogroup(given.groupBy("bucket")).applyInArrow(_scored(second, SEED + 1, v.buckets), _ddl(_SUMS))
     total = sums.groupBy("part").applyInArrow(_summed, _ddl(_TOTAL))
     out = made.filter("place IS NOT NULL").drop("bucket", "block", "docs").join(total, ["part", "place"])
-    return out.select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), (F.col("model") + F.col("rare")).alias("score"))
+    return out.select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("model").alias("score"))

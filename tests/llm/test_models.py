@@ -52,6 +52,18 @@ def test_language_model_is_one_however_it_is_dealt(spark):
     assert dealt == pytest.approx(whole, abs=0.03)
 
 
+def test_language_model_learns_every_word(spark):
+    """Words beyond the root's own, and words seen less than four times, keep what follows what."""
+    rnd = random.Random(6)
+    pair = [(f"a{i}", f"b{i}") for i in range(600)]
+    rows = [(i, " ".join(" ".join(pair[(3 * i + k) % 600]) for k in rnd.sample(range(9), 9))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    few, all_ = (language_model.scores(df, vocabulary=v).collect() for v in (20, 65_000))
+    for out in (few, all_):  # a pair's second word is sure, its first one of 600: half of all tokens cost little
+        part = [r for r in out if not r["held_out"]]
+        assert sum(r["score"] for r in part) / sum(r["n_tokens"] for r in part) > -1.9
+
+
 def test_seatings_give_a_distribution():
     """Over all words, the predictive probabilities of every context add up to one."""
     rng = np.random.default_rng(3)
