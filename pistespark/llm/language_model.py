@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import held_out, slices, written
+from pistespark.llm.common import held_out, written
 from pistespark.shared import dropped, released
 
 FOLD, VOCABULARY, PART, WORDS_RANGE, TRIPLES, BURN, SAMPLES, EXACT, SEED = 7, 65_000, 8 << 20, 400_000, 1_500_000, 2, 3, 48, 11
@@ -55,11 +55,12 @@ _U = np.uint64
 _B = _U(0x9E3779B97F4A7C15)
 _INV = _U(pow(int(_B), -1, 1 << 64))
 _MIX = _U(0xD6E8FEB86659FD93)
-_SIZE = (1 << 20) + 64
+#: Bytes of a text that are hashed at once.
+WINDOW = 1 << 19
 
 
 def _powers(base: np.uint64) -> np.ndarray:
-    out = np.full(_SIZE, base, np.uint64)
+    out = np.full(WINDOW + 1, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
@@ -78,18 +79,30 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def words(text: str | None) -> np.ndarray:
     """Hashes of a text's tokens: its words, A-Z lower-cased, and the end."""
-    out = []
-    for part in slices((text or "").encode("utf-8", "replace"), 1 << 19):
-        data = np.frombuffer(part, np.uint8)
-        while len(data):  # a word longer than the slice is hashed in pieces, alike wherever it stands
-            now, data = data[: 1 << 20], data[1 << 20 :]
-            inside = np.zeros(len(now) + 2, bool)
-            inside[1:-1] = _IS_WORD[now]
-            edge = np.flatnonzero(inside[1:] != inside[:-1])
-            total = np.zeros(len(now) + 1, np.uint64)
-            np.cumsum((_LOWER[now] + _U(1)) * _UP[: len(now)], dtype=np.uint64, out=total[1:])
-            first, last = edge[::2], edge[1::2]
-            out.append(_mixed(((total[last] - total[first]) * _DOWN[first]) ^ (last - first).astype(np.uint64)))
+    whole = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
+    out: list[np.ndarray] = []
+    run, length = 0, 0  # hash and length of a word that the window before left open
+    for at in range(0, len(whole), WINDOW):
+        now = whole[at : at + WINDOW]
+        inside = np.zeros(len(now) + 2, bool)
+        inside[1:-1] = _IS_WORD[now]
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        total = np.zeros(len(now) + 1, np.uint64)
+        np.cumsum((_LOWER[now] + _U(1)) * _UP[: len(now)], dtype=np.uint64, out=total[1:])
+        first, last = edge[::2], edge[1::2]
+        size, value = (last - first).astype(np.uint64), (total[last] - total[first]) * _DOWN[first]
+        if length and len(first) and first[0] == 0:
+            value[0] = _U((run + pow(int(_B), length, 1 << 64) * int(value[0])) % (1 << 64))
+            size[0] += _U(length)
+        elif length:
+            out.append(_mixed(np.array([run], np.uint64) ^ _U(length)))
+        run, length = 0, 0
+        if len(last) and last[-1] == len(now):
+            run, length = int(value[-1]), int(size[-1])
+            value, size = value[:-1], size[:-1]
+        out.append(_mixed(value ^ size))
+    if length:
+        out.append(_mixed(np.array([run], np.uint64) ^ _U(length)))
     return np.concatenate([*out, [END_HASH]])
 
 

@@ -64,6 +64,16 @@ def test_language_model_learns_every_word(spark):
         assert sum(r["score"] for r in part) / sum(r["n_tokens"] for r in part) > -1.9
 
 
+def test_long_words_stay_whole():
+    """Windows never cut a word, whatever white space parts the words."""
+    for text in ("Ab9é" * 500_000, "\r".join(f"word{i}" for i in range(300_000)), "x" * (1 << 19) + "\v" + "y" * 9, "x " * (1 << 18) + "tail", "z" * ((1 << 19) - 1) + "\f" + "q"):
+        want, got = WORD.findall(text), language_model.words(text)
+        assert len(got) == len(want) + 1
+        assert got[0] == language_model.words("a " + want[0])[1] and got[-2] == language_model.words("a " + want[-1])[1]
+    assert len({int(language_model.words("x" * n)[0]) for n in (9, 2_000_000, 2_000_001)}) == 3
+    assert language_model.words("a " + "X" * 2_000_000)[1] == language_model.words("x" * 2_000_000 + " b")[0]
+
+
 def test_seatings_give_a_distribution():
     """Over all words, the predictive probabilities of every context add up to one."""
     rng = np.random.default_rng(3)
