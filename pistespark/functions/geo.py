@@ -109,6 +109,33 @@ def centroid_of_polygon(rings: Column) -> Column:
     return F.when(F.size(rings) > 0, F.when(area > 1e-14, vertex(lat / area, lon / area)).otherwise(centroid_of_line(F.get(rings, F.lit(0)))))
 
 
+def _weighed(values: Column) -> Column:
+    """Sums of (a, lat, lon) over an array of them, as the point (lat / a, lon / a); null if a is 0."""
+    return F.aggregate(values, F.struct(*[F.lit(0.0).alias(f) for f in ("a", "lat", "lon")]), lambda acc, p: F.struct(*[(acc[f] + p[f]).alias(f) for f in ("a", "lat", "lon")]), lambda t: F.when(t["a"] > 1e-14, vertex(t["lat"] / t["a"], t["lon"] / t["a"])))
+
+
+def centroid_of_lines(lines: Column) -> Column:
+    """That of a line, over the segments of all parts; the jumps between parts do not count."""
+
+    def segment(a: Column, b: Column) -> Column:
+        m = F.hypot(b["lat"] - a["lat"], b["lon"] - a["lon"])
+        return F.struct(m.alias("a"), (m * (a["lat"] + b["lat"]) / 2).alias("lat"), (m * (a["lon"] + b["lon"]) / 2).alias("lon"))
+
+    return F.coalesce(_weighed(F.flatten(F.transform(lines, lambda g: _steps(g, segment)))), vertex_mean(F.flatten(lines)))
+
+
+def centroid_of_polygons(parts: Column) -> Column:
+    """Centroid of all polygons of a multipolygon, each less its holes; that of the outer lines if there is no area."""
+
+    def moments(rings: Column) -> Column:
+        signed = F.transform(rings, lambda r, i: F.struct(F.when(i == 0, 1.0).otherwise(-1.0).alias("s"), _moments(r).alias("m")))
+        turn = lambda p: p["s"] * F.signum(p["m"]["c"])
+        return F.transform(signed, lambda p: F.struct((turn(p) * p["m"]["c"]).alias("a"), (turn(p) * (p["m"]["y"] / 3 + p["m"]["c"] * p["m"]["lat"])).alias("lat"), (turn(p) * (p["m"]["x"] / 3 + p["m"]["c"] * p["m"]["lon"])).alias("lon")))
+
+    some = F.filter(F.transform(parts, lambda rings: F.filter(rings, lambda r: F.size(r) > 0)), lambda rings: F.size(rings) > 0)
+    return F.coalesce(_weighed(F.flatten(F.transform(some, moments))), centroid_of_lines(F.transform(some, lambda rings: F.get(rings, F.lit(0)))))
+
+
 def box_around(lat: Column, lon: Column, radius_m: float) -> Column:
     """Bounds of a radius around a point; near a pole the width is that at 0.57 degrees from it."""
     up = radius_m / DEGREE_M

@@ -28,9 +28,9 @@ def _rings(coords: Column) -> Column:
 
 
 def shaped(features: DataFrame) -> DataFrame:
-    """Features with ``geometry`` as a vertex list and ``parts`` as polygons of rings.
+    """Features with ``geometry`` as a vertex list, ``parts`` as polygons of rings, and ``lines`` as a multi-line's parts.
 
-    A multi-line's parts are put in a row; a multipolygon's vertex list is its first outer ring; other types have none."""
+    In ``geometry``, a multi-line's parts are put in a row; a multipolygon's vertex list is its first outer ring; other types have none."""
     kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     point, line, rings, parts = (F.from_json(text, s) for s in (_POSITION, _LINE, _RINGS, _PARTS))
     polygon = _rings(rings)
@@ -42,11 +42,11 @@ def shaped(features: DataFrame) -> DataFrame:
         .when(kind == "Polygon", F.get(polygon, F.lit(0)))
         .when(kind == "MultiPolygon", F.get(F.get(multi, F.lit(0)), F.lit(0)))
     )
-    return features.withColumn("kind", kind).withColumn("geometry", geometry).withColumn("parts", F.when(kind == "Polygon", F.array(polygon)).when(kind == "MultiPolygon", multi))
+    return features.withColumn("kind", kind).withColumn("geometry", geometry).withColumn("parts", F.when(kind == "Polygon", F.array(polygon)).when(kind == "MultiPolygon", multi)).withColumn("lines", F.when(kind == "MultiLineString", polygon))
 
 
 def geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """ordinal, kind, props, geometry, parts of a feature collection, also one that is keyed by layer. Null and empty geometries are dropped.
+    """ordinal, kind, props, geometry, parts, lines of a feature collection, also one that is keyed by layer. Null and empty geometries are dropped.
 
     lines: the path holds one feature per line."""
     if lines:
@@ -60,7 +60,7 @@ def geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
         by_layer = F.flatten(F.transform(F.map_values(F.map_filter(keyed, lambda k, v: v["features"].isNotNull())), lambda v: v["features"]))
         found = raw.select(F.posexplode(F.coalesce(plain, by_layer)).alias("ordinal", "f")).withColumn("ordinal", F.col("ordinal").cast("bigint"))
     out = shaped(found.filter("f.type = 'Feature' AND f.geometry IS NOT NULL"))
-    return out.filter(F.coalesce(F.size("geometry"), F.lit(0)) > 0).select("ordinal", "kind", F.coalesce("f.properties", F.create_map().cast("map<string,string>")).alias("props"), F.col("f.id").alias("feature_id"), "geometry", "parts")
+    return out.filter(F.coalesce(F.size("geometry"), F.lit(0)) > 0).select("ordinal", "kind", F.coalesce("f.properties", F.create_map().cast("map<string,string>")).alias("props"), F.col("f.id").alias("feature_id"), "geometry", "parts", "lines")
 
 
 def areas_for_rollup(features: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def areas_for_nearby(features: DataFrame) -> DataFrame:
     p = F.col("props")
     id_ = F.coalesce(tg.first_id(tg.text_id(p["osm_relation_id"]), tg.text_id(p["osm_way_id"]), tg.text_id(p["osm_id"]), tg.text_id(p["id"])), F.col("ordinal"))
     kind = F.when(p["osm_relation_id"].isNotNull(), "relation").otherwise("way")
-    return features.select("ordinal", kind.alias("area_type"), id_.alias("area_id"), F.coalesce(tg.first_of(p["name"], p["Name"]), F.lit("Unknown")).alias("name"), tg.first_of(p["State"], p["state"]).alias("state"), tg.first_of(p["Country"], p["country"]).alias("country"), "geometry", "parts")
+    return features.select("ordinal", kind.alias("area_type"), id_.alias("area_id"), F.coalesce(tg.first_of(p["name"], p["Name"]), F.lit("Unknown")).alias("name"), tg.first_of(p["State"], p["state"]).alias("state"), tg.first_of(p["Country"], p["country"]).alias("country"), "kind", "geometry", "parts", "lines")
 
 
 def osm_json(spark: SparkSession, path: str) -> DataFrame:

@@ -93,3 +93,20 @@ def test_regions_and_publishing(spark, tmp_path):
     sinks.published(df.filter("region = 'asia'"), out, "2025-01")
     assert spark.read.parquet(out).count() == 2
     assert sinks.export_all({"good": lambda: None, "bad": lambda: 1 / 0}) == {"good": None, "bad": "ZeroDivisionError: division by zero"}
+
+
+def test_centroids_cover_all_parts(spark, tmp_path):
+    """A multipolygon's centre weighs all its polygons less their holes; a multi-line's has no segments between its parts."""
+    big, hole = [[10, 0], [12, 0], [12, 2], [10, 2], [10, 0]], [[10, 0], [11, 0], [11, 1], [10, 1], [10, 0]]
+    found = [
+        feature("MultiPolygon", [[SQUARE], [big, hole]]),
+        feature("MultiLineString", [[[0, 0], [2, 0]], [[10, 4], [10, 8]]]),
+        feature("MultiPoint", [[0, 0], [0, 1], [6, 2]]),
+        feature("MultiPolygon", [[[[0, 0], [2, 0], [0, 0]]], [[[10, 4], [10, 8], [10, 4]]]]),
+    ]
+    doc = readers.geojson(spark, put(tmp_path / "m.geojson", {"features": found}))
+    got = [tuple(round(x, 9) for x in r["c"]) for r in doc.withColumn("c", jobs.planar_centroid()).orderBy("ordinal").collect()]
+    # areas 1 at (0.5, 0.5) and 4 - 1 at ((4 * 1 - 0.5) / 3, (4 * 11 - 10.5) / 3); lengths 2 at (0, 1) and 4 at (6, 10)
+    assert got == [((0.5 + 3.5) / 4, (0.5 + 33.5) / 4), (4, 7), (1, 2), (4, 7)]
+    areas = readers.areas_for_nearby(doc)
+    assert areas.withColumn("c", jobs.planar_centroid()).filter("c IS NULL").count() == 0
