@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -15,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a fresh local one only where that is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where that is unset, a fresh local folder
+    if all runs in this one process (tests), and an error on a cluster, whose executors would not see such a folder."""
     sc = spark.sparkContext
     known = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not known:
+        if not re.fullmatch(r"local(\[[^,]*(,[^,]*)?\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(known)
     return known.rstrip("/")
@@ -43,14 +47,26 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores added as keep it apart from the taken ones, in any case."""
+    held, out = {c.lower() for c in taken}, []
+    for n in names:
+        while n.lower() in held:
+            n += "_"
+        held.add(n.lower())
+        out.append(n)
+    return out
+
+
 def spread_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join of rows whose keys may be very uneven with a table that has a key once.
 
     A hash of the keys joins along. It is made after whatever grouped ``small``, so both sides get their own
     exchange, which is what AQE needs to split the partitions of a hot key.
     """
+    name = fresh([*big.columns, *small.columns], "_k")[0]
     k = F.xxhash64(*keys)
-    return big.withColumn("_k", k).join(small.withColumn("_k", k), ["_k", *keys], how).drop("_k")
+    return big.withColumn(name, k).join(small.withColumn(name, k), [name, *keys], how).drop(name)
 
 
 def released(spark: SparkSession) -> None:
