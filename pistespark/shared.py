@@ -28,6 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+#: Tables that ``written`` has made, by application.
+_TABLES: dict[str, list[str]] = {}
+
+
 def written(df: DataFrame, name: str = "part") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -36,15 +40,26 @@ def written(df: DataFrame, name: str = "part") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:
     """Delete the files of a table made by ``written`` that nothing reads any more."""
-    sc = df.sparkSession.sparkContext
     for f in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
-        path = sc._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, f)
+
+
+def cleared(spark: SparkSession) -> None:
+    """Delete all tables that ``written`` has made in this application: for a long session, once the results are stored."""
+    for f in _TABLES.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, f)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(taken: list[str], *names: str) -> list[str]:
