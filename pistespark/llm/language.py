@@ -7,16 +7,17 @@ that have the n-gram. A text's n-grams give a popcount per language; a filter an
 known from its fill, and (hits - n * rate) / (1 - rate) corrects for that. The largest corrected count decides,
 and its share of all languages' counts is the score.
 
-Learning: a sample of at most ``SAMPLE`` rows per language (least hash of the id) of those not held out; tasks
-count n-grams; an n-gram belongs to each language where it is at least ``SHARE`` as frequent as where it is most
-frequent, which keeps foreign passages in the sample from filling a filter; the ``NGRAMS`` commonest per
-language go in. The model is one byte table per eight languages. Prediction reads every whole text once, in
-slices, with no shuffle, from the text alone.
+Learning: a sample of at most ``SAMPLE`` rows per language (least hash of id and text; a repeated row is one) of
+those not held out; tasks count n-grams; an n-gram belongs to each language where it is at least ``SHARE`` as
+frequent as where it is most frequent, which keeps foreign passages in the sample from filling a filter; the
+``NGRAMS`` commonest per language go in. The model is one byte table per eight languages, of which there may be
+``LANGUAGES`` (more raise an error: such a column holds something else). Prediction reads every whole text once,
+in slices that carry open n-grams over, with no shuffle, from the text alone.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0; ties go to the first language
 in code point order; letters that no filter knows give the first learned language with score 1 / languages;
-with nothing to learn from, all is ``und``; a null doc_id is never held out; repeated rows are judged each;
-extra columns are ignored; an empty table gives none.
+with nothing to learn from, all is ``und``; a null doc_id is never held out; repeated rows are judged each, and
+rows that share an id are each as likely to be learned from; extra columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import held_out, thinned, written
+from pistespark.llm.common import held_out, row_hash, thinned, written
 
-SAMPLE, NGRAMS, SIZES, SHARE, CELLS, PROBES, FOLD, SLICE = 1500, 30_000, (2, 3, 4), 0.25, 1 << 19, 3, 4, 1 << 18
+SAMPLE, NGRAMS, SIZES, SHARE, CELLS, PROBES, FOLD, SLICE, LANGUAGES = 1500, 30_000, (2, 3, 4), 0.25, 1 << 19, 3, 4, 1 << 18, 512
 UND = "und"
 _P, _M = np.uint64(0x100000001B3), np.uint64(0xFF51AFD7ED558CCD)
 _BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
@@ -44,31 +45,37 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
+def grams(text: str, sizes: tuple[int, ...] = SIZES, size: int = SLICE) -> Iterator[np.ndarray]:
+    """64-bit hashes of a text's n-grams of letters, runs of anything else counting as one blank; it begins and ends with a blank.
+
+    They come slice by slice; what an n-gram needs of the slice before is carried over, so where cuts are makes no difference."""
+    letters, text = _letters(), text.lower()
+    tail, inside = np.array([32], np.uint64), False  # the last points, and whether the last of all was a letter
+    for at in range(0, len(text), size):
+        points = np.frombuffer(text[at : at + size].encode("utf-32-le", "surrogatepass"), "<u4")
+        letter = letters[np.minimum(points, 0x10FFFF)]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= inside
+        inside = bool(letter[-1])
+        new = np.where(letter, points, 32)[keep].astype(np.uint64)
+        if at + size >= len(text) and inside:
+            new = np.append(new, np.uint64(32))
+        if not len(new):
+            continue
+        roll = points = np.concatenate([tail, new])
+        out = []
+        for n in range(2, max(sizes) + 1):
+            roll = roll[:-1] * _P + points[n - 1 :]
+            if n in sizes:
+                h = (roll[max(0, len(tail) - n + 1) :] ^ np.uint64(n)) * _M
+                out.append(h ^ (h >> np.uint64(32)))
+        tail = points[-(max(sizes) - 1) :]
+        yield np.concatenate(out)
+
+
 def ngrams(text: str, sizes: tuple[int, ...] = SIZES) -> np.ndarray:
-    """64-bit hashes of the n-grams of letters, runs of anything else counting as one blank; begins and ends with a blank."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    letter = _letters()[np.minimum(points, 0x10FFFF)]
-    if not letter.any():
-        return np.zeros(0, np.uint64)
-    points = np.concatenate([[32], np.where(letter, points, 32), [32]])
-    letter = np.concatenate([[False], letter, [False]])
-    keep = letter.copy()
-    keep[0] = True
-    keep[1:] |= letter[:-1]
-    points = points[keep].astype(np.uint64)
-    out, roll = [], points
-    for n in range(2, max(sizes) + 1):
-        roll = roll[:-1] * _P + points[n - 1 :]
-        if n in sizes:
-            h = (roll ^ np.uint64(n)) * _M
-            out.append(h ^ (h >> np.uint64(32)))
-    return np.concatenate(out)
-
-
-def parts(text: str) -> Iterator[str]:
-    """Slices of a text; n-grams across a cut are given up, at one place in SLICE characters."""
-    for at in range(0, len(text), SLICE):
-        yield text[at : at + SLICE]
+    return np.concatenate([np.zeros(0, np.uint64), *grams(text, sizes)])
 
 
 @dataclass
@@ -98,8 +105,7 @@ class Filters:
         if text is None or not self.languages:
             return UND, 0.0
         n, hits = 0, np.zeros(8 * len(self.table), np.int64)
-        for part in parts(text):
-            h = ngrams(part)
+        for h in grams(text):
             n += len(h)
             if len(h):
                 at = list(self.places(h))
@@ -119,33 +125,35 @@ class Filters:
 
 def learn(docs: DataFrame, sample: int = SAMPLE, top: int = NGRAMS) -> Filters:
     rows = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), FOLD))
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # thinned to about 1.5 times the sample per language first, so that ranking it is a small task whatever the corpus
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, (1.5 * sample + 50) / n))])[F.col("lang")] if sizes else F.lit(1.0)
-    ids = thinned(rows.select("lang", "doc_id"), share, F.col("doc_id")).withColumn("r", F.row_number().over(pick)).filter(F.col("r") <= sample).select("lang", "doc_id").distinct()
-    ids = written(ids, "sample")  # at most ``sample`` ids per language
-    chosen = rows.join(F.broadcast(ids.withColumnRenamed("lang", "_l")), (rows["doc_id"].eqNullSafe(ids["doc_id"])) & (F.col("lang") == F.col("_l")), "left_semi")
+    rows = rows.withColumn("h", row_hash())
+    sizes = rows.groupBy("lang").agg(F.least(F.lit(1.0), (1.5 * sample + 50) / F.count("*")).alias("share"))
+    if sizes.count() > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} languages to learn")
+    some = thinned(rows.select("lang", "h").join(F.broadcast(sizes), "lang"), F.col("share"), F.col("h")).select("lang", "h").distinct()
+    picked = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= sample).select("lang", "h")
+    picked = written(picked, "sample")  # at most ``sample`` hashes per language
+    chosen = rows.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))  # repeated rows once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by: dict[str, list[np.ndarray]] = {}
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                by.setdefault(name, []).extend(ngrams(p) for p in parts(text.as_py()))
+                by.setdefault(name, []).extend(grams(text.as_py()))
             for name, some in by.items():
-                h, n = np.unique(np.concatenate(some), return_counts=True)
+                h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *some]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "h", "n"])
 
-    counts = chosen.select("lang", "text").mapInArrow(run, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
+    counts = written(chosen.select("lang", "text"), "texts").mapInArrow(run, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
     counts = written(counts, "ngrams")
     total = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     rated = counts.join(total, "lang").withColumn("rate", F.col("n") / F.col("all"))
     rated = rated.withColumn("most", F.max("rate").over(Window.partitionBy("h"))).filter(F.col("rate") >= SHARE * F.col("most"))
     best = rated.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "h"))).filter(F.col("r") <= top)
-    grams: dict[str, list[int]] = {r["lang"]: [] for r in total.select("lang").collect()}
+    kept: dict[str, list[int]] = {r["lang"]: [] for r in total.select("lang").collect()}
     for r in best.groupBy("lang").agg(F.collect_list("h").alias("h")).collect():  # at most ``top`` per language
-        grams[r["lang"]] = r["h"]
-    return Filters.built({k: np.array(v, np.int64).view(np.uint64) for k, v in grams.items()})
+        kept[r["lang"]] = r["h"]
+    return Filters.built({k: np.array(v, np.int64).view(np.uint64) for k, v in kept.items()})
 
 
 def languages(docs: DataFrame) -> DataFrame:

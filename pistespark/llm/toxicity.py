@@ -4,16 +4,18 @@ score = sigmoid(w0 + sum w_i + sum over pairs <v_i, v_j>) over the hashed terms
 without punctuation, and the first four and five bytes of longer words, so that unseen forms of a stem count.
 The pair term learns what two terms mean together, such as an insult with a group's name, at linear cost.
 
-Learning: of the labelled rows whose crc32 is not held out, a sample of at most ``SAMPLE`` (least hash of the
-id; the bound is a parameter) joins its texts; tasks turn these to term ids; Spark counts each term's rows and
+Learning: of the labelled rows whose crc32 is not held out, a sample of at most ``SAMPLE`` (least hash of id and
+text; the bound is a parameter) joins its texts; tasks turn these to term ids; Spark counts each term's rows and
 positive rows and keeps the ``TERMS`` with the largest likelihood ratio, above ``LEAST_GAIN`` (what chance gives
-one term in some 100,000). The driver gets those counts and the
-sample's kept terms, both bounded, and fits the machine by Adam. Scoring reads every whole text once, in
-slices, with no shuffle; the model that goes along has TERMS * (FACTORS + 1) numbers.
+one term in some 100,000). The driver gets those counts and the sample's kept terms, both bounded, and fits the
+machine by Adam, in the order of the hashes, so the layout of the files makes no difference. Scoring reads every
+whole text once, in slices that cut no word, with no shuffle; the model that goes along has
+TERMS * (FACTORS + 1) numbers.
 
 Defined results: null is the empty text, scored by w0 alone; labels with null toxic are not used, and an id
 labelled twice is toxic if one label says so; without usable labels every score is the prior 0; a null doc_id
-is never held out; repeated rows are scored each; extra columns are ignored; an empty table gives none.
+is never held out; repeated rows are scored each and learned once; rows that share a labelled id share its label;
+extra columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import held_out, slices, thinned, written
+from pistespark.llm.common import held_out, row_hash, slices, thinned, written
 
 SAMPLE, TERMS, FACTORS, HASH_BITS, THRESHOLD, FOLD = 20_000, 4096, 8, 20, 0.3, 4
 STEPS, BATCH, RATE, DECAY, LEAST_ROWS, LEAST_GAIN = 2500, 256, 0.02, 2e-3, 3, 20.0
@@ -119,10 +121,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = written(known, "known")
     # thinned first, so that taking the first ``sample`` is a small task whatever the number of labels
-    known = thinned(known, F.lit(min(1.0, (1.5 * sample + 50) / max(1, known.count()))), F.col("doc_id"))
+    known = thinned(known, F.lit(min(1.0, (1.5 * sample + 50) / max(1, known.count()))), F.xxhash64("doc_id"))
     known = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "labelled")  # at most ``sample`` rows of 12 bytes
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").withColumn("at", F.monotonically_increasing_id())
-    rows = written(_terms(rows), "terms")
+    # an id may come in many rows: these are thinned as well, by a hash of their own, so that the sample's bound holds
+    many = docs.select("doc_id").join(F.broadcast(known), "doc_id").count()
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(row_hash().alias("at"), "toxic", "text")
+    rows = thinned(rows, F.lit(min(1.0, (1.5 * sample + 50) / max(1, many))), F.col("at"))
+    rows = _terms(rows).groupBy("at").agg(F.first("toxic").alias("toxic"), F.first("terms").alias("terms")).orderBy("at").limit(sample)
+    rows = written(rows.repartition(16), "terms")
     n, pos = rows.agg(F.count("*"), F.sum("toxic")).first()
     if not n:
         return Machine({}, -np.inf, np.zeros(0), np.zeros((0, factors)))
