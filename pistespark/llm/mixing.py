@@ -5,30 +5,36 @@
    source with a third of all rows is never in one task.
 2. Targets: weights 5, 2, 1 repeating over the sources by code point share all words; no target passes
    ``most`` times its source's size, and what is above is shared again by weight.
-3. Output slots form shards of ``shard_slots``. A pseudorandom permutation of all slots deals the sources'
-   slots out, so a shard's source counts are one multinomial draw, taken under the condition that the
-   corpus totals equal the targets; unconditioned draws would drift from them by a few per cent on small inputs.
-4. The n-th slot of a source is in epoch n / blocks, and a pseudorandom permutation of the source's block
-   indices, another one for each epoch, gives its block. Slots and documents meet by joining on
-   (source, block index). Each epoch uses a block once, so no word is taken more than ``most`` times;
-   the last slot of a source is cut so that its words add up to its target.
+3. Output slots form shards of ``shard_slots``. Every slot of a shard draws a source with the share that the source
+   has of all slots, so a shard's source counts are a multinomial draw. A correction makes the totals exact: of a
+   source that was drawn too often, the last draws (by shard) go to those that were drawn too seldom, in the order
+   of shards; that is about the square root of a source's slots. The counts per shard are a table.
+4. The n-th slot of a source, counted over the shards, is in epoch n / blocks, and a pseudorandom permutation of the
+   source's block indices, another one for each epoch, gives its block. Slots and documents meet by joining on
+   (source, block index). Each epoch uses a block once, so no word is taken more than ``most`` times. A source
+   has as many slots as its target needs, also where its short last block is among them, and its last slot is
+   cut, so that its words are its target, rounded.
 
 The permutations are swap-or-not networks keyed by ``seed`` over any domain size, so a rerun agrees.
 
-Defined results: null text has size 0; a null source is a source, after all others; rows of size 0 take 0;
-repeated rows count each; extra columns are ignored; an empty table gives none. One row per source is
-collected to the driver, to share out the targets.
+Defined results: null text has size 0; a null source is a source, after all others; rows of size 0 take 0; a text
+of any length is a range of blocks; a source of one block takes from it in every epoch; rows of one source are in
+the order of salted hashes of id and text, and repeated rows stand next to each other and count each; ``taken``
+ignores extra columns and ``mixed`` returns them, whatever their names; an empty table gives none. One row per
+source is collected to the driver, to share out the targets; more than ``SOURCES`` raise an error.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import WORD, n_words, ranked, salts, written
+from pistespark.llm.common import WORD, fresh, n_words, one_each, ranked, salts, written
 
 WEIGHTS = (5, 2, 1)
-BLOCK, SHARD_SLOTS, MOST, SEED, ROUNDS, EACH = 64, 1024, 3, 17, 14, 20_000
+BLOCK, SHARD_SLOTS, MOST, SEED, ROUNDS, SOURCES = 64, 1024, 3, 17, 14, 100_000
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple = WEIGHTS, most: int = MOST) -> list[tuple[str | None, int, float]]:
@@ -49,61 +55,115 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple = WEIGHTS, most:
     return [(s, n, got[s]) for s, n in order]
 
 
-def permuted(x: Column, n: Column, *key: Column, rounds: int = ROUNDS) -> Column:
-    """The image of x in a pseudorandom permutation of 0 .. n-1: in each round, x and its mirror K - x swap or not, both alike."""
+def permuted(x: Column, n: Column, *key: Column, rounds: int = ROUNDS, back: bool = False) -> Column:
+    """The image of x in a pseudorandom permutation of 0 .. n-1: in each round, x and its mirror K - x swap or not, both alike.
+
+    back: what x is the image of. Each round undoes itself, so that is the rounds in turn from the last."""
 
     def step(y: Column, r: Column) -> Column:
         mirror = F.pmod(F.pmod(F.xxhash64(*key, r), n) - y, n)
         swap = F.xxhash64(F.greatest(y, mirror), *key, r).bitwiseAND(F.lit(1)) == 1
         return F.when(swap, mirror).otherwise(y)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), x, step)
+    turns = F.sequence(F.lit(rounds), F.lit(1), F.lit(-1)) if back else F.sequence(F.lit(1), F.lit(rounds))
+    return F.aggregate(turns, x, step)
 
 
-def sized(docs: DataFrame, by_text: bool = False) -> DataFrame:
+def sized(docs: DataFrame) -> DataFrame:
     """One row per document, with its size and the salted order that its source is packed in."""
-    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *([F.xxhash64("text").alias("text_hash")] if by_text else [])), "sizes")
-    s = salts(rows.count(), EACH)
-    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(s)).cast("int"))
+    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash")), "sizes")
+    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(SEED)), F.lit(salts(rows.count()))).cast("int"))
 
 
-def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED, by_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(placed, slots). placed: a row per document: doc_id, source, src, size, source_size, target, offset, salt, _row.
-    slots: shard, slot, src, epoch, block, take (words of that block, from its start)."""
-    rows = sized(docs, by_text)
-    spark = docs.sparkSession
-    plan = targets([(r["source"], r["n"]) for r in rows.groupBy("source").agg(F.sum("size").alias("n")).collect()])
-    made, at = [], 0
-    for i, (name, size, target) in enumerate(plan):
-        blocks = -(-size // block)
+def planned(docs: DataFrame, sizes: list[tuple[str | None, int]], block: int, seed: int) -> list[dict]:
+    """Per source, in order: name, src, size, target, blocks, epochs that are whole, rest (words of the last one),
+    short (words of its last block), turn (the short block's place in the last epoch), n (slots)."""
+    made = []
+    for i, (name, size, target) in enumerate(targets(sizes)):
         words = min(int(target + 0.5), MOST * size)
         epochs, rest = divmod(words, size) if size else (0, 0)
-        n = epochs * blocks + -(-rest // block)
-        made.append((name, i, size, target, blocks, epochs, rest, n, at))
-        at += n
-    sources = spark.createDataFrame(made, "source string, src int, source_size long, target double, blocks long, epochs long, rest long, n long, first long")
-    rows = rows.join(sources.select("source", "src", "source_size", "target").withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    placed = ranked(rows, ["src"], ["doc_id", "size"], "salt", F.col("size"), "offset")
-
-    slots = spark.range(at).withColumn("p", permuted(F.col("id"), F.lit(max(at, 1)).cast("long"), F.lit(seed)))
-    firsts = F.array(*[F.lit(x[8]).cast("long") for x in made if x[7]]) if at else F.array(F.lit(0).cast("long"))
-    picked = F.array(*[F.struct(*[F.lit(v).cast("long").alias(k) for k, v in zip(("src", "blocks", "epochs", "rest", "first"), (x[1], x[4], x[5], x[6], x[8]), strict=True)]) for x in made if x[7]] or [F.struct(*[F.lit(0).cast("long").alias(k) for k in ("src", "blocks", "epochs", "rest", "first")])])
-    slots = slots.withColumn("s", F.element_at(picked, F.size(F.filter(firsts, lambda f: f <= F.col("p")))))
-    slots = slots.select(F.col("id"), (F.col("p") - F.col("s.first")).alias("nth"), "s")
-    slots = slots.withColumn("epoch", F.expr("nth div s.blocks")).withColumn("place", F.col("nth") % F.col("s.blocks"))
-    left = F.col("s.rest") - F.col("place") * block
-    take = F.when(F.col("epoch") == F.col("s.epochs"), F.least(left, F.lit(block).cast("long"))).otherwise(F.lit(block).cast("long"))
-    drawn = permuted(F.col("place"), F.col("s.blocks"), F.lit(seed), F.col("s.src"), F.col("epoch"))
-    slots = slots.select(F.expr(f"id div {shard_slots}").alias("shard"), (F.col("id") % shard_slots).alias("slot"), F.col("s.src").cast("int").alias("src"), "epoch", drawn.alias("block"), take.alias("take"))
+        blocks = -(-size // block)
+        made.append({"name": name, "src": i, "size": size, "target": target, "blocks": blocks, "epochs": epochs, "rest": rest, "short": size - (blocks - 1) * block})
+    if not made:
+        return made
+    long = docs.sparkSession.createDataFrame([(x["src"], max(1, x["blocks"]), x["epochs"]) for x in made], "src long, blocks long, epochs long")
+    turn = permuted(F.col("blocks") - 1, F.col("blocks"), F.lit(seed), F.col("src"), F.col("epochs"), back=True)
+    turns = {r["src"]: r["turn"] for r in long.select("src", turn.alias("turn")).collect()}
+    for x in made:
+        x["turn"] = turns[x["src"]]
+        last = -(-x["rest"] // block)
+        if last > x["turn"]:  # the short block is among them, and what it lacks is made up
+            last = -(-(x["rest"] + block - x["short"]) // block)
+        x["n"] = x["epochs"] * x["blocks"] + last
+    return made
+
+
+def shards(docs: DataFrame, plan: list[dict], shard_slots: int, seed: int) -> DataFrame:
+    """shard, src, first, n: the shard has n slots of the source, from its first-th on. Multinomial draws with corrected totals."""
+    spark = docs.sparkSession
+    total = sum(x["n"] for x in plan)
+    longs = lambda values: F.array(*[F.lit(int(v)).cast("long") for v in values]) if plan else F.array(F.lit(0).cast("long"))
+    starts, at = [], 0
+    for x in plan:
+        starts.append(at)
+        at += x["n"]
+    # a ticket per slot: the source that holds it. A source without slots starts where the next one does, and never holds one
+    ticket = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(total, 1)))
+    drawn = spark.range(0, total, 1, max(spark.sparkContext.defaultParallelism, total // 2_000_000)).select(F.expr(f"id div {shard_slots}").alias("shard"), ticket.alias("t"))
+    drawn = drawn.select("shard", (F.size(F.filter(longs(starts), lambda f: f <= F.col("t"))) - 1).alias("src"))
+    counts = written(drawn.groupBy("shard", "src").agg(F.count("*").alias("drawn")), "shards")
+    got = {r["src"]: r["n"] for r in counts.groupBy("src").agg(F.sum("drawn").alias("n")).collect()}
+    near = max(1, isqrt(total // shard_slots))
+    counts = counts.withColumn("salt", F.expr(f"shard div {near}"))
+    rows = ranked(counts, ["src"], ["shard"], "salt", F.col("drawn"), "before").drop("_row")
+    rows = rows.withColumn("kept", F.greatest(F.lit(0).cast("long"), F.least(F.col("drawn"), F.get(longs([x["n"] for x in plan]), F.col("src")) - F.col("before"))))
+    rows = written(rows.withColumn("over", F.col("drawn") - F.col("kept")), "counted")
+    kept = rows.filter("kept > 0").select("shard", "src", F.col("before").alias("first"), F.col("kept").alias("n"))
+    gaps, at = [], 0
+    for x in plan:
+        lack = x["n"] - got.get(x["src"], 0)
+        if lack > 0:
+            gaps.append((x["src"], at, at + lack, got.get(x["src"], 0)))
+            at += lack
+    if not gaps:
+        return kept
+    over = ranked(rows.filter("over > 0").select("shard", "src", "salt", "over", F.lit(0).alias("all")), ["all"], ["shard", "src"], "salt", F.col("over"), "off")
+    lacks = F.array(*[F.struct(*[F.lit(int(v)).cast("long").alias(k) for k, v in zip(("src", "from", "to", "first"), g, strict=True)]) for g in gaps])
+    end = F.col("off") + F.col("over")
+    given = over.select("shard", "off", end.alias("end"), F.explode(F.filter(lacks, lambda g: (g["from"] < end) & (g["to"] > F.col("off")))).alias("g"))
+    low, high = F.greatest("off", "g.from"), F.least("end", "g.to")
+    given = given.select("shard", F.col("g.src").cast("int").alias("src"), (F.col("g.first") + low - F.col("g.from")).alias("first"), (high - low).alias("n"))
+    return kept.unionByName(given)
+
+
+def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(placed, slots). placed: a row per document: doc_id, source, text_hash, src, size, source_size, target, offset, salt, _row.
+    slots: shard, src, nth, epoch, block, take (words of that block, from its start)."""
+    rows = sized(docs)
+    spark = docs.sparkSession
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("n"))
+    if sizes.count() > SOURCES:
+        raise ValueError(f"over {SOURCES} sources")
+    plan = planned(docs, [(r["source"], r["n"]) for r in sizes.collect()], block, seed)
+    sources = spark.createDataFrame([(x["name"], x["src"], x["size"], x["target"]) for x in plan], "_s string, src int, source_size long, target double")
+    rows = rows.join(sources, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    placed = ranked(rows, ["src"], ["doc_id", "text_hash", "size"], "salt", F.col("size"), "offset")
+
+    of = lambda k: F.get(F.array(*[F.lit(int(x[k])).cast("long") for x in plan] or [F.lit(0).cast("long")]), F.col("src"))
+    slots = shards(docs, plan, shard_slots, seed).select("shard", "src", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("nth"))
+    slots = slots.withColumn("blocks", of("blocks")).withColumn("epoch", F.expr("nth div blocks")).withColumn("place", F.col("nth") % F.col("blocks"))
+    so_far = F.col("place") * block - F.when(of("turn") < F.col("place"), block - of("short")).otherwise(0)
+    whole = F.lit(block).cast("long")
+    take = F.when(F.col("epoch") == of("epochs"), F.least(of("rest") - so_far, whole)).otherwise(whole)
+    drawn = permuted(F.col("place"), F.col("blocks"), F.lit(seed), F.col("src").cast("long"), F.col("epoch"))
     # a table: else the join's null filters pull the permutations, written out many times over, below it
-    return placed, written(slots, "slots")
+    return placed, written(slots.select("shard", "src", "nth", "epoch", drawn.alias("block"), take.alias("take")), "slots")
 
 
 def pieces(placed: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
     """Documents joined with the slots that draw their blocks: per piece its document, epoch, first word and number of words."""
     at, end = F.expr(f"offset div {block}"), F.expr(f"(offset + size - 1) div {block}")
-    more = [c for c in ("text_hash",) if c in placed.columns]
-    parts = placed.filter("size > 0").select("src", "salt", "_row", "doc_id", *more, "offset", "size", F.explode(F.sequence(at, end)).alias("block"))
+    parts = placed.filter("size > 0").select("src", "salt", "_row", "doc_id", "source", "text_hash", "offset", "size", F.explode(F.sequence(at, end)).alias("block"))
     parts = parts.withColumn("from", F.greatest(F.col("offset") - F.col("block") * block, F.lit(0))).withColumn("to", F.least(F.col("offset") + F.col("size") - F.col("block") * block, F.lit(block)))
     cut = parts.join(slots, ["src", "block"]).withColumn("words", F.least("to", "take") - F.col("from")).filter("words > 0")
     return cut.withColumn("first", F.col("block") * block + F.col("from") - F.col("offset"))
@@ -123,21 +183,25 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     A text that is taken whole stays as it is; of others the taken stretches follow each other, words parted by
     blanks. n_chars, where there is one, is that of the new text. Texts without words are not in the mix."""
-    placed, slots = mix(docs, block, by_text=True)
+    placed, slots = mix(docs, block)
     placed = written(placed, "placed")
+    id_, hash_, source, parts = fresh(docs.columns, "id", "hash", "from", "parts")
     stretch = F.struct("first", "words")
-    got = pieces(placed, slots, block).groupBy("src", "salt", "_row", "epoch", "doc_id", "text_hash", "size")
-    got = got.agg(F.sum("words").alias("_taken"), F.array_sort(F.collect_list(stretch)).alias("_parts"))
-    got = got.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), (F.col("_taken") == F.col("size")).alias("_whole"), F.when(F.col("_taken") < F.col("size"), F.col("_parts")).alias("_parts"))
-    rows = docs
-    if not placed.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():
-        rows = rows.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
-    out = rows.join(got, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+    got = pieces(placed, slots, block).groupBy("src", "salt", "_row", "epoch", "doc_id", "source", "text_hash", "size")
+    got = got.agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list(stretch)).alias("parts"))
+    # no parts: the whole text
+    got = got.select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("text_hash").alias(hash_), F.when(F.col("taken") < F.col("size"), F.col("parts")).alias(parts))
+    rows, names = docs, docs.columns
+    if not placed.groupBy("doc_id", "source", "text_hash").count().filter("count > 1").isEmpty():
+        key = fresh(names, "key")[0]
+        rows = one_each(docs.withColumn(key, F.xxhash64("text")), ["doc_id", "source", key])
+    same = rows["doc_id"].eqNullSafe(F.col(id_)) & rows["source"].eqNullSafe(F.col(source)) & (F.xxhash64(rows["text"]) == F.col(hash_))
+    out = rows.join(got, same)
     # the words are one element of an array, so that they are split once and not for each stretch
     words = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    stretches = lambda w: F.array_join(F.transform("_parts", lambda p: F.array_join(F.slice(w, p["first"].cast("int") + 1, p["words"].cast("int")), " ")), " ")
+    stretches = lambda w: F.array_join(F.transform(parts, lambda p: F.array_join(F.slice(w, p["first"].cast("int") + 1, p["words"].cast("int")), " ")), " ")
     cut = F.get(F.transform(words, stretches), F.lit(0))
-    out = out.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_whole"), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out = out.withColumn("text", F.when(F.col(parts).isNull(), F.col("text")).otherwise(cut))
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.when(F.col(parts).isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") for c in names])
