@@ -17,14 +17,15 @@ The suffixes that can matter are sorted by a distributed merge sort that knows c
 4. Repeats go back to their documents, which are cut.
 
 An anchor that comes more than ``hot`` times (a common phrase in ever new surroundings) is not kept in one range:
-its suffixes are dealt by their whole content, and its windows meet by their hash in a grouped minimum.
+its suffixes are dealt by their whole content, and its windows meet by their LENGTH bytes in a grouped minimum.
 
 Documents are dealt by a hash of their id into parts of about PART bytes; the two steps that need the text with
 its messages shuffle it. No step holds more than a part, a range, or one document.
 
 Defined results: null text is the empty text; texts under LENGTH bytes lose nothing; a null doc_id comes after
 all others; different texts with one doc_id are ordered by a hash of the text; fully repeated rows stand at the
-same place, so none is earlier than the other; extra columns are ignored; an empty table gives none.
+same place, so none is earlier than the other: they are one row with a count up to the last step; extra columns
+are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pistespark.llm.common import written
-from pistespark.shared import released
+from pistespark.shared import dropped, released, spread_join
 
 LENGTH, GRAM, PART, RANGE, HOT = 100, 32, 8 << 20, 8 << 20, 50_000
 WIDE = LENGTH - GRAM + 1  # anchors to choose from in a window, and most windows in a run
@@ -227,10 +228,10 @@ def windows_repeated(keys: np.ndarray, doc: np.ndarray, tie: np.ndarray, start:
     return row[mine], offset[mine]
 
 
-def window_hashes(keys: np.ndarray, count: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def window_hashes(keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, row, offset) of every window of every suffix."""
     total = np.zeros((len(keys), KEY - 8), np.uint64)
-    np.cumsum((keys[:, 9:] + _U(seed)) * _UP[: KEY - 9], axis=1, dtype=np.uint64, out=total[:, 1:])
+    np.cumsum((keys[:, 9:] + _U(1)) * _UP[: KEY - 9], axis=1, dtype=np.uint64, out=total[:, 1:])
     row = np.repeat(np.arange(len(keys)), count)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     return _mixed((total[row, offset + LENGTH] - total[row, offset]) * _DOWN[offset]), row, offset
@@ -302,18 +303,20 @@ def _repeated_anchors(rows: DataFrame, parts: int, hot: int) -> DataFrame:
     return rows.repartition(parts, dealt).mapInArrow(run, "h long, part int, hot boolean")
 
 
-_OUT = "kind int, bucket int, doc long, tie long, start int, n int, a long, b long, block binary"
-_KINDS = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+#: block: a front-coded run, or the bytes of a window.
+_OUT = "kind int, bucket int, doc long, tie long, start int, n int, block binary"
+_KINDS = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 _NAMES = [x.split()[0] for x in _OUT.split(", ")]
 REPEAT, BLOCK, WINDOW = 0, 1, 2
 
 
-def _rows(kind: int, doc: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray, a: np.ndarray | None = None, b: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+def _rows(kind: int, doc: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray, text: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of rows; text: a row of bytes for each."""
     for at in range(0, len(doc), 1 << 17):
         s = slice(at, at + (1 << 17))
         m = len(doc[s])
         none = [None] * m
-        yield _batch(_NAMES, _KINDS, np.full(m, kind, np.int32), none, doc[s], tie[s], start[s].astype(np.int32), n[s].astype(np.int32), none if a is None else a[s], none if b is None else b[s], none)
+        yield _batch(_NAMES, _KINDS, np.full(m, kind, np.int32), none, doc[s], tie[s], start[s].astype(np.int32), n[s].astype(np.int32), none if text is None else [x.tobytes() for x in text[s]])
 
 
 def _sorted_runs(buckets: int):
@@ -366,12 +369,13 @@ def _sorted_runs(buckets: int):
             if hot.any():
                 to[hot] = (_mixed((keys[hot].astype(np.uint64) * _UP[:KEY]).sum(1, dtype=np.uint64)) >> _U(32)) * _U(buckets) >> _U(32)
             flag = count | (twice.astype(np.int64) << 7)
-            for b in np.unique(to):
-                for often_too in (False, True):
-                    at = np.flatnonzero((to == b) & (hot == often_too))
-                    if len(at):
-                        block = front_coded(keys[at], keys[at, 8].astype(np.int64) + 9, [doc[at].astype("<i8"), tie[at].astype("<i8"), start[at].astype("<i4"), flag[at].astype("u1")])
-                        out.append(_batch(_NAMES, _KINDS, [BLOCK], [int(b) + (buckets if often_too else 0)], [None], [None], [None], [None], [None], [None], [block]))
+            to = to.astype(np.int64) + np.where(hot, buckets, 0)
+            order = np.argsort(to, kind="stable")  # keys stay in order
+            edge = np.append(np.flatnonzero(np.concatenate([[True], to[order][1:] != to[order][:-1]])), len(order))
+            for x, y in zip(edge, edge[1:], strict=False):
+                at = order[x:y]
+                block = front_coded(keys[at], keys[at, 8].astype(np.int64) + 9, [doc[at].astype("<i8"), tie[at].astype("<i8"), start[at].astype("<i4"), flag[at].astype("u1")])
+                out.append(_batch(_NAMES, _KINDS, [BLOCK], [int(to[at[0]])], [None], [None], [None], [None], [block]))
         return pa.Table.from_batches(out, schema=pa.schema(list(zip(_NAMES, _KINDS, strict=True))))
 
     return run
@@ -430,9 +434,11 @@ def _merged_range(buckets: int):
                 keys = np.frombuffer(b"".join(parts[r][0][i].ljust(KEY, b"\0") for r, i in (kept[j] for j in some)), np.uint8).reshape(-1, KEY)
                 d1, t1, s1, n1 = d[some], t[some], s[some], n[some] & 127
                 if hot:
-                    a, row, offset = window_hashes(keys, n1)
-                    b, _, _ = window_hashes(keys, n1, 77)
-                    out.extend(_rows(WINDOW, d1[row], t1[row], s1[row] + offset, np.ones(len(row), np.int64), a.view(np.int64), b.view(np.int64)))
+                    row = np.repeat(np.arange(len(keys)), n1)
+                    offset = np.arange(len(row)) - np.repeat(np.cumsum(n1) - n1, n1)
+                    for at in range(0, len(row), 1 << 16):
+                        r, o = row[at : at + (1 << 16)], offset[at : at + (1 << 16)]
+                        out.extend(_rows(WINDOW, d1[r], t1[r], s1[r] + o, np.ones(len(r), np.int64), keys[r[:, None], o[:, None] + np.arange(9, 9 + LENGTH)]))
                 else:
                     row, offset = windows_repeated(keys, d1, t1, s1, n1)
                     if len(row):  # neighbours go back as one row
@@ -462,7 +468,7 @@ def _cut(docs: pa.Table, repeats: pa.Table) -> pa.Table:
     order = np.lexsort((s, t, d))
     d, t, s, n = d[order], t[order], s[order], n[order]
     rows = []
-    for doc_id, doc, tie, text in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "doc", "tie")), docs.column("text"), strict=True):
+    for doc_id, doc, tie, copies, text in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "doc", "tie", "copies")), docs.column("text"), strict=True):
         data = _bytes(text)
         low, high = np.searchsorted(d, doc), np.searchsorted(d, doc, "right")
         low, high = low + np.searchsorted(t[low:high], tie), low + np.searchsorted(t[low:high], tie, "right")
@@ -474,10 +480,10 @@ def _cut(docs: pa.Table, repeats: pa.Table) -> pa.Table:
         out = gone[:-1] > 0
         spans = int((out & ~np.concatenate([[False], out[:-1]])).sum()) if len(out) else 0
         kept = data[~out].tobytes()
-        rows.append((doc_id, len(data), int(out.sum()), spans, hashlib.sha256(kept).hexdigest()))
-    cols = list(zip(*rows, strict=True)) or [[]] * 5
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        rows.append((doc_id, len(data), int(out.sum()), spans, hashlib.sha256(kept).hexdigest(), copies))
+    cols = list(zip(*rows, strict=True)) or [[]] * 6
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "copies"])
 
 
 def _part(parts: int) -> Column:
@@ -492,7 +498,11 @@ def repeated(docs: DataFrame, hot: int = HOT, part: int = PART) -> tuple[DataFra
     parts = max(1, -(-size // part))
     twice = not docs.groupBy(doc.alias("d")).count().filter("count > 1").isEmpty()
     tie = F.xxhash64("text") if twice else F.lit(0).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc.alias("doc"), tie.alias("tie"), "text").select("*", _part(parts))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc.alias("doc"), tie.alias("tie"), "text", F.lit(1).cast("long").alias("copies"))
+    if twice:  # rows that repeat id and text become one, so that no part gets them all
+        rows = rows.groupBy("doc_id", "doc", "tie", F.octet_length("text").alias("_b")).agg(F.first("text").alias("text"), F.count("*").alias("copies")).drop("_b")
+        rows = written(rows, "rows")
+    rows = rows.select("*", _part(parts))
     wanted = written(_repeated_anchors(_anchor_rows(rows), parts, hot), "anchors")
     released(spark)
     often = wanted.filter("hot").select("h").distinct()
@@ -501,16 +511,19 @@ def repeated(docs: DataFrame, hot: int = HOT, part: int = PART) -> tuple[DataFra
     buckets = max(1, -(-wanted.count() * 150 // RANGE))
     runs = rows.groupBy("part").cogroup(marked.groupBy("part")).applyInArrow(_sorted_runs(buckets), _OUT)
     runs = written(runs, "runs")
+    has_hot = not often.isEmpty()
+    del marked, often
+    dropped(wanted)
     released(spark)
     ranged = runs.filter(F.col("kind") == BLOCK).select("bucket", "block").groupBy("bucket").applyInArrow(_merged_range(buckets), _OUT)
     ranged = written(ranged, "merged")
     released(spark)
     at = ["doc", "tie", "start", "n"]
     out = runs.filter(F.col("kind") == REPEAT).select(*at).unionByName(ranged.filter(F.col("kind") == REPEAT).select(*at))
-    windows = ranged.filter(F.col("kind") == WINDOW).select("a", "b", F.struct("doc", "tie", "start").alias("at"))
-    if not often.isEmpty():
-        first = windows.groupBy("a", "b").agg(F.min("at").alias("first"))
-        later = windows.join(first, ["a", "b"]).filter("at > first").select("at.*", F.lit(1).alias("n"))
+    windows = ranged.filter(F.col("kind") == WINDOW).select(F.col("block").alias("window"), F.struct("doc", "tie", "start").alias("at"))
+    if has_hot:
+        first = windows.groupBy("window").agg(F.min("at").alias("first"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+        later = spread_join(windows, first, ["window"]).filter("at > first").select("at.*", F.lit(1).alias("n"))
         out = out.unionByName(later)
     return rows, out.select(*at, _part(parts))
 
@@ -518,4 +531,5 @@ def repeated(docs: DataFrame, hot: int = HOT, part: int = PART) -> tuple[DataFra
 def deduplicated(docs: DataFrame, hot: int = HOT, part: int = PART) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of docs."""
     rows, out = repeated(docs, hot, part)
-    return rows.groupBy("part").cogroup(out.groupBy("part")).applyInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    cut = rows.groupBy("part").cogroup(out.groupBy("part")).applyInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, copies long")
+    return cut.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies", "_i")

@@ -5,9 +5,11 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from pistespark.llm import exact_dedup, simhash, suffix_dedup
 
@@ -20,13 +22,13 @@ def key(row):
 
 def exact(pairs):
     groups = defaultdict(list)
-    for i, t in pairs:
-        groups[SPACE.sub("", t or "")].append((-len(t or ""), i is None, i or 0, i))
+    for n, (i, t) in enumerate(pairs):
+        groups[SPACE.sub("", t or "")].append((-len(t or ""), i is None, i or 0, n))
     out = []
-    for i, t in pairs:
+    for n, (i, t) in enumerate(pairs):
         g = groups[SPACE.sub("", t or "")]
-        points, _, _, keep = min(g)
-        out.append((i, keep, len(g), i == keep and len(t or "") == -points, hashlib.sha256(SPACE.sub("", t or "").encode()).hexdigest()))
+        best = min(g)[3]
+        out.append((i, pairs[best][0], len(g), n == best, hashlib.sha256(SPACE.sub("", t or "").encode()).hexdigest()))
     return sorted(out, key=key)
 
 
@@ -45,6 +47,26 @@ def test_exact_keepers(edge, empty, pairs):
     assert kept.columns == edge.columns and exact_dedup.keepers(empty).count() == 0
 
 
+def test_exact_keepers_odd_rows(spark):
+    """A row that shares id and length with another text's winner goes; repeated rows leave one; the columns' names may clash."""
+    rows = [(1, "a b c", 5, {"k": "v"}), (1, "abc", 3, None), (1, "xyz", 3, None), (1, "xyz", 4, None), (None, "x yz", 3, None), (None, "abcde", 3, None), (None, "edcba", 4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _sha long, id map<string,string>").withColumn("points", F.lit(1)).withColumn("key", F.lit(2)).withColumn("_row", F.lit(3))
+    kept = exact_dedup.keepers(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, "abcde"), (0, "edcba"), (0, "x yz"), (1, "a b c")]
+    copies = spark.createDataFrame([(5, "same text")] * 9, "doc_id long, text string")
+    assert exact_dedup.keepers(copies).count() == 1 and exact_dedup.exact_groups(copies).filter("kept").count() == 1
+
+
+def test_exact_sql_agrees_on_odd_rows(spark, edge, pairs):
+    c = duckdb.connect()
+    c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    c.executemany("INSERT INTO documents VALUES (?, ?)", pairs)
+    cols = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    want = c.execute(f"SELECT {', '.join(cols)} FROM ({exact_dedup.SQL})").fetchall()
+    assert sorted((tuple(r[k] for k in cols) for r in exact_dedup.exact_groups(edge).collect()), key=key) == sorted(want, key=key)
+
+
 def fingerprint(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not w:
@@ -143,6 +165,21 @@ def test_suffix_dedup(spark, hot, part):
     assert sorted((tuple(r) for r in suffix_dedup.deduplicated(df, hot, part).collect()), key=key) == repeats(rows)
 
 
+@pytest.mark.parametrize("hot", [50_000, 0])
+def test_suffix_dedup_repeated_ids(spark, hot):
+    """Null ids come last; texts of one id go by a hash; fully repeated rows stand at one place, each with the same result."""
+    rnd = random.Random(3)
+    a, b, c = ("".join(rnd.choice("abcdefgh ") for _ in range(400)) for _ in range(3))
+    rows = [(5, a), (5, a), (5, a), (None, a[50:300]), (None, None), (None, b), (9, b[:200] + c), (2, c[100:]), (5, c + a[:150])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tie = {t: h for t, h in df.select("text", F.xxhash64("text")).collect()}
+    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, tie[r[1]]))
+    place = {r: n for n, r in enumerate(order)}
+    want = {r[0]: r for r in repeats([(n, t) for n, (_, t) in enumerate(order)])}
+    got = suffix_dedup.deduplicated(df, hot).collect()
+    assert sorted((tuple(r) for r in got), key=key) == sorted(((r[0], *want[place[r]][1:]) for r in rows), key=key)
+
+
 def test_suffix_dedup_odd_rows(edge, empty, pairs):
     got = {r["doc_id"]: r for r in suffix_dedup.deduplicated(edge, part=1 << 16).collect() if r["doc_id"] not in (None, 7)}
     plain = [p for p in pairs if p[0] not in (None, 7)]
