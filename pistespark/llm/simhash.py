@@ -26,16 +26,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import written
+from pistespark.llm.common import fresh, one_each, written
 from pistespark.operators.components import connected_components
 from pistespark.shared import spread_join
 
 K, WORDS, SEED, FAN, MOST, BLOCK = 3, 3, 42, 8, 4096, 1 << 16
-#: For copies at a similarity of 0.8 or more: bits of the first code, words and bits of the second.
-WIDE_K, WORDS2, K2 = 8, 5, 14
+#: For copies by similarity: least similarity, words of a shingle, bins of the sketch, bits of the codes, levels of the split.
+SIMILAR, WORDS2, BINS, WIDE_K, LEVELS = 0.8, 5, 1024, 6, 3
+_MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -59,16 +60,53 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits((votes * 2 > n).reshape(64), bitorder="little").view("<u8")[0])
 
 
-def set_fingerprint(text: str | None, words: int = WORDS2) -> int:
-    """The same over the distinct shingles only, so that a repeated line has one vote; estimates the sets' similarity."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _MIX
+    x = (x ^ (x >> np.uint64(32))) * _MIX
+    return x ^ (x >> np.uint64(29))
+
+
+def _majority(h: np.ndarray) -> int:
+    each = h.astype("<u8").view(np.uint8).reshape(-1, 8)
+    votes = np.stack([np.bincount(each[:, i], minlength=256) for i in range(8)]) @ _BITS
+    return int(np.packbits((votes * 2 > len(h)).reshape(64), bitorder="little").view("<u8")[0])
+
+
+def codes(text: str | None, known: dict[bytes, int]) -> tuple[int, int, bytes]:
+    """Two SimHash codes of the set of words, and a sketch of the set of five-word shingles. known: hashes of words met before.
+
+    The sketch has two bits for each of BINS equal ranges of hash values: whether a shingle falls there, and one
+    bit of the least that does. How often two sketches agree estimates the sets' similarity (see ``similarity``)."""
     parts = (text or "").encode("utf-8", "replace").lower().split()
     if not parts:
-        return 0
-    hashed = xxhash.xxh64_intdigest
-    seen = {hashed(b" ".join(parts[i : i + words]), SEED) for i in range(max(1, len(parts) - words + 1))}
-    h = np.fromiter(seen, np.uint64, len(seen)).view(np.uint8).reshape(-1, 8)
-    votes = np.stack([np.bincount(h[:, i], minlength=256) for i in range(8)]) @ _BITS
-    return int(np.packbits((votes * 2 > len(seen)).reshape(64), bitorder="little").view("<u8")[0])
+        return 0, 0, bytes(BINS // 4)
+    if len(known) > 500_000:
+        known.clear()
+    of = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh64_intdigest(w, SEED)) for w in parts), np.uint64, len(parts))
+    n = max(1, len(of) - WORDS2 + 1)
+    h = np.zeros(n, np.uint64)
+    for i in range(min(WORDS2, len(of))):
+        h = h * _STEP + of[i : i + n]
+    h = np.unique(_mixed(h))
+    bins = (h >> np.uint64(54)).astype(np.int64)
+    first = np.concatenate([[True], bins[1:] != bins[:-1]])
+    bits = np.zeros((2, BINS), bool)
+    bits[0, bins[first]] = True
+    bits[1, bins[first]] = h[first] & np.uint64(1)
+    kinds = np.unique(of)
+    return _majority(_mixed(kinds + np.uint64(1))), _majority(_mixed(kinds + _STEP)), np.packbits(bits).tobytes()
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of shingle sets, by rows of two arrays of sketches (uint64).
+
+    Of the bins that both fill, those with different least shingles agree by chance half of the time, so twice the
+    agreeing ones less all of them is the number of equal ones. The standard error is 0.02 at most."""
+    half = a.shape[1] // 2
+    count = lambda x: np.bitwise_count(x).sum(1, dtype=np.int64)
+    both = a[:, :half] & b[:, :half]
+    agree, all_, some = count(both & ~(a[:, half:] ^ b[:, half:])), count(both), count(a[:, :half] | b[:, :half])
+    return np.where(some > 0, (2 * agree - all_) / np.maximum(some, 1), 1.0)
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -105,13 +143,13 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room: int = 1 << 20, second: np.ndarray | None = None, sure: int = K, k2: int = K2) -> tuple[np.ndarray, np.ndarray]:
+def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room: int = 1 << 20, sketch: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links inside each group, as pairs of places in ``fp`` (uint64).
 
-    With a second code, a link of more than ``sure`` bits also needs the second codes within ``k2`` bits."""
+    With sketches, a link also needs a similarity of SIMILAR."""
     order = np.lexsort((gray_rank(fp), group))
     group, fp = group[order], fp[order]
-    second = None if second is None else second[order]
+    sketch = None if sketch is None else sketch[order]
     # levels from the leaves up: bits that all members have, bits that any has, first leaf, leaves, first child, children
     one = np.ones(len(fp), np.int64)
     levels = [(fp, fp, np.arange(len(fp)), one, np.arange(len(fp)), one)]
@@ -153,11 +191,16 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
         a, b = a[near], b[near]
         if level == 0:
             use = a != b
-            if second is not None:
-                use &= (np.bitwise_count(fp[a] ^ fp[b]) <= sure) | (np.bitwise_count(second[a] ^ second[b]) <= k2)
-            add(a[use], b[use])
+            a, b = a[use], b[use]
+            if sketch is None:
+                add(a, b)
+                continue
+            for at in range(0, len(a), 1 << 14):
+                x, y = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
+                alike = similarity(sketch[x], sketch[y]) >= SIMILAR
+                add(x[alike], y[alike])
             continue
-        close = np.bitwise_count((every[a] & every[b]) ^ (some[a] | some[b])) <= (k if second is None else sure)
+        close = np.bitwise_count((every[a] & every[b]) ^ (some[a] | some[b])) <= (k if sketch is None else -1)
         # all below is linked: members of one node to its first leaf, two nodes by their first leaves
         same = close & (a == b)
         if same.any():
@@ -194,69 +237,96 @@ def _signed(x: int) -> int:
 
 
 def _dealt(rows: DataFrame, masks: list[int], k: int) -> DataFrame:
-    """Rows (mask, node, fp, second) dealt by the finer masks of their mask, with the bits that the mask leaves."""
+    """Rows (mask, node, fp, ...) dealt by the finer masks of their mask, with the bits that the mask leaves."""
     finer = None
     for m in masks:
         some = F.array(*[F.lit(_signed(x)).cast("long") for x in cut(m, k + 1)])
         finer = F.when(F.col("mask") == _signed(m), some) if finer is None else finer.when(F.col("mask") == _signed(m), some)
-    return rows.select("node", "fp", "second", F.explode(finer).alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "node", "fp", "second")
+    rest = [c for c in rows.columns if c != "mask"]
+    return rows.select(*rest, F.explode(finer).alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), *rest)
 
 
-def _searched(rows: DataFrame, k: int, most: int, wide: bool) -> DataFrame:
-    """Forest edges (a, b) of the groups of 2 to ``most`` rows; larger ones are left to the next level."""
+def _gray(x: Column) -> Column:
+    """``gray_rank`` as a column."""
+    for n in (1, 2, 4, 8, 16, 32):
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, n))
+    return x
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
 
-        def out(part: np.ndarray) -> Iterator[pa.RecordBatch]:
-            new = np.concatenate([[True], (part[0, 1:] != part[0, :-1]) | (part[1, 1:] != part[1, :-1])])
-            start = np.flatnonzero(new)
-            size = np.diff(np.append(start, part.shape[1]))
-            use = np.repeat((size > 1) & (size <= most), size)
-            if use.any():
-                node, fp, second = part[2, use], part[3, use].view(np.uint64), part[4, use].view(np.uint64)
-                a, b = linked(np.repeat(np.arange(len(start)), size)[use], fp, k, second=second if wide else None)
-                yield pa.RecordBatch.from_arrays([pa.array(node[x]) for x in (a, b)], names=["a", "b"])
+def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
+    """Forest edges (a, b) of the groups of 2 to ``most`` rows; larger ones are left to the next level.
 
-        for batch in batches:
-            part = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
-            if not part.shape[1]:
-                continue
-            part = np.concatenate([*held, part], axis=1)
-            last = int(np.flatnonzero((part[0] != part[0, -1]) | (part[1] != part[1, -1])).max(initial=-1)) + 1
-            if last:
-                yield from out(part[:, :last])
-            # of an open group that is too large already, most + 1 rows are enough to know it by
-            held = [part[:, last:][:, : most + 1]]
-        if held and held[0].shape[1]:
-            yield from out(held[0])
+    whole: there is none, and larger groups are searched, too: without sketches at once (few bits are left then, so there
+    are few fingerprints), with sketches in overlapping windows of 2 * ``most`` rows in Gray order."""
+    wide = "sketch" in rows.columns
 
-    return rows.repartition("mask", "bits").sortWithinPartitions("mask", "bits").mapInArrow(run, "a long, b long")
+    def linked_rows(part: list[np.ndarray], group: np.ndarray) -> pa.RecordBatch:
+        a, b = linked(group, part[3].view(np.uint64), k, sketch=part[4] if wide else None)
+        return pa.RecordBatch.from_arrays([pa.array(part[2][x]) for x in (a, b)], names=["a", "b"])
 
+    def out(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        start = np.flatnonzero(np.concatenate([[True], (part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])]))
+        size = np.diff(np.append(start, len(part[0])))
+        limit = 2 * most if wide and whole else most if not whole else len(part[0])
+        use = np.repeat((size > 1) & (size <= limit), size)
+        if use.any():
+            yield linked_rows([x[use] for x in part], np.repeat(np.arange(len(start)), size)[use])
+        if wide and whole:
+            for g in np.flatnonzero(size > limit):
+                for at in range(0, int(size[g]) - most, most):
+                    window = slice(start[g] + at, min(start[g] + at + 2 * most, start[g] + size[g]))
+                    yield linked_rows([x[window] for x in part], np.zeros(window.stop - window.start, np.int64))
 
-def links(nodes: DataFrame, k: int = K, most: int = MOST, wide: bool = False) -> DataFrame:
-    """Edges (a, b) between nodes that connect exactly what chains of links connect. nodes: (node, fp, second), a row per node."""
-    masks, edges = [0], None
-    rows = nodes.select(F.lit(0).cast("long").alias("mask"), "node", "fp", "second")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            if wide:
+                part.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(batch.num_rows, -1))
+            part = [np.concatenate(x) for x in zip(held, part, strict=True)] if held else part
+            last = int(np.flatnonzero((part[0] != part[0][-1]) | (part[1] != part[1][-1])).max(initial=-1)) + 1
+            if last:
+                yield from out([x[:last] for x in part])
+            held = [x[last:] for x in part]
+            if not whole:  # of an open group that is too large already, most + 1 rows are enough to know it by
+                held = [x[: most + 1] for x in held]
+            elif wide and len(held[0]) > 4 * most:
+                yield from out(held)
+                held = [x[-most:] for x in held]
+        if held:
+            yield from out(held)
+
+    dealt = rows.repartition("mask", "bits").sortWithinPartitions("mask", "bits", *([_gray(F.col("fp"))] if wide and whole else []))
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def links(nodes: DataFrame, k: int = K, most: int = MOST, levels: int = 64) -> DataFrame:
+    """Edges (a, b) between nodes that connect what chains of links connect. nodes: (node, fp), a row per node, and sketch, if links need it.
+
+    Without sketches that is exact. With them, a group that is still larger than ``most`` after ``levels`` levels
+    (a dense cluster of copies) is searched in windows, which may miss a link between far ends of a cluster."""
+    masks, edges, level = [0], None, 0
+    rows = nodes.select(F.lit(0).cast("long").alias("mask"), *[c for c in ("node", "fp", "sketch") if c in nodes.columns])
     while True:
-        dealt = _dealt(rows, masks, k)
+        dealt, level = _dealt(rows, masks, k), level + 1
         masks = sorted({x for m in masks for x in cut(m, k + 1)})
         hot = written(dealt.groupBy("mask", "bits").agg(F.count("*").alias("n")).filter(F.col("n") > most).drop("n"), "hot")
-        # where few bits are left, a group has few fingerprints whatever the corpus; rows with one fingerprint link at once
-        last = hot.isEmpty() or (1 << 64 - min(m.bit_count() for m in masks)) <= 8 * most
-        if last:
-            found = _searched(dealt, k, 1 << 40, wide)
+        # where few bits are left, a group has few fingerprints whatever the corpus
+        if hot.isEmpty() or level == levels or (1 << 64 - min(m.bit_count() for m in masks)) <= 8 * most:
+            found = _searched(dealt, k, most, True)
             return found if edges is None else edges.unionByName(found)
-        found = _searched(dealt.join(hot, ["mask", "bits"], "left_anti"), k, most, wide)
+        found = _searched(dealt.join(hot, ["mask", "bits"], "left_anti"), k, most, False)
         edges = found if edges is None else edges.unionByName(found)
-        rows = written(dealt.join(hot, ["mask", "bits"], "left_semi").select("mask", "node", "fp", "second"), "split")
+        rows = written(dealt.join(hot, ["mask", "bits"], "left_semi").drop("bits"), "split")
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, k: int = K, most: int = MOST) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, fp."""
     fps = written(fingerprints(docs, words), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    nodes = distinct.select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("second"))
+    nodes = distinct.select(F.col("fp").alias("node"), "fp")
     member = connected_components(links(nodes, k, most)).withColumnRenamed("node", "fp")
     member = written(distinct.join(member, "fp"), "member")
     lowest = member.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -268,28 +338,32 @@ def near_groups(docs: DataFrame, words: int = WORDS, k: int = K, most: int = MOS
 def keepers(docs: DataFrame, k: int = WIDE_K, most: int = MOST) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: the smallest doc_id of each group of near copies.
 
-    Copies link at K bits of the fingerprint, as above, or at ``WIDE_K`` bits where a second code, over distinct
-    five-word shingles, agrees in all but ``K2`` bits, which a similarity of 0.8 or more of the shingle sets does.
-    The index searches the first code with the wide radius and looks at the second where a pair comes that far.
+    Copies are texts whose sets of five-word shingles have a similarity of SIMILAR or more, and what chains of such
+    links connect. The Gray-order index finds candidates: one of two codes of the words' set within ``k`` bits, which
+    scattered edits at that similarity change by some 4 bits of 64; it compares the sketches where a pair comes that
+    far. Texts without words are copies of each other; a null doc_id comes after all others; of rows that repeat id
+    and text one stays; the columns' names may be any.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
         for batch in batches:
-            texts = [x.as_py() for x in batch.column(2)]
-            codes = [pa.array(np.fromiter((f(t) for t in texts), np.uint64, len(texts)).view(np.int64)) for f in (fingerprint, set_fingerprint)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *codes], names=["id", "text_hash", "fp", "second"])
+            made = [codes(x.as_py(), known) for x in batch.column(2)]
+            pair = [pa.array(np.fromiter((m[i] for m in made), np.uint64, len(made)).view(np.int64)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *pair, pa.array([m[2] for m in made], pa.binary())], names=["id", "text_hash", "one", "two", "sketch"])
 
     keys = [F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash")]
-    rows = written(docs.select(*keys, "text").mapInArrow(run, "id long, text_hash long, fp long, second long"), "codes")
-    # nulls last; a row per pair of codes is enough, and it stands for the first of its documents
+    rows = written(docs.select(*keys, "text").mapInArrow(run, "id long, text_hash long, one long, two long, sketch binary"), "codes")
+    # nulls last; a row per triple of codes is enough, and it stands for the first of its documents
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash"))
-    nodes = written(rows.groupBy("fp", "second").agg(first.alias("first")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    member = connected_components(links(nodes.select("node", "fp", "second"), k, most, wide=True))
-    stay = nodes.join(member, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    stay = written(stay.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash")), "stay")
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    kept = docs.join(stay, here, "left_semi")
+    nodes = written(rows.groupBy("one", "two", "sketch").agg(first.alias("first")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    found = [links(nodes.select("node", F.col(c).alias("fp"), "sketch"), k, most, LEVELS) for c in ("one", "two")]
+    member = connected_components(found[0].unionByName(found[1]))
+    stay = nodes.select("node", "first").join(member, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    id_, hash_ = fresh(docs.columns, "id", "hash")
+    stay = written(stay.select(F.col("first.id").alias(id_), F.col("first.text_hash").alias(hash_)), "stay")
+    kept = docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(hash_)), "left_semi")
     if rows.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
         return kept
-    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*[c for c, t in docs.dtypes if not t.startswith("map")])
-    return kept.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
+    key = fresh(docs.columns, "key")[0]
+    return one_each(kept.withColumn(key, F.xxhash64(docs["text"])), ["doc_id", key]).select(*[F.col(f"`{c}`") for c in docs.columns])

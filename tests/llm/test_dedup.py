@@ -116,11 +116,62 @@ def test_linked_equals_all_pairs():
             f = base[rng.integers(0, len(base), n)]
             for _ in range(int(rng.integers(0, 4))):
                 f = f ^ (np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64))
-            second = base[rng.integers(0, len(base), n)]
-            d, e = np.bitwise_count(f[:, None] ^ f[None]), np.bitwise_count(second[:, None] ^ second[None])
-            for k, other, near in ((3, None, d <= 3), (8, second, (d <= 3) | ((d <= 8) & (e <= simhash.K2)))):
-                a, b = simhash.linked(np.zeros(n, int), f, k, room=room, second=other)
-                assert (simhash.forest(n, a, b) == simhash.forest(n, *np.nonzero(near))).all()
+            a, b = simhash.linked(np.zeros(n, int), f, 3, room=room)
+            d = np.bitwise_count(f[:, None] ^ f[None])
+            assert (simhash.forest(n, a, b) == simhash.forest(n, *np.nonzero(d <= 3))).all()
+            sketch = np.frombuffer(b"".join(simhash.codes(f"{x % 7} b c d e f g h {x % 3}", {})[2] for x in f.tolist()), np.uint64).reshape(n, -1)
+            i, j = np.nonzero(d <= 6)
+            alike = simhash.similarity(sketch[i], sketch[j]) >= simhash.SIMILAR
+            a, b = simhash.linked(np.zeros(n, int), f, 6, room=room, sketch=sketch)
+            assert (simhash.forest(n, a, b) == simhash.forest(n, i[alike], j[alike])).all()
+
+
+def edited(rnd):
+    """Documents of 60 to 400 words in groups of copies with more and more words changed, and the exact similarity of all pairs."""
+    texts = []
+    for _ in range(60):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(rnd.randint(60, 400))]
+        texts.append(base)
+        for _ in range(6):
+            share = rnd.choice([0.002, 0.005, 0.01, 0.015, 0.02, 0.03, 0.05])
+            texts.append([f"x{rnd.randrange(5000)}" if rnd.random() < share else w for w in base])
+    sets = [{" ".join(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    pairs = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(sets)) for j in range(i) if sets[i] & sets[j]}
+    return [" ".join(t) for t in texts], pairs
+
+
+def test_near_recall(spark):
+    """Against brute force over all pairs: at least 95 % of the links of each band above 0.8 join, and hardly any pair far below."""
+    texts, pairs = edited(random.Random(12))
+    made = [simhash.codes(t, {}) for t in texts]
+    sketch = np.frombuffer(b"".join(m[2] for m in made), np.uint64).reshape(len(made), -1)
+    ij = np.array(list(pairs))
+    true, est = np.array(list(pairs.values())), simhash.similarity(sketch[ij[:, 0]], sketch[ij[:, 1]])
+    assert np.abs(est - true).max() < 0.1 and np.sqrt(((est - true) ** 2).mean()) < 0.025
+    one, two = (np.array([m[c] for m in made], np.uint64) for c in (0, 1))
+    near = (np.bitwise_count(one[ij[:, 0]] ^ one[ij[:, 1]]) <= simhash.WIDE_K) | (np.bitwise_count(two[ij[:, 0]] ^ two[ij[:, 1]]) <= simhash.WIDE_K)
+    link = near & (est >= simhash.SIMILAR)
+    for low, high, least in ((0.82, 0.85, 0.9), (0.85, 0.9, 0.95), (0.9, 0.95, 0.98), (0.95, 1.01, 0.99)):
+        band = (true >= low) & (true < high)
+        assert band.sum() > 20 and link[band].mean() >= least
+    assert link[true < 0.75].mean() < 0.01
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    root = simhash.forest(len(texts), ij[link, 0], ij[link, 1])
+    for most in (4096, 40):
+        assert sorted(r["doc_id"] for r in simhash.keepers(df, most=most).collect()) == sorted(set(root.tolist()))
+
+
+def test_dense_groups_in_windows(spark):
+    """A cluster far larger than ``most`` is searched in windows and still ends up as one."""
+    rnd = random.Random(2)
+    base = [f"w{rnd.randrange(900)}" for _ in range(200)]
+    texts = []
+    for i in range(900):
+        t = list(base)
+        t[rnd.randrange(200)] = f"y{i}"
+        texts.append(" ".join(t))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert simhash.keepers(df, most=50).count() <= 3
 
 
 def test_near_keepers(spark, edge, empty):
