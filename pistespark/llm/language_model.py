@@ -22,7 +22,7 @@ Data flow. Documents are dealt by id into parts of about PART bytes.
    column of their own, which only the last round reads. (Text moves: a second time.)
 3. Two rounds over the packed triples: sweeps give the tables that b's restaurants have of each dish, which sum
    up to the root's customers; with the root reseated, sweeps go on and the triples are scored.
-4. Each task returns one packed block of sums per part.
+4. Each task returns one packed block of sums per part. This last round takes the tasks in ``PASSES`` shares.
 The contexts that end in a word with very many occurrences are dealt by a hash of the word before it. A context
 is whole in one task, with the counts of all parts, and is seated from its distinct dishes, so its load does not
 grow with a pair's occurrences. The restaurant of such a word is one, too: between the rounds a task sums the
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pistespark.llm.common import held_out, written
 from pistespark.shared import dropped, released
 
-FOLD, VOCABULARY, PART, WORDS_RANGE, TRIPLES, BURN, SAMPLES, EXACT, SEED = 7, 65_000, 8 << 20, 400_000, 1_500_000, 2, 3, 48, 11
+FOLD, VOCABULARY, PART, WORDS_RANGE, TRIPLES, BURN, SAMPLES, EXACT, PASSES, SEED = 7, 65_000, 8 << 20, 400_000, 1_000_000, 2, 3, 48, 2, 11
 STRENGTH = (1.0, 1.0, 1.0)
 START, END, RARE, FIRST = 0, 1, 2, 3
 END_HASH = np.uint64(1)
@@ -127,6 +127,14 @@ def _range(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> _U(32)) * _U(n) >> _U(32)).astype(np.int64)
 
 
+def _by(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(value, its places in order) of each value of ``to``: one sort, whatever the number of values."""
+    order = np.argsort(to, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+        if len(at):
+            yield int(to[at[0]]), at
+
+
 def _ordered(docs: pa.Table) -> pa.Table:
     """A part's documents in an order that does not depend on the shuffle, those to learn from first."""
     return docs.sort_by([("held", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
@@ -165,10 +173,7 @@ def _send_words(buckets: int):
         part = docs.column("part")[0].as_py()
         _, kinds, count = _tokens(docs)
         to = _range(_mixed(kinds), buckets)
-        rows = []
-        for b in np.unique(to):
-            at = to == b
-            rows.append((int(b), part, _packed(kinds[at], count[at].astype(np.uint32))))
+        rows = [(b, part, _packed(kinds[at], count[at].astype(np.uint32))) for b, at in _by(to)]
         return _table(rows, _WORDS)
 
     return run
@@ -198,12 +203,15 @@ def _count_words(table: pa.Table) -> pa.Table:
 class Vocabulary:
     """The words that have a dish of their own in the root, by hash, and how the contexts that end in them are dealt. At most VOCABULARY words."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, kinds: int, buckets: int):
-        order = np.argsort(hashes)
-        self.hashes, self.counts, self.tokens, self.kinds, self.buckets = hashes[order], counts[order], tokens, kinds, buckets
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, kinds: int, buckets: int, docs: int = 0):
+        often = np.lexsort((hashes, -counts))  # frequent words have small ids, which pack better
+        self.counts = counts[often]
+        order = np.argsort(hashes[often])
+        self.hashes, self.rank = hashes[often][order], order
+        self.tokens, self.kinds, self.buckets = tokens, kinds, buckets
         self.rare_tokens, self.rare_kinds = tokens - int(counts.sum()), kinds - len(counts)
-        # tasks that share the contexts of a word, dealt by the word before
-        own = np.concatenate([[tokens / 50, 0, tokens / 50], self.counts])
+        # tasks that share the contexts of a word, dealt by the word before; each document has START once, and END as no middle
+        own = np.concatenate([[docs, 0, self.rare_tokens], self.counts])
         self.pieces = np.maximum(1, np.ceil(own / max(1.0, tokens / buckets / 4))).astype(np.int64)
         self.root0 = np.maximum(np.concatenate([[0, 0, self.rare_tokens], self.counts]), 0).astype(float)
 
@@ -215,7 +223,7 @@ class Vocabulary:
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, kinds), len(self.hashes) - 1)
             hit = self.hashes[at] == kinds
-            out[hit] = FIRST + at[hit]
+            out[hit] = FIRST + self.rank[at[hit]]
         out[kinds == END_HASH] = END
         return out
 
@@ -240,9 +248,9 @@ def _send_triples(vocabulary):
         each, kinds, _ = _tokens(docs)
         to = _range(_mixed(kinds), v.words_range)
         count, number = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
+        places = dict(_by(to))
         for b, block in zip(replies.column("bucket").to_pylist(), replies.column("block"), strict=True):
-            at = to == b
-            count[at], number[at] = _unpacked(block.as_py(), "<u8", "<i8")
+            count[places[b]], number[places[b]] = _unpacked(block.as_py(), "<u8", "<i8")
         ids = v.ids(kinds, count, number, to)
         base = np.log10((count + 1) / (v.tokens + v.kinds + 1))
         # what the root's share of a word goes by: its count, or 0 where it has a dish there
@@ -424,7 +432,7 @@ def _elsewhere(r: Restaurants, pieces: np.ndarray, tasks: int) -> dict[int, np.n
     """The pairs whose middle word has its restaurant in another task, by that task."""
     at = np.flatnonzero(dealt_to(pieces, r.pair_b.astype(np.int64)) > 1)
     to = (_mixed(r.pair_b[at] + _U(31)) % _U(tasks)).astype(np.int64)
-    return {int(x): at[to == x] for x in np.unique(to)}
+    return {x: at[some] for x, some in _by(to)}
 
 
 _ROOT = pa.schema([("w", pa.int32()), ("n", pa.int64()), ("task", pa.int32()), ("bucket", pa.int32()), ("block", pa.binary())])
@@ -575,7 +583,7 @@ def scores(docs: DataFrame, part: int = PART, vocabulary: int = VOCABULARY, trip
         least = b
     chosen = often.filter(F.floor(8 * F.log2("c")) >= least).select("w", "c").collect()  # at most ``vocabulary`` rows
     ends = counts.filter(F.col("w") == int(END_HASH)).select("c").first()
-    v = Vocabulary(np.array([r["w"] for r in chosen], np.int64).view(np.uint64), np.array([r["c"] for r in chosen], np.int64), tokens, kinds, max(1, -(-((size[0] or 0) // 6) // triples)))
+    v = Vocabulary(np.array([r["w"] for r in chosen], np.int64).view(np.uint64), np.array([r["c"] for r in chosen], np.int64), tokens, kinds, max(1, -(-((size[0] or 0) // 6) // triples)), size[1])
     if ends:  # the end is a dish of its own and not rare
         v.rare_tokens, v.rare_kinds = v.rare_tokens - ends["c"], v.rare_kinds - 1
         v.root0[END], v.root0[RARE] = ends["c"], v.rare_tokens
@@ -599,7 +607,13 @@ def scores(docs: DataFrame, part: int = PART, vocabulary: int = VOCABULARY, trip
     second = spark.sparkContext.broadcast((root_table(customers, dishes), v.pieces, all_rare))
     given = written(split.groupBy("task").applyInArrow(_middles_given(second, SEED + 1), _ddl(_GIVEN)), "given")
     dropped(seated_)
-    sums = packed.select("bucket", "part", "block", "docs").groupBy("bucket").cogroup(given.groupBy("bucket")).applyInArrow(_scored(second, SEED + 1, v.buckets), _ddl(_SUMS))
+    sums = None
+    for i in range(PASSES):  # a share of the buckets at a time, so that only that share of the triples is shuffle files at once
+        here = F.col("bucket") % PASSES == i
+        one = packed.filter(here).select("bucket", "part", "block", "docs").groupBy("bucket").cogroup(given.filter(here).groupBy("bucket"))
+        one = written(one.applyInArrow(_scored(second, SEED + 1, v.buckets), _ddl(_SUMS)), "sums")
+        sums = one if sums is None else sums.unionByName(one)
+        released(spark)
     total = sums.groupBy("part").applyInArrow(_summed, _ddl(_TOTAL))
     out = made.filter("place IS NOT NULL").drop("bucket", "block", "docs").join(total, ["part", "place"])
     return out.select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("model").alias("score"))
