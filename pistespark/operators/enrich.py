@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from pistespark.operators.spatial_join import first_match
 
 
-def with_admin(points: DataFrame, countries: DataFrame, states: DataFrame, keys: list[str], cell: float = 0.5) -> DataFrame:
+def with_admin(points: DataFrame, countries: DataFrame, states: DataFrame, cell: float = 0.5, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """points with country and state of the boundaries that they are in. countries: ordinal, country, parts; states alike."""
-    out = first_match(points.drop("country", "state"), countries, keys, ["country"], cell=cell)
-    return first_match(out, states, keys, ["state"], cell=cell)
+    out = first_match(points.drop("country", "state"), countries, ["country"], cell=cell, lat=lat, lon=lon)
+    return first_match(out, states, ["state"], cell=cell, lat=lat, lon=lon)
 
 
-def with_area(points: DataFrame, areas: DataFrame, keys: list[str], cell: float = 0.05) -> DataFrame:
+def with_area(points: DataFrame, areas: DataFrame, cell: float = 0.05) -> DataFrame:
     """points with ``ski_area``: the name of the first area, by ordinal, that they are in. areas: ordinal, name, parts."""
     named = areas.select("ordinal", F.coalesce("name", F.lit("Unknown")).alias("ski_area"), "parts")
-    return first_match(points.drop("ski_area"), named, keys, ["ski_area"], cell=cell)
+    return first_match(points.drop("ski_area"), named, ["ski_area"], cell=cell)
 
 
 def names_of(areas: DataFrame) -> DataFrame:
@@ -25,16 +25,15 @@ def names_of(areas: DataFrame) -> DataFrame:
     return areas.filter("name IS NOT NULL").groupBy("name").agg(F.max_by(F.struct("country", "state"), "ordinal").alias("_n"))
 
 
-def by_name(features: DataFrame, areas: DataFrame, countries: DataFrame, states: DataFrame, keys: list[str], cell: float = 0.5) -> DataFrame:
-    """features (keys, area_name, lat, lon) with country and state by their area's name; where one of the two is missing
-    and there is a point, both come from the boundaries, nulls too."""
+def by_name(features: DataFrame, areas: DataFrame, countries: DataFrame, states: DataFrame, cell: float = 0.5) -> DataFrame:
+    """features (area_name, lat, lon, any more) with country and state by their area's name; where one of the two is missing
+    and there is a point, both come from the boundaries, nulls too. Features are read once and never grouped."""
     met = features.drop("country", "state").join(names_of(areas).withColumnRenamed("name", "area_name"), "area_name", "left")
     met = met.withColumn("_ask", (F.col("_n.country").isNull() | F.col("_n.state").isNull()) & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    asked = with_admin(met.filter("_ask").select(*keys, "lat", "lon"), countries, states, keys, cell)
-    asked = asked.select(*keys, F.col("country").alias("_c"), F.col("state").alias("_s"))
-    out = met.join(asked, keys, "left")
-    pick = lambda own, name: F.when(F.col("_ask"), F.col(own)).otherwise(F.col(f"_n.{name}")).alias(name)
-    return out.select(*[c for c in features.columns if c not in ("country", "state")], pick("_c", "country"), pick("_s", "state"))
+    met = met.withColumn("_lat", F.when(F.col("_ask"), F.col("lat"))).withColumn("_lon", F.when(F.col("_ask"), F.col("lon")))
+    out = with_admin(met, countries, states, cell, "_lat", "_lon")
+    pick = lambda name: F.when(F.col("_ask"), F.col(name)).otherwise(F.col(f"_n.{name}")).alias(name)
+    return out.select(*[c for c in features.columns if c not in ("country", "state")], pick("country"), pick("state"))
 
 
 def filled(df: DataFrame, defaults: dict[str, str]) -> DataFrame:

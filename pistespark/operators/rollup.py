@@ -1,8 +1,8 @@
 """The per-area rollup: one wide row per area from the features near it.
 
-Features are reduced to numbers before any shuffle, so no geometry moves. Two aggregations: lifts are first
-brought down to one row per lift (the first seen counts), trails need none, and both meet in one grouping by
-area, with map-side partial sums; an area with very many features is a few partial rows.
+Features are reduced to numbers before any shuffle, so no geometry moves. One pass: a grouping by area and element
+adds up its trails and takes its first lift, and a grouping by area adds up those; both with map-side partial sums,
+so an area with very many features is a few partial rows.
 """
 
 from __future__ import annotations
@@ -52,27 +52,62 @@ def lifts(measured: DataFrame) -> DataFrame:
 
 def lift_types(one_per_lift: DataFrame) -> DataFrame:
     """Per area: number of lifts, the longest in metres, and ``chair lift: 3, t-bar: 1``."""
-    by_type = one_per_lift.groupBy(*KEY, "lift").agg(F.count("*").alias("n"), F.max("lift_m").alias("m"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("lift", "n"))), lambda x: F.concat(tags.label(x["lift"]), F.lit(": "), x["n"].cast("string"))), ", ")
-    return by_type.groupBy(*KEY).agg(F.sum("n").alias("total_lifts"), F.max("m").alias("longest_lift_m"), text.alias("lift_types"))
+    made = one_per_lift.groupBy(*KEY).agg(F.count("lift").alias("total_lifts"), F.max("lift_m").alias("longest_lift_m"), *_counts())
+    return made.select(*KEY, "total_lifts", "longest_lift_m", _types().alias("lift_types"))
+
+
+def _counts() -> list[Column]:
+    return [F.count_if(F.col("lift") == t).alias(f"_n_{t}") for t in sorted(tags.LIFT_TYPES)]
+
+
+def _types() -> Column:
+    """The text of the types that come, from their counts."""
+    each = [F.when(F.col(f"`_n_{t}`") > 0, F.concat(F.lit(t.replace("_", " ") + ": "), F.col(f"`_n_{t}`").cast("string"))) for t in sorted(tags.LIFT_TYPES)]
+    return F.concat_ws(", ", *each)
 
 
 def yes_no(flag: Column) -> Column:
     return F.when(F.coalesce(flag, F.lit(False)), "Yes").otherwise("No")
 
 
-def trails(measured: DataFrame) -> DataFrame:
-    """Per area: counts, terrain, lengths and flags of its trails."""
-    return measured.groupBy(*KEY).agg(
-        F.count_if("down").alias("downhill_trails"),
-        *[F.count_if(F.col("difficulty") == d).alias(f"trails_{d}") for d in DIFFICULTIES],
-        F.bool_or("gladed").alias("gladed"),
-        F.bool_or("park").alias("park"),
-        F.bool_or("sled").alias("sled"),
-        F.coalesce(F.sum("terrain_m2"), F.lit(0.0)).alias("terrain_m2"),
+_FLAGS = ["gladed", "park", "sled"]
+
+
+def elements(measured: DataFrame) -> DataFrame:
+    """Per area and element: its first lift by ordinal, and the sums of its trails."""
+    first = F.min_by(F.struct("lift", "lift_m"), F.when(F.col("lift").isNotNull(), F.col("ordinal")))
+    made = measured.groupBy(*KEY, "osm_type", "osm_id").agg(
+        first.alias("_l"),
+        F.count_if("down").alias("down"),
+        *[F.count_if(F.col("difficulty") == d).alias(f"n_{d}") for d in DIFFICULTIES],
+        *[F.bool_or(c).alias(c) for c in _FLAGS],
+        F.sum("terrain_m2").alias("terrain_m2"),
         F.max("trail_m").alias("longest_m"),
-        F.avg("trail_m").alias("mean_m"),
+        F.sum("trail_m").alias("sum_m"),
+        F.count("trail_m").alias("lines"),
     )
+    return made.withColumn("lift", F.col("_l.lift")).withColumn("lift_m", F.when(F.col("lift").isNotNull(), F.col("_l.lift_m"))).drop("_l")
+
+
+def per_area(each: DataFrame) -> DataFrame:
+    """Per area: counts, terrain, lengths and flags of trails and lifts."""
+    made = each.groupBy(*KEY).agg(
+        F.sum("down").alias("downhill_trails"),
+        *[F.sum(f"n_{d}").alias(f"trails_{d}") for d in DIFFICULTIES],
+        *[F.bool_or(c).alias(c) for c in _FLAGS],
+        F.coalesce(F.sum("terrain_m2"), F.lit(0.0)).alias("terrain_m2"),
+        F.max("longest_m").alias("longest_m"),
+        (F.sum("sum_m") / F.nullif(F.sum("lines"), F.lit(0))).alias("mean_m"),
+        F.count("lift").alias("total_lifts"),
+        F.max("lift_m").alias("longest_lift_m"),
+        *_counts(),
+    )
+    return made.withColumn("lift_types", _types()).drop(*[f"_n_{t}" for t in tags.LIFT_TYPES])
+
+
+def trails(measured: DataFrame) -> DataFrame:
+    """``per_area`` of measured features."""
+    return per_area(elements(measured))
 
 
 def resort_type(terrain: Column, n_lifts: Column, n_trails: Column) -> Column:
@@ -81,10 +116,8 @@ def resort_type(terrain: Column, n_lifts: Column, n_trails: Column) -> Column:
 
 def area_rollup(areas: DataFrame, nearby: DataFrame, line_rule: str = "reference") -> DataFrame:
     """All areas, the 28 columns of the per-area table. areas: KEY, name, country, state, lat, lon, geometry."""
-    measured = measures(nearby, line_rule)
-    by_lift, by_trail = lift_types(lifts(measured)), trails(measured)
     zero = F.lit(0).cast("bigint")
-    all_ = areas.join(by_trail, KEY, "left").join(by_lift, KEY, "left")
+    all_ = areas.join(per_area(elements(measures(nearby, line_rule))), KEY, "left")
     ha = lambda m2: F.bround(geo.hectares(m2), 2)
     mi = lambda m: F.coalesce(F.bround(geo.miles(m), 2), F.lit(0.0))
     total, terrain = ha(geo.polygon_area(F.col("geometry"))), F.coalesce(F.col("terrain_m2"), F.lit(0.0))

@@ -60,51 +60,78 @@ def close_pairs(points: DataFrame, distance_m: float, key: str = "ordinal") -> D
     return radius_join(left, right, distance_m).filter("a < b").select("a", "b", "distance_m")
 
 
-def containment_join(points: DataFrame, polygons: DataFrame, cell: float = 0.5, parts: str = "parts") -> DataFrame:
-    """Pairs of a point (lat, lon) and a polygon that it is strictly inside of.
+def _edges(parts: Column) -> Column:
+    """All edges (a, b) of all rings of all polygons."""
+    ring = lambda r: F.zip_with(r, F.concat(F.slice(r, 2, F.greatest(F.size(r) - 1, F.lit(0))), F.slice(r, 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return F.flatten(F.flatten(F.transform(parts, lambda p: F.transform(p, ring))))
 
-    polygons: ``parts``, an array of polygons, each an array of rings, outer first. Columns must differ in name.
-    """
-    ring = lambda f: F.flatten(F.transform(F.col(parts), lambda p: F.transform(F.get(p, F.lit(0)), f)))
-    lat, lon = ring(lambda v: v["lat"]), ring(lambda v: v["lon"])
-    dealt = polygons.withColumn("_b", F.struct(F.array_min(lat).alias("y0"), F.array_max(lat).alias("y1"), F.array_min(lon).alias("x0"), F.array_max(lon).alias("x1"))).filter("_b.y0 IS NOT NULL")
-    dealt = dealt.withColumn("_cy", F.explode(F.sequence(_row(F.col("_b.y0"), cell), _row(F.col("_b.y1"), cell))))
-    dealt = dealt.withColumn("_cx", F.explode(F.sequence(_column(F.col("_b.x0"), cell), _column(F.col("_b.x1"), cell))))
-    placed = points.withColumn("_cy", _row(F.col("lat"), cell)).withColumn("_cx", _column(F.col("lon"), cell))
-    near = placed.join(dealt, ["_cy", "_cx"]).filter(F.col("lat").between(F.col("_b.y0"), F.col("_b.y1")) & F.col("lon").between(F.col("_b.x0"), F.col("_b.x1")))
-    return near.filter(geo.inside_any(F.col("lat"), F.col("lon"), F.col(parts))).drop("_cy", "_cx", "_b")
 
+def _meets(e: Column, field: str, low: Column, high: Column) -> Column:
+    return (F.greatest(e["a"][field], e["b"][field]) >= low - 1e-9) & (F.least(e["a"][field], e["b"][field]) <= high + 1e-9)
 
-def first_match(points: DataFrame, polygons: DataFrame, keys: list[str], take: list[str], ordinal: str = "ordinal", cell: float = 0.5) -> DataFrame:
-    """All points, each with the first non-null value of every ``take`` column over the polygons that it is inside of, by ordinal.
 
-    The first is taken per column, so values may come from two polygons. The containing pairs are grouped by the
-    point's keys before the points are joined, so a point comes back once.
-    """
-    found = containment_join(points.select(*keys, "lat", "lon"), polygons.select(F.col(ordinal).alias("_o"), *[F.col(c).alias(f"_{c}") for c in take], "parts"), cell)
-    best = found.groupBy(*keys).agg(*[F.min_by(f"_{c}", F.when(F.col(f"_{c}").isNotNull(), F.col("_o"))).alias(c) for c in take])
-    return points.join(best, keys, "left")
+def _crossing(e: Column, at: Column, across: str, along: str) -> Column:
+    """Where an edge that passes ``at`` in one coordinate is in the other."""
+    a, b = e["a"], e["b"]
+    return a[along] + (at - a[across]) * (b[along] - a[along]) / (b[across] - a[across])
+
+
+def _passes(e: Column, at: Column, across: str) -> Column:
+    return (e["a"][across] > at) != (e["b"][across] > at)
+
 
+def clipped(polygons: DataFrame, cell: float = 0.5, parts: str = "parts") -> DataFrame:
+    """Polygons dealt to grid cells: _cy, _cx, _edges (those that meet the cell), _ry, _rx (a point of the cell) and
+    _in (whether the polygon holds it), in place of ``parts``. Cells that a polygon does not touch have no row.
 
-def whole_polygons(ring: Column) -> Column:
-    """``parts`` of a single ring."""
-    return F.array(F.array(ring))
+    No row has more of a polygon than its cell needs. It takes no shuffle: a polygon's edges are first narrowed to a
+    row of cells and then to a cell. What the point's place says decides for the whole cell: the way from it to any
+    other point of the cell meets no edges but the cell's."""
+    kept = [c for c in polygons.columns if c != parts]
+    ends = lambda f: F.flatten(F.transform("_e", lambda e: F.array(e["a"][f], e["b"][f])))
+    out = polygons.withColumn("_e", _edges(F.col(parts))).filter(F.size("_e") > 0).select(*kept, "_e", F.array_min(ends("lat")).alias("_y0"), F.array_max(ends("lat")).alias("_y1"), F.array_min(ends("lon")).alias("_x0"), F.array_max(ends("lon")).alias("_x1"))
+    out = out.select(*kept, "_e", "_x0", "_x1", F.explode(F.sequence(_row(F.col("_y0"), cell), _row(F.col("_y1"), cell))).alias("_cy"))
+    low = F.col("_cy") * cell - 90
+    out = out.select(*kept, "_cy", "_x0", "_x1", (low + cell * 0.45678913).alias("_ry"), F.filter("_e", lambda e: _meets(e, "lat", low, low + cell)).alias("_r"))
+    out = out.withColumn("_xs", F.transform(F.filter("_r", lambda e: _passes(e, F.col("_ry"), "lat")), lambda e: _crossing(e, F.col("_ry"), "lat", "lon")))
+    out = out.withColumn("_cx", F.explode(F.sequence(_column(F.col("_x0"), cell), _column(F.col("_x1"), cell)))).drop("_x0", "_x1")
+    left = F.col("_cx") * cell - 180
+    out = out.select(*kept, "_cy", "_cx", "_ry", (left + cell * 0.54321987).alias("_rx"), "_xs", F.filter("_r", lambda e: _meets(e, "lon", left, left + cell)).alias("_edges"))
+    out = out.select(*kept, "_cy", "_cx", "_ry", "_rx", "_edges", (F.size(F.filter("_xs", lambda x: x > F.col("_rx"))) % 2 == 1).alias("_in"))
+    return out.filter(F.col("_in") | (F.size("_edges") > 0))
 
 
-def containment_join_banded(points: DataFrame, polygons: DataFrame, key: str, polygon_key: str, band: float = 0.1) -> DataFrame:
-    """(key, polygon_key) pairs of a point strictly inside a polygon, for polygons of very many vertices.
+def _inside(lat: Column, lon: Column, c: Column) -> Column:
+    """Whether a point of a cell is strictly inside the polygon of a row ``c`` of ``clipped``."""
+    along = lambda e: _passes(e, lat, "lat") & ((_crossing(e, lat, "lat", "lon") > lon) != (_crossing(e, lat, "lat", "lon") > c["_rx"]))
+    up = lambda e: _passes(e, c["_rx"], "lon") & ((_crossing(e, c["_rx"], "lon", "lat") > lat) != (_crossing(e, c["_rx"], "lon", "lat") > c["_ry"]))
+    turns = F.aggregate(c["_edges"], F.lit(0), lambda n, e: n + along(e).cast("int") + up(e).cast("int"))
+    cross = lambda e: (e["b"]["lon"] - e["a"]["lon"]) * (lat - e["a"]["lat"]) - (lon - e["a"]["lon"]) * (e["b"]["lat"] - e["a"]["lat"])
+    within = lambda e, f, x: x.between(F.least(e["a"][f], e["b"][f]), F.greatest(e["a"][f], e["b"][f]))
+    on = F.exists(c["_edges"], lambda e: (cross(e) == 0) & within(e, "lon", lon) & within(e, "lat", lat))
+    return (c["_in"] != (turns % 2 == 1)) & ~on
 
-    Edges are dealt to the latitude bands that they touch, so a point meets the edges of its own band and no polygon
-    is ever one row's work; how many edges lie to its right decides. Holes and multi-part polygons count alike.
+
+def containment_join(points: DataFrame, polygons: DataFrame, cell: float = 0.5, parts: str = "parts") -> DataFrame:
+    """Pairs of a point (lat, lon) and a polygon that it is strictly inside of.
+
+    polygons: ``parts``, an array of polygons, each an array of rings, outer first. Columns must differ in name.
     """
-    ring = lambda r: F.zip_with(r, F.concat(F.slice(r, 2, F.greatest(F.size(r) - 1, F.lit(0))), F.slice(r, 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    edges = polygons.select(polygon_key, F.explode(F.flatten(F.flatten(F.transform("parts", lambda p: F.transform(p, ring))))).alias("e")).select(polygon_key, "e.a", "e.b")
-    edges = edges.withColumn("_band", F.explode(F.sequence(_row(F.least("a.lat", "b.lat"), band), _row(F.greatest("a.lat", "b.lat"), band))))
-    y, x = F.col("lat"), F.col("lon")
-    cross = (F.col("b.lon") - F.col("a.lon")) * (y - F.col("a.lat")) - (x - F.col("a.lon")) * (F.col("b.lat") - F.col("a.lat"))
-    right = ((F.col("a.lat") > y) != (F.col("b.lat") > y)) & (F.when(F.col("b.lat") > F.col("a.lat"), cross).otherwise(-cross) > 0)
-    on = (cross == 0) & x.between(F.least("a.lon", "b.lon"), F.greatest("a.lon", "b.lon")) & y.between(F.least("a.lat", "b.lat"), F.greatest("a.lat", "b.lat"))
-    met = points.select(key, "lat", "lon").withColumn("_band", _row(y, band)).join(edges, "_band")
-    met = met.filter(F.greatest("a.lon", "b.lon") >= x)  # an edge wholly to the left neither crosses nor holds the point
-    found = met.groupBy(key, polygon_key).agg(F.sum(right.cast("int")).alias("n"), F.bool_or(on).alias("on"))
-    return found.filter("n % 2 = 1 AND NOT on").select(key, polygon_key)
+    placed = points.withColumn("_cy", _row(F.col("lat"), cell)).withColumn("_cx", _column(F.col("lon"), cell))
+    c = F.struct("_edges", "_in", "_rx", "_ry")
+    return placed.join(clipped(polygons, cell, parts), ["_cy", "_cx"]).filter(_inside(F.col("lat"), F.col("lon"), c)).drop("_cy", "_cx", "_edges", "_in", "_rx", "_ry")
+
+
+def first_match(points: DataFrame, polygons: DataFrame, take: list[str], ordinal: str = "ordinal", cell: float = 0.5, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """All points, each with the first non-null value of every ``take`` column over the polygons that it is inside of, by ordinal.
+
+    The first is taken per column, so values may come from two polygons. The polygons of a cell are one row, as many as
+    overlap there, so every point meets one row: it is read once, stays one row, and moves only if the cells are too
+    many to broadcast. A point without a place gets nulls."""
+    own = polygons.select(F.col(ordinal).alias("_o"), *[F.col(c).alias(f"_t_{c}") for c in take], "parts")
+    dealt = clipped(own, cell)
+    cells = dealt.groupBy("_cy", "_cx").agg(F.collect_list(F.struct("_o", *[f"_t_{c}" for c in take], "_edges", "_in", "_rx", "_ry")).alias("_polygons"))
+    met = points.withColumn("_cy", _row(F.col(lat), cell)).withColumn("_cx", _column(F.col(lon), cell)).join(cells, ["_cy", "_cx"], "left")
+    met = met.withColumn("_polygons", F.transform(F.filter("_polygons", lambda c: _inside(F.col(lat), F.col(lon), c)), lambda c: F.struct(c["_o"].alias("_o"), *[c[f"_t_{t}"].alias(t) for t in take])))
+    first = lambda t: F.array_min(F.transform(F.filter("_polygons", lambda c: c[t].isNotNull()), lambda c: F.struct(c["_o"].alias("o"), c[t].alias("v"))))["v"]
+    return met.withColumns({t: first(t) for t in take}).drop("_cy", "_cx", "_polygons")

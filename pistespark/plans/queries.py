@@ -236,14 +236,14 @@ FROM area LEFT JOIN t USING (area_type, area_id) LEFT JOIN l USING (area_type, a
 )
 def resort_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = rollup.measures(_nearby(spark, sf_dir))
-    made = views.areas(spark, sf_dir).select("area_type", "area_id").join(rollup.trails(measured), rollup.KEY, "left").join(rollup.lift_types(rollup.lifts(measured)), rollup.KEY, "left")
+    made = views.areas(spark, sf_dir).select("area_type", "area_id").join(rollup.trails(measured), rollup.KEY, "left")
     n = lambda c: F.coalesce(c, F.lit(0))
     return made.select("area_type", "area_id", rollup.resort_type(n("terrain_m2"), n("total_lifts"), n("downhill_trails")).alias("resort_type"))
 
 
 @_query(views.with_views("area", "admin0", "admin1") + _ADMIN + "SELECT area_type, area_id, country, state FROM pa")
 def admin_pip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = enrich.with_admin(views.areas(spark, sf_dir), views.countries(spark, sf_dir), views.states(spark, sf_dir), ["area_type", "area_id"])
+    out = enrich.with_admin(views.areas(spark, sf_dir), views.countries(spark, sf_dir), views.states(spark, sf_dir))
     return out.select("area_type", "area_id", "country", "state")
 
 
@@ -255,7 +255,7 @@ SELECT way_id, (SELECT arg_min(name, area_id) FROM area WHERE lon>lon0-h AND lon
 def area_pip_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = 0.0000123  # no point then lies on an edge
     at = views.way_points(spark, sf_dir).select("way_id", (F.col("lat") + shift).alias("lat"), (F.col("lon") + shift).alias("lon"))
-    return enrich.with_area(at, views.areas(spark, sf_dir), ["way_id"]).select("way_id", "ski_area")
+    return enrich.with_area(at, views.areas(spark, sf_dir)).select("way_id", "ski_area")
 
 
 @_query(
@@ -273,7 +273,7 @@ def name_lookup_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = at.select("way_id", F.concat(F.lit("A"), (F.col("way_id") % 70).cast("string")).alias("area_name"), F.when(there, F.col("lat")).alias("lat"), F.when(there, F.col("lon")).alias("lon"))
     named = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     named = named.select(F.col("s_suppkey").alias("ordinal"), F.concat(F.lit("A"), (F.col("s_suppkey") % 50).cast("string")).alias("name"), F.when(F.col("s_suppkey") % 4 != 1, F.col("n_name")).alias("country"), F.when(F.col("s_suppkey") % 5 != 2, F.concat(F.lit("S"), F.col("s_nationkey").cast("string"))).alias("state"))
-    return enrich.by_name(found, named, views.countries(spark, sf_dir), views.states(spark, sf_dir), ["way_id"]).select("way_id", "area_name", "country", "state")
+    return enrich.by_name(found, named, views.countries(spark, sf_dir), views.states(spark, sf_dir)).select("way_id", "area_name", "country", "state")
 
 
 _BOX = "CAST(2000 AS DOUBLE)/111320 dy, CAST(2000 AS DOUBLE)/(111320*cos(radians(lat0))) dx"

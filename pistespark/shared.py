@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,10 @@ def spread_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
 
 
 def released(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of finished jobs whose results are tables by now."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of finished jobs whose results are tables by now.
+
+    Twice, as what the first collection lets go may itself hold on to something."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)

@@ -68,7 +68,7 @@ def square(x, y, h):
 def test_first_match_takes_the_first_value_per_column(spark):
     polys = spark.createDataFrame([(1, None, "S1", square(0, 0, 1)), (2, "C2", "S2", square(0.5, 0, 1)), (3, "C3", None, square(0, 0, 5))], f"ordinal long, country string, state string, parts array<array<array<{V}>>>")
     pts = spark.createDataFrame([(1, 0.0, 0.2), (2, 0.0, -3.0), (3, 40.0, 40.0), (4, 1.0, 0.0), (5, None, None)], "id int, lat double, lon double")
-    got = {r["id"]: (r["country"], r["state"]) for r in spatial_join.first_match(pts, polys, ["id"], ["country", "state"]).collect()}
+    got = {r["id"]: (r["country"], r["state"]) for r in spatial_join.first_match(pts, polys, ["country", "state"]).collect()}
     assert got == {1: ("C2", "S1"), 2: ("C3", None), 3: (None, None), 4: ("C3", None), 5: (None, None)}
 
 
@@ -77,7 +77,7 @@ def test_by_name_asks_the_boundaries_only_where_something_is_missing(spark):
     land = spark.createDataFrame([(1, "Land", square(0, 0, 1))], f"ordinal long, country string, parts array<array<array<{V}>>>")
     none = spark.createDataFrame([], f"ordinal long, state string, parts array<array<array<{V}>>>")
     rows = spark.createDataFrame([(1, "A", 0.0, 0.0), (2, "B", 0.0, 0.0), (3, "B", None, None), (4, None, 0.0, 0.0), (5, "B", 9.0, 9.0)], "id int, area_name string, lat double, lon double")
-    got = {r["id"]: (r["country"], r["state"]) for r in enrich.by_name(rows, names, land, none, ["id"]).collect()}
+    got = {r["id"]: (r["country"], r["state"]) for r in enrich.by_name(rows, names, land, none).collect()}
     assert got == {1: ("CA", "SA"), 2: ("Land", None), 3: ("CB", None), 4: ("Land", None), 5: (None, None)}
     assert enrich.filled(rows, {"area_name": "Unknown"}).filter("area_name = 'Unknown'").count() == 1
 
@@ -136,7 +136,8 @@ def test_combine(spark):
     assert {(r["dataset"], r["rows"]) for r in combine.row_counts({"a": a, "b": b.limit(0)}).collect()} == {("a", 1), ("b", 0)}
 
 
-def test_banded_containment_is_the_same_join(spark):
+def test_clipped_containment_equals_every_edge(spark):
+    """Cells of any size give what all edges of the whole polygons give."""
     rnd = random.Random(11)
     wheel = lambda x, y, r, n: [{"lat": y + r * (1 + 0.3 * (i % 2)) * math.sin(6.283185 * i / n), "lon": x + r * (1 + 0.3 * (i % 2)) * math.cos(6.283185 * i / n)} for i in range(n)]
     polys = [(k, [[wheel(k * 0.7, 0.3 * k, 1.0, 60), wheel(k * 0.7, 0.3 * k, 0.4, 9)], [wheel(k * 0.7 + 4, -2.0, 0.5, 12)]]) for k in range(4)] + [(9, square(0.0, 0.0, 1.0)), (10, [])]
@@ -144,6 +145,24 @@ def test_banded_containment_is_the_same_join(spark):
     pts = [(i, rnd.uniform(-3, 3), rnd.uniform(-2, 7)) for i in range(300)] + [(900, 1.0, 0.0), (901, 0.0, 1.0), (902, -1.0, -1.0)]
     points = spark.createDataFrame(pts, "id int, lat double, lon double")
     pairs = lambda df: {(r["id"], r["poly"]) for r in df.collect()}
-    want = pairs(spatial_join.containment_join(points, polygons))
+    want = pairs(points.join(polygons).filter(geo.inside_any(F.col("lat"), F.col("lon"), F.col("parts"))))
     assert len(want) > 50 and not {p for p in want if p[0] >= 900 and p[1] == 9}
-    assert pairs(spatial_join.containment_join_banded(points, polygons, "id", "poly")) == want
+    for cell in (0.5, 0.13, 3.0, 50.0):
+        assert pairs(spatial_join.containment_join(points, polygons, cell)) == want
+    most = spatial_join.clipped(polygons.filter("poly < 4"), 0.1).agg(F.max(F.size("_edges"))).first()[0]
+    assert most < 40  # of 81 edges, no cell has more than those that meet it
+
+
+def test_clusters_equal_all_pairs(spark):
+    """Dense points, whose cells hold many, against a search over all pairs; also near a pole and over the antimeridian."""
+    rnd = random.Random(4)
+    at = [(rnd.gauss(46, 0.05), rnd.gauss(8, 0.08)) for _ in range(120)] + [(rnd.uniform(89.9, 90), rnd.uniform(-180, 180)) for _ in range(20)] + [(rnd.uniform(0, 0.1), rnd.choice([179.99, -179.99])) for _ in range(20)]
+    far = lambda p, q: 2 * 6371000 * math.asin(math.sqrt(math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2))
+    low = list(range(len(at)))
+    for _ in range(len(at)):
+        new = [min([low[i], *(low[j] for j in range(len(at)) if far(at[i], at[j]) <= 1500)]) for i in range(len(at))]
+        if new == low:
+            break
+        low = new
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(at)], "ordinal long, lat double, lon double").repartition(3)
+    assert sorted((r["ordinal"], r["cluster"]) for r in cluster.single_linkage(df, 1500.0).collect()) == list(enumerate(low))
