@@ -209,6 +209,35 @@ def wkb(g: Column) -> Column:
     return F.unhex(text)
 
 
+def _double_at(digits: Column, at: Column, little: Column) -> Column:
+    """The double whose eight bytes are the 16 hex digits from a place on (from 0)."""
+    own = F.substr(digits, at + 1, F.lit(16))
+    turned = F.concat(*[F.substr(own, F.lit(15 - 2 * i), F.lit(2)) for i in range(8)])
+    x = F.when(little, turned).otherwise(own)
+    top = F.conv(F.substr(x, F.lit(1), F.lit(3)), 16, 10).cast("int")
+    e, m = top.bitwiseAND(F.lit(2047)), F.conv(F.substr(x, F.lit(4), F.lit(13)), 16, 10).cast("long")
+    size = F.when((e == 0) & (m == 0), F.lit(0.0)).otherwise((1 + m / F.lit(float(1 << 52))) * F.pow(F.lit(2.0), (e - 1023).cast("double")))
+    return F.when(top >= 2048, -size).otherwise(size)
+
+
+def vertices_of_wkb(data: Column) -> Column:
+    """The vertex list of well-known binary of either byte order: a point, a line, or a polygon's outer ring; null for any other."""
+    digits = F.hex(data)
+    little = F.substr(digits, F.lit(1), F.lit(2)) == "01"
+
+    def whole(at: int) -> Column:
+        own = F.substr(digits, F.lit(at + 1), F.lit(8))
+        turned = F.concat(*[F.substr(own, F.lit(7 - 2 * i), F.lit(2)) for i in range(4)])
+        return F.conv(F.when(little, turned).otherwise(own), 16, 10).cast("int")
+
+    def points(n: Column, at: int) -> Column:
+        one = lambda i: vertex(_double_at(digits, i * 32 + (at + 16), little), _double_at(digits, i * 32 + at, little))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), one))
+
+    kind = whole(2)
+    return F.when(kind == 1, points(F.lit(1), 10)).when(kind == 2, points(whole(10), 18)).when((kind == 3) & (whole(10) > 0), points(whole(18), 26))
+
+
 def miles(metres: Column) -> Column:
     return metres / MILE_M
 

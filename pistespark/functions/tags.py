@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Aerialway values that are lifts (stations and pylons are not), and properties that are no tags.
 LIFT_TYPES = ["chair_lift", "gondola", "cable_car", "drag_lift", "t-bar", "j-bar", "platter", "magic_carpet", "rope_tow", "mixed_lift"]
-NOT_TAGS = ["osm_id", "osm_way_id", "osm_relation_id", "id", "geometry", "other_tags", "type", "ogc_fid"]
+NOT_TAGS = ["osm_id", "osm_way_id", "id", "name", "other_tags"]
 #: Properties that hold a country's and a state's name, best first.
 COUNTRY_NAMES = ["ADMIN", "NAME", "NAME_LONG", "SOVEREIGNT"]
 STATE_NAMES = ["name", "NAME", "NAME_1", "admin", "ADMIN1"]
@@ -92,8 +92,9 @@ def other_tags(text: Column) -> Column:
 
 
 def tags_of(props: Column) -> Column:
-    """Tags of a feature: its other_tags, under its own properties that are neither ids, geometry nor blank."""
-    own = F.map_filter(props, lambda k, v: ~k.isin(NOT_TAGS) & v.isNotNull() & (F.trim(v) != ""))
+    """Tags of a feature: its other_tags, under its own properties that are neither ids, geometry (any key that holds the word) nor
+    blank. A name stays unless it is empty."""
+    own = F.map_filter(props, lambda k, v: v.isNotNull() & (((k == "name") & (v != "")) | (~k.isin(NOT_TAGS) & ~F.lower(k).contains("geometry") & (F.trim(v) != ""))))
     more = F.map_filter(other_tags(F.coalesce(props["other_tags"], F.lit(""))), lambda k, v: ~F.array_contains(F.map_keys(own), k))
     return F.map_concat(own, more)
 

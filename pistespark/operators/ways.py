@@ -12,10 +12,7 @@ def resolved(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     A node id that comes twice has the point of its last ordinal. The references shuffle once by node id and once,
     aggregated, by way; a node that very many ways use is split by AQE in the join.
     """
-    known = nodes.groupBy("node_id").agg(F.max_by(F.struct("lat", "lon"), "ordinal").alias("at"))
-    refs = ways.filter(F.size("nodes") >= 2).select("way_id", F.posexplode("nodes").alias("pos", "node_id"))
-    met = refs.join(known, "node_id", "left").groupBy("way_id").agg(F.count("*").alias("refs"), F.count("at").alias("known"), F.array_sort(F.collect_list(F.struct("pos", "at"))).alias("found"))
-    return met.filter("refs = known").select("way_id", F.transform("found", lambda x: x["at"]).alias("geometry"))
+    return assembled(ways.filter(F.size("nodes") >= 2).select("way_id", F.posexplode("nodes").alias("pos", "node_id")), nodes)
 
 
 def assembled(refs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -63,6 +63,14 @@ def _delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern matches in the file system that it names; none if there is nothing."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def fresh(taken: list[str], *names: str) -> list[str]:
     """The names, each with as many underscores added as keep it apart from the taken ones, in any case."""
     held, out = {c.lower() for c in taken}, []

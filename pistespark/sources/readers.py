@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pistespark.functions import geo
 from pistespark.functions import tags as tg
 from pistespark.schema import ANALYZED_DDL, BOUNDS, MEMBERS, RING
+from pistespark.shared import listed
 
-FEATURE = "struct<type:string,id:string,geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
+FEATURE = "struct<type:string,id:string,ordinal:bigint,geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
 _POSITION, _LINE, _RINGS, _PARTS = "array<double>", "array<array<double>>", "array<array<array<double>>>", "array<array<array<array<double>>>>"
 ELEMENT_JSON = f"struct<type:string,id:bigint,lat:double,lon:double,nodes:array<bigint>,geometry:{RING},bounds:{BOUNDS},members:{MEMBERS},tags:map<string,string>,winter_sports_id:string,winter_sports_type:string,winter_sports_name:string,country:string,state:string>"
 
@@ -48,11 +50,12 @@ def shaped(features: DataFrame) -> DataFrame:
 def geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """ordinal, kind, props, geometry, parts, lines of a feature collection, also one that is keyed by layer. Null and empty geometries are dropped.
 
-    lines: the path holds one feature per line."""
+    lines: the path holds one feature per line; the ordinal is that of the line where it has one (as the sink writes it),
+    so that it does not depend on how files are split, and else its place among the splits."""
     if lines:
         schema = T.StructType.fromDDL(f"f {FEATURE}")["f"].dataType
-        found = spark.read.schema(schema).json(path).select(F.struct("type", "id", "geometry", "properties").alias("f"))
-        found = found.withColumn("ordinal", F.monotonically_increasing_id())
+        found = spark.read.schema(schema).json(path).select(F.struct("type", "id", "geometry", "properties").alias("f"), "ordinal")
+        found = found.withColumn("ordinal", F.coalesce("ordinal", F.monotonically_increasing_id()))
     else:
         raw = spark.read.option("wholetext", True).text(path)
         plain = F.from_json("value", f"struct<features:array<{FEATURE}>>")["features"]
@@ -82,16 +85,43 @@ def areas_for_nearby(features: DataFrame) -> DataFrame:
     return features.select("ordinal", kind.alias("area_type"), id_.alias("area_id"), F.coalesce(tg.first_of(p["name"], p["Name"]), F.lit("Unknown")).alias("name"), tg.first_of(p["State"], p["state"]).alias("state"), tg.first_of(p["Country"], p["country"]).alias("country"), "kind", "geometry", "parts", "lines")
 
 
-def osm_json(spark: SparkSession, path: str) -> DataFrame:
-    """Elements of a JSON document ``{"elements": [...]}``."""
-    raw = spark.read.schema(f"elements array<{ELEMENT_JSON}>").option("multiLine", True).json(path)
-    e = raw.select(F.posexplode("elements").alias("ordinal", "e")).select(F.col("ordinal").cast("bigint").alias("ordinal"), "e.*")
+def osm_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Elements of a JSON document ``{"elements": [...]}``, or of a folder with one element per line, as ``sinks.element_lines`` writes it."""
+    if lines:
+        kind = T.StructType.fromDDL(f"e {ELEMENT_JSON}")["e"].dataType
+        e = spark.read.schema(T.StructType([*kind.fields, T.StructField("ordinal", T.LongType())])).json(path)
+        e = e.withColumn("ordinal", F.coalesce("ordinal", F.monotonically_increasing_id()))
+    else:
+        raw = spark.read.schema(f"elements array<{ELEMENT_JSON}>").option("multiLine", True).json(path)
+        e = raw.select(F.posexplode("elements").alias("ordinal", "e")).select(F.col("ordinal").cast("bigint").alias("ordinal"), "e.*")
     return e.withColumnsRenamed({"type": "osm_type", "id": "osm_id"}).withColumn("winter_sports_id", tg.numeric_key(F.col("winter_sports_id"))).withColumn("tags", F.coalesce("tags", F.create_map().cast("map<string,string>")))
 
 
+def measured_elements(elements: DataFrame) -> DataFrame:
+    """Elements of ``osm_json`` with ``geometry`` as they are measured: a node's point, a way's line, a relation's middle or outer members."""
+    return elements.withColumn("geometry", geo.element_geometry(F.col("osm_type"), F.col("lat"), F.col("lon"), F.col("geometry"), F.col("bounds"), F.col("members")))
+
+
+def areas_from_elements(elements: DataFrame) -> DataFrame:
+    """Areas among the elements of ``osm_json``: ways and relations, the last of each id. ``measured`` is the geometry that their size goes by."""
+    rows = elements.filter(F.col("osm_type").isin("way", "relation") & F.col("osm_id").isNotNull())
+    shape = geo.element_geometry(F.col("osm_type"), F.col("lat"), F.col("lon"), F.col("geometry"), F.col("bounds"), F.col("members"))
+    name = tg.display_name(F.col("tags"), F.col("osm_type"), F.col("osm_id"))
+    made = rows.select("ordinal", F.col("osm_type").alias("area_type"), F.col("osm_id").alias("area_id"), name.alias("name"), tg.blank_to_null(F.col("country")).alias("country"), tg.blank_to_null(F.col("state")).alias("state"), F.coalesce(F.when(F.size("geometry") > 0, F.col("geometry")), shape).alias("geometry"), "bounds", shape.alias("measured"))
+    fields = ["ordinal", "name", "country", "state", "geometry", "bounds", "measured"]
+    return made.groupBy("area_type", "area_id").agg(F.max_by(F.struct(*fields), "ordinal").alias("r")).select("area_type", "area_id", "r.*")
+
+
 def nearby_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Nearby features as ``sinks.nearby_parquet`` writes them; tags from their JSON text, broken text gives none."""
-    return spark.read.parquet(path).withColumn("tags", tg.json_tags(F.col("tags")))
+    """Nearby features as ``sinks.nearby_parquet`` writes them, or with their geometry as well-known binary only; tags from
+    their JSON text, broken text gives none."""
+    rows = spark.read.parquet(path)
+    if dict(rows.dtypes).get("geometry") == "binary":
+        rows = rows.withColumn("geometry", geo.vertices_of_wkb(F.col("geometry")))
+    if "lat" not in rows.columns:
+        one = geo.n_vertices(F.col("geometry")) == 1
+        rows = rows.withColumns({c: F.when(one, F.get("geometry", F.lit(0))[c]) for c in ("lat", "lon")})
+    return rows.withColumn("tags", tg.json_tags(F.col("tags")))
 
 
 def boundaries(spark: SparkSession, path: str | None, names: list[str], out: str) -> DataFrame:
@@ -106,6 +136,20 @@ def analyzed_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(ANALYZED_DDL).csv(path)
 
 
+#: The tables of a region.
+TABLES = ["ski_areas", "lifts", "pistes", "osm_near_winter_sports", "ski_areas_analyzed"]
+
+
+def regions(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Table name to the sorted regions that have it: folders under root with a known table in them; ``combined`` is no region."""
+    found: dict[str, list[str]] = {}
+    for name in TABLES:
+        have = sorted({p.rstrip("/").rsplit("/", 2)[-2] for p in listed(spark, f"{root.rstrip('/')}/*/{name}.parquet")} - {"combined"})
+        if have:
+            found[name] = have
+    return found
+
+
 def regional(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The table ``name`` of all regions under root (root/region/name.parquet), with the region from its path; ``combined`` is no region."""
     df = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(f"{root.rstrip('/')}/*/{name}.parquet")

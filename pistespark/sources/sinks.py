@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pistespark.functions import geo
 from pistespark.functions import tags as tg
 from pistespark.schema import ANALYZED_COLUMNS
+from pistespark.sources import readers
 
 
-def feature_text(df: DataFrame, props: list[str]) -> DataFrame:
-    """One GeoJSON feature per row as ``value``. df: geometry (vertices), parts (or null), and the property columns."""
+def feature_text(df: DataFrame, props: list[str] | Column) -> DataFrame:
+    """One GeoJSON feature per row as ``value``. df: geometry (vertices), parts (or null), the property columns (or a map), and ordinal,
+    if the features have an order to keep."""
     pair = lambda v: F.concat(F.lit("["), v["lon"].cast("string"), F.lit(","), v["lat"].cast("string"), F.lit("]"))
     row = lambda g: F.concat(F.lit("["), F.array_join(F.transform(g, pair), ","), F.lit("]"))
     nest = lambda x, f: F.concat(F.lit("["), F.array_join(F.transform(x, f), ","), F.lit("]"))
@@ -26,10 +28,10 @@ def feature_text(df: DataFrame, props: list[str]) -> DataFrame:
         .otherwise(row(F.col("geometry")))
     )
     shape = F.coalesce(F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coords, F.lit("}")), F.lit("null"))
-    return df.select(F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.to_json(F.struct(*props)), F.lit("}")).alias("value"))
+    return df.select(F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.to_json(F.struct(*props) if isinstance(props, list) else props), *([F.lit(',"ordinal":'), F.col("ordinal").cast("string")] if "ordinal" in df.columns else []), F.lit("}")).alias("value"))
 
 
-def geojson_lines(df: DataFrame, path: str, props: list[str]) -> None:
+def geojson_lines(df: DataFrame, path: str, props: list[str] | Column) -> None:
     """A folder of line-delimited features: splittable, and written in parallel."""
     feature_text(df, props).write.mode("overwrite").text(path)
 
@@ -66,6 +68,16 @@ def features_parquet(features: DataFrame, path: str) -> None:
     features.withColumn("wkb", geo.wkb(F.col("geometry"))).write.mode("overwrite").parquet(path)
 
 
+def csv_to_parquet(spark: SparkSession, source: str, path: str) -> None:
+    """The per-area table from CSV to Parquet, with its fixed types."""
+    readers.analyzed_csv(spark, source).write.mode("overwrite").parquet(path)
+
+
+def combined(df: DataFrame, path: str) -> None:
+    """All regions of a table, a folder for each."""
+    df.write.mode("overwrite").partitionBy("region").parquet(path)
+
+
 def export_all(jobs: dict[str, Callable[[], None]]) -> dict[str, str | None]:
     """Run each export; one that fails is reported by its error and does not stop the others."""
     out: dict[str, str | None] = {}
