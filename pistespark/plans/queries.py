@@ -120,13 +120,14 @@ def centroid_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     + _LINES
     + """, r AS (SELECT way_id, flat, flon, lon-flon x, lat-flat y, coalesce(nlon,flon)-flon x2, coalesce(nlat,flat)-flat y2 FROM seg WHERE n>=3),
 c AS (SELECT way_id, any_value(flat) flat, any_value(flon) flon, sum(x*y2-x2*y) s, sum((x*y2-x2*y)*(x+x2)) cx, sum((x*y2-x2*y)*(y+y2)) cy FROM r GROUP BY way_id)
-SELECT way_id, round(flat+cy/(3*s)+0.000000123, 6) lat, round(flon+cx/(3*s)+0.000000123, 6) lon FROM c WHERE abs(s)>0.001"""
+SELECT way_id, round(CASE WHEN abs(s)>0.0000001 THEN flat+cy/(3*s) END+0.0000123, 4) lat, round(CASE WHEN abs(s)>0.0000001 THEN flon+cx/(3*s) END+0.0000123, 4) lon FROM c"""
 )
 def centroid_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = views.way_lines(spark, sf_dir).filter(F.size("geometry") >= 3).withColumn("m", geo._moments(F.col("geometry"))).filter(F.abs("m.c") > 0.001)
-    shift = 0.000000123  # no value then lies where rounding turns
-    found = found.withColumn("c", geo.centroid_of_polygon(F.array("geometry")))
-    return found.select("way_id", F.round(F.col("c.lat") + shift, 6).alias("lat"), F.round(F.col("c.lon") + shift, 6).alias("lon"))
+    found = views.way_lines(spark, sf_dir).filter(F.size("geometry") >= 3).withColumn("m", geo._moments(F.col("geometry")))
+    shift = 0.0000123  # no value then lies where rounding turns
+    # a ring without area has no centroid of its own in either engine's sums: its is the line's, which centroid_line compares
+    found = found.withColumn("c", F.when(F.abs("m.c") > 0.0000001, geo.centroid_of_polygon(F.array("geometry"))))
+    return found.select("way_id", F.round(F.col("c.lat") + shift, 4).alias("lat"), F.round(F.col("c.lon") + shift, 4).alias("lon"))
 
 
 _KIND = """, g AS (SELECT way_id, count(*) n, arg_min(lat, pos) flat, arg_min(lon, pos) flon, arg_max(lat, pos) llat, arg_max(lon, pos) llon FROM way_vertex GROUP BY way_id),
@@ -421,3 +422,241 @@ def empty_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     area_rollup(spark, sf_dir).filter("winter_sports_id < 0").write.parquet(path)
     back = spark.read.parquet(path)
     return back.agg(F.count("*").alias("rows"), F.lit(len(back.columns)).cast("bigint").alias("n_columns"))
+
+
+_NO_RING = f"array<array<{readers.RING}>>"
+
+
+def _ways(spark: SparkSession, sf_dir: str, shift: float = 0.0) -> DataFrame:
+    """Ways as features: ordinal, kind, props, geometry, parts, lines; vertices moved by ``shift``, so that none lies on an edge."""
+    rows = views.way_lines(spark, sf_dir).join(views.way_tags(spark, sf_dir), "way_id")
+    props = F.map_concat("tags", F.create_map(F.lit("osm_way_id"), F.col("way_id").cast("string"), F.lit("old_geometry"), F.lit("x"), F.lit("blank"), F.lit(" ")))
+    moved = F.transform("geometry", lambda v: geo.vertex(v["lat"] + shift, v["lon"] + shift))
+    none = lambda kind: F.lit(None).cast(kind)
+    return rows.select(F.col("way_id").alias("ordinal"), F.lit("LineString").alias("kind"), props.alias("props"), moved.alias("geometry"), none(_NO_RING).alias("parts"), none(f"array<{readers.RING}>").alias("lines"))
+
+
+_WITH_LINE = "(SELECT DISTINCT way_id FROM way_vertex)"
+
+
+@_query(
+    views.with_views("area", "way", "way_vertex")
+    + f"""SELECT 'ski_areas' dataset, count(*) AS "rows" FROM area WHERE area_id%3<>0 UNION ALL SELECT 'lifts', count(*) FROM way JOIN {_WITH_LINE} USING (way_id) WHERE aerialway IS NOT NULL
+UNION ALL SELECT 'pistes', count(*) FROM way JOIN {_WITH_LINE} USING (way_id) WHERE piste_type IS NOT NULL"""
+)
+def extract_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _out(spark, "extract")
+    jobs.extract(_elements(spark, sf_dir), path)
+    return jobs.counts({name: readers.geojson(spark, f"{path}/{name}.geojson", lines=True) for name in ("ski_areas", "lifts", "pistes")})
+
+
+@_query(views.with_views("area") + "SELECT area_type, area_id, name, CAST(5 AS BIGINT) AS vertices, round(lat0-h, 6) AS first_lat FROM area WHERE area_id<>0")
+def areas_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every area comes twice under its id; the last one counts, and 0 is no id."""
+    path, rows = _out(spark, "areas"), views.areas(spark, sf_dir)
+    both = rows.withColumn("name", F.lit("old")).unionByName(rows.withColumn("ordinal", F.col("ordinal") + 10_000_000_000))
+    key = F.when(F.col("area_type") == "relation", "osm_relation_id").otherwise("osm_way_id")
+    sinks.geojson_lines(both, path, F.create_map(key, F.col("area_id").cast("string"), F.lit("name"), F.col("name")))
+    back = readers.areas_for_rollup(readers.geojson(spark, path, lines=True))
+    return back.select("area_type", "area_id", "name", F.size("geometry").cast("bigint").alias("vertices"), F.round(F.get("geometry", F.lit(0))["lat"], 6).alias("first_lat"))
+
+
+@_query(
+    views.with_views("area")
+    + """SELECT CASE WHEN area_id%5=0 THEN 'way' ELSE area_type END area_type, CASE WHEN area_id%5=0 THEN area_id+1000000 ELSE area_id END area_id,
+  CASE WHEN area_id%7=0 THEN 'Unknown' ELSE name END name, CASE WHEN area_id%2=0 THEN 'Polygon' ELSE 'Point' END kind FROM area"""
+)
+def nearby_areas_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas of any geometry; those without an id are numbered by their ordinal, those without a name are Unknown."""
+    path, k = _out(spark, "areas"), F.col("area_id")
+    rows = views.areas(spark, sf_dir).withColumn("ordinal", k + 1_000_000)
+    point = F.array(geo.vertex(F.col("lat"), F.col("lon")))
+    rows = rows.withColumn("geometry", F.when(k % 2 == 0, F.col("geometry")).otherwise(point)).withColumn("parts", F.when(k % 2 == 0, F.col("parts")))
+    key = F.when(k % 5 == 0, "none").when(F.col("area_type") == "relation", "osm_relation_id").otherwise("osm_way_id")
+    sinks.geojson_lines(rows, path, F.create_map(key, k.cast("string"), F.lit("name"), F.when(k % 7 == 0, "").otherwise(F.col("name"))))
+    return readers.areas_for_nearby(readers.geojson(spark, path, lines=True)).select("area_type", "area_id", "name", "kind")
+
+
+@_query(
+    views.with_views("area", "way", "way_vertex", "node")
+    + """SELECT area_type osm_type, area_id osm_id, area_id AS ordinal, CAST(5 AS BIGINT) vertices, name FROM area
+UNION ALL SELECT 'way', w.way_id, w.way_id, v.n, NULL FROM way w LEFT JOIN (SELECT way_id, count(*) n FROM way_vertex GROUP BY 1) v USING (way_id)
+UNION ALL SELECT 'node', node_id, node_id, 1, NULL FROM node"""
+)
+def elements_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _out(spark, "elements")
+    sinks.element_lines(_elements(spark, sf_dir), path)
+    back = readers.osm_json(spark, path, lines=True)
+    return back.select("osm_type", "osm_id", F.col("ordinal"), F.size("geometry").cast("bigint").alias("vertices"), F.col("tags")["name"].alias("name")).withColumn("vertices", F.nullif("vertices", F.lit(-1).cast("bigint")))
+
+
+@_query(views.with_views("area") + "SELECT area_id, name, 'Polygon' AS kind FROM area WHERE area_id%6<>0")
+def layers_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are keyed by layer, 16 of them; features without a geometry are dropped."""
+    path, rows = _out(spark, "layers"), views.areas(spark, sf_dir)
+    gone = F.col("area_id") % 6 == 0
+    rows = rows.withColumn("geometry", F.when(~gone, F.col("geometry"))).withColumn("parts", F.when(~gone, F.col("parts")))
+    text = sinks.feature_text(rows.drop("ordinal"), F.create_map(F.lit("id"), F.col("area_id").cast("string"), F.lit("name"), F.col("name")))
+    docs = text.groupBy((F.xxhash64("value") % 16).alias("doc")).agg(F.array_join(F.collect_list("value"), ",").alias("f"))
+    docs.select("doc", F.concat(F.lit('{"points":{"features":[]},"multipolygons":{"features":['), "f", F.lit("]}}")).alias("value")).write.partitionBy("doc").text(path)
+    return readers.geojson(spark, path).select(F.col("props")["id"].cast("bigint").alias("area_id"), F.col("props")["name"].alias("name"), "kind")
+
+
+@_query(views.with_views("admin0") + "SELECT ordinal, coalesce(nullif(trim(admin),''), nullif(trim(name_long),'')) country, round(y1-y0, 6) height FROM admin0")
+def boundaries_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, v = _out(spark, "admin"), views.view(spark, sf_dir, "admin0")
+    rows = v.withColumn("geometry", views.box("x0", "x1", "y0", "y1")).withColumn("parts", F.array(F.array("geometry")))
+    sinks.geojson_lines(rows, path, F.create_map(F.lit("ADMIN"), F.coalesce("admin", F.lit(" nan ")), F.lit("NAME_LONG"), F.concat(F.lit(" "), "name_long")))
+    b = geo.ring_bounds(F.get(F.get("parts", F.lit(0)), F.lit(0)))
+    return readers.boundaries(spark, path, tg.COUNTRY_NAMES, "country", lines=True).select(F.col("ordinal").cast("int").alias("ordinal"), "country", F.round(b["maxlat"] - b["minlat"], 6).alias("height"))
+
+
+@_query(
+    views.with_views("way_vertex")
+    + """SELECT way_id, count(*) vertices, round(arg_min(lat, pos), 9) first_lat, round(arg_max(lon, pos), 9) last_lon, CASE WHEN count(*)=1 THEN round(any_value(lat), 9) END lat
+FROM way_vertex GROUP BY way_id"""
+)
+def nearby_wkb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file that holds well-known binary only."""
+    path = _out(spark, "wkb")
+    views.way_lines(spark, sf_dir).select(F.col("way_id"), geo.wkb(F.col("geometry")).alias("geometry"), F.lit("{broken").alias("tags")).write.parquet(path)
+    g = F.col("geometry")
+    return readers.nearby_parquet(spark, path).select("way_id", F.size(g).cast("bigint").alias("vertices"), F.round(F.element_at(g, 1)["lat"], 9).alias("first_lat"), F.round(F.element_at(g, -1)["lon"], 9).alias("last_lon"), F.round("lat", 9).alias("lat"))
+
+
+@_query(views.with_views("area") + "SELECT area_id winter_sports_id, name, CAST(21 AS BIGINT) wkb_bytes, round(lat0, 9) lat, round(lon0, 9) lon FROM area WHERE area_id%4<>1")
+def area_points_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-area table with its areas' points; areas without one are left out."""
+    path, rows = _out(spark, "points"), views.areas(spark, sf_dir)
+    table = rows.select(F.col("area_type").alias("winter_sports_type"), F.col("area_id").alias("winter_sports_id"), "name")
+    sinks.areas_parquet(table, rows.withColumn("lat", F.when(F.col("area_id") % 4 != 1, F.col("lat"))), path)
+    at = F.get(geo.vertices_of_wkb(F.col("wkb")), F.lit(0))
+    return spark.read.parquet(path).select("winter_sports_id", "name", F.octet_length("wkb").cast("bigint").alias("wkb_bytes"), F.round(at["lat"], 9).alias("lat"), F.round(at["lon"], 9).alias("lon"))
+
+
+@_query(views.with_views("way", "way_vertex") + _KIND + "SELECT way_id, n>=2 OR kind='Point' is_usable, coalesce(aerialway, 'way/'||way_id) AS label FROM way JOIN k USING (way_id)")
+def usable_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements whose geometry counts, and the names they are shown by. One vertex makes a point of a node, so those stay."""
+    rows = views.way_lines(spark, sf_dir).join(views.way_tags(spark, sf_dir), "way_id")
+    kind = F.when(F.size("geometry") == 1, "node").otherwise("way")
+    rows = rows.select("way_id", kind.alias("osm_type"), "geometry", F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.map_filter(F.create_map(F.lit("name:en"), F.lit(""), F.lit("name"), F.col("tags")["aerialway"]), lambda k, v: v.isNotNull()).alias("tags"))
+    return features.usable(rows).select("way_id", F.lit(True).alias("is_usable"), tg.display_name(F.col("tags"), F.lit("way"), F.col("way_id")).alias("label"))
+
+
+@_query(
+    views.with_views("area", "way_vertex", "node")
+    + """, o AS (SELECT area_id, count(*) n, min(lat) lat FROM area JOIN way_vertex ON way_id=area_id WHERE area_id%3=2 GROUP BY area_id)
+SELECT area_type osm_type, area_id osm_id, CASE WHEN area_id%3=0 THEN 1 WHEN area_id%3=2 THEN 2*coalesce(n,0) ELSE 5 END vertices, round(CASE WHEN area_id%3=0 THEN lat0 WHEN area_id%3=2 THEN o.lat ELSE lat0-h END, 6) low
+FROM area LEFT JOIN o USING (area_id) UNION ALL SELECT 'node', node_id, 1, round(lat, 6) FROM node"""
+)
+def element_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What elements are measured by: a node's point, a way's line, a relation's middle, or its outer members twice over here."""
+    k, none = F.col("area_id"), lambda kind: F.lit(None).cast(kind)
+    line = views.way_lines(spark, sf_dir).select(F.col("way_id").alias("area_id"), F.col("geometry").alias("line"))
+    rows = views.areas(spark, sf_dir).join(line, "area_id", "left")
+    one = lambda role, g: F.struct(F.lit("way").alias("type"), k.alias("ref"), F.lit(role).alias("role"), g.alias("geometry"))
+    members = F.array(one("outer", F.col("line")), one("inner", F.col("geometry")), one("outer", F.col("line")))
+    made = rows.select(F.when(k % 3 == 1, "way").otherwise("relation").alias("osm_type"), "area_type", k.alias("osm_id"), none("double").alias("lat"), none("double").alias("lon"), F.when(k % 3 == 1, F.col("geometry")).alias("geometry"), F.when(k % 3 == 0, geo.ring_bounds(F.col("geometry"))).alias("bounds"), F.when(k % 3 == 2, members).alias("members"))
+    node = views.view(spark, sf_dir, "node").select(F.lit("node").alias("osm_type"), F.lit("node").alias("area_type"), F.col("node_id").alias("osm_id"), "lat", "lon", none(readers.RING).alias("geometry"), none(readers.BOUNDS).alias("bounds"), none(readers.MEMBERS).alias("members"))
+    g = F.col("geometry")
+    out = readers.measured_elements(made.unionByName(node))
+    return out.select(F.col("area_type").alias("osm_type"), "osm_id", geo.n_vertices(g).cast("int").alias("vertices"), F.round(F.array_min(F.transform(g, lambda v: v["lat"])), 6).alias("low"))
+
+
+_LINE_CENTER = """, p AS (SELECT way_id, sqrt(pow(nlat-lat,2)+pow(nlon-lon,2)) m, (lat+nlat)/2 a, (lon+nlon)/2 o FROM seg),
+c0 AS (SELECT way_id, sum(m) m, sum(m*a) a, sum(m*o) o FROM p GROUP BY way_id),
+cl AS (SELECT way_id, n, CASE WHEN c0.m>0 THEN a/c0.m ELSE lat END lat, CASE WHEN c0.m>0 THEN o/c0.m ELSE lon END lon FROM c0 JOIN wl USING (way_id))"""
+
+
+@_query(
+    views.with_views("area", "way", "way_vertex")
+    + _LINES
+    + _LINE_CENTER
+    + f"""SELECT way_id osm_id, area_id winter_sports_id, area_type winter_sports_type, name winter_sports_name, aerialway, CAST((aerialway IS NOT NULL)::int + (piste_type IS NOT NULL)::int + 1 + (grooming IS NOT NULL)::int + (piste_width IS NOT NULL)::int AS BIGINT) n_tags
+FROM cl JOIN way USING (way_id), area WHERE n>=2 AND abs(lat-lat0)<0.02 AND abs(lon-lon0)<0.04 AND {_hav('lat', 'lon', 'lat0', 'lon0')}<=2000"""
+)
+def nearby_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    areas = views.areas(spark, sf_dir).withColumn("kind", F.lit("Polygon")).withColumn("lines", F.lit(None).cast(f"array<{readers.RING}>"))
+    out = jobs.extract_nearby(_ways(spark, sf_dir), areas, RADIUS_M)
+    return out.select("osm_id", "winter_sports_id", "winter_sports_type", "winter_sports_name", F.col("tags")["aerialway"].alias("aerialway"), (F.size("tags") - F.when(F.map_contains_key("tags", F.lit("blank")), 1).otherwise(0)).cast("bigint").alias("n_tags"))
+
+
+_IN_ADMIN = """(SELECT coalesce(nullif(trim(admin),''), nullif(trim(name_long),'')) FROM admin0 WHERE lon>x0 AND lon<x1 AND lat>y0 AND lat<y1) country,
+  (SELECT coalesce(nullif(trim(b.name),''), nullif(trim(b.admin),'')) FROM admin1 b WHERE lon>x0 AND lon<x1 AND lat>y0 AND lat<y1) state"""
+
+
+@_query(
+    views.with_views("area", "way", "way_vertex", "admin0", "admin1")
+    + _LINES
+    + _LINE_CENTER
+    + f""", s AS (SELECT way_id, lat+0.0000123 lat, lon+0.0000123 lon FROM cl JOIN way USING (way_id))
+SELECT way_id, {_IN_ADMIN}, (SELECT arg_min(name, area_id) FROM area WHERE lon>lon0-h AND lon<lon0+h AND lat>lat0-h AND lat<lat0+h) ski_area FROM s"""
+)
+def enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jobs.enrich_features(_ways(spark, sf_dir, 0.0000123), views.countries(spark, sf_dir), views.states(spark, sf_dir), views.areas(spark, sf_dir))
+    return out.select(F.col("ordinal").alias("way_id"), "country", "state", "ski_area")
+
+
+@_query(SQL["name_lookup_fallback"].replace("SELECT way_id, area_name, CASE", "SELECT way_id, CASE WHEN way_id%3=0 THEN 'own' ELSE area_name END ski_area, CASE"))
+def enrich_nearby_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements with neither point nor line keep what their area's name says."""
+    k, none = F.col("way_id"), F.lit(None).cast("double")
+    rows = views.way_lines(spark, sf_dir).select("way_id", F.concat(F.lit("A"), (k % 70).cast("string")).alias("winter_sports_name"), F.when(k % 3 == 0, "own").otherwise("").alias("ski_area"), F.when(k % 11 != 0, F.col("geometry")).alias("geometry"), none.alias("lat"), none.alias("lon"))
+    named = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    n = F.col("s_suppkey")
+    named = named.select(n.alias("ordinal"), F.concat(F.lit("A"), (n % 50).cast("string")).alias("name"), F.when(n % 4 != 1, F.col("n_name")).alias("country"), F.when(n % 5 != 2, F.concat(F.lit("S"), F.col("s_nationkey").cast("string"))).alias("state"))
+    return jobs.enrich_nearby(rows, named, views.countries(spark, sf_dir), views.states(spark, sf_dir)).select("way_id", "ski_area", "country", "state")
+
+
+@_query(
+    """SELECT 'ski_areas' dataset, r_name AS region, count(*) AS "rows" FROM supplier JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey WHERE r_regionkey<>1 GROUP BY r_name
+UNION ALL SELECT 'ski_areas_analyzed', r_name, count(*) FROM supplier JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey GROUP BY r_name"""
+)
+def regions_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each region's folder is exported and all are combined; one region has no areas' file, and a folder named combined is none."""
+    root = _out(spark, "regions")
+    home = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").cast("bigint").alias("area_id"), "n_regionkey")
+    areas = views.areas(spark, sf_dir).join(home, "area_id")
+    nearby = spark.createDataFrame([], f"area_type string, area_id bigint, osm_type string, osm_id bigint, ordinal bigint, tags map<string,string>, geometry {readers.RING}")
+    for r in table(spark, sf_dir, "region").collect():
+        own, at = areas.filter(F.col("n_regionkey") == r["r_regionkey"]).drop("n_regionkey"), f"{root}/{r['r_name']}"
+        if r["r_regionkey"] != 1:
+            sinks.geojson_lines(own, f"{at}/ski_areas.geojson", ["area_id", "name"])
+        sinks.analyzed_csv(rollup.area_rollup(own, nearby), f"{at}/ski_areas_analyzed.csv")
+        jobs.export(spark, at)
+    sinks.analyzed_csv(rollup.area_rollup(areas, nearby), f"{root}/combined/ski_areas_analyzed.csv")
+    jobs.export(spark, f"{root}/combined")
+    found = jobs.combine_all(spark, root, f"{root}-out")
+    each = [spark.read.parquet(f"{root}-out/{name}.parquet").groupBy("region").agg(F.count("*").alias("rows")).select(F.lit(name).alias("dataset"), "region", "rows") for name in found]
+    return each[0].unionByName(each[1])
+
+
+@_query("SELECT r_name AS region, '2024-02' AS month, count(*) AS \"rows\" FROM supplier JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey WHERE r_regionkey<>0 OR s_suppkey%2=0 GROUP BY r_name")
+def publish_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run over one region replaces that region's month and nothing else."""
+    path = _out(spark, "published")
+    rows = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = rows.select("s_suppkey", "r_regionkey", F.col("r_name").alias("region"))
+    sinks.published(rows, path, "2024-02")
+    sinks.published(rows.filter("r_regionkey = 0 AND s_suppkey % 2 = 0"), path, "2024-02")
+    return spark.read.schema("s_suppkey bigint, region string, month string").parquet(path).groupBy("region", "month").agg(F.count("*").alias("rows"))
+
+
+@_query(
+    views.with_views("area", "way", "way_vertex", "admin0", "admin1")
+    + _LINES
+    + _LINE_CENTER
+    + _KIND
+    + """, pr AS (SELECT way_id, flat, flon, lon-flon x, lat-flat y, coalesce(nlon,flon)-flon x2, coalesce(nlat,flat)-flat y2 FROM seg JOIN k USING (way_id) WHERE kind='Polygon'),
+pp AS (SELECT way_id, any_value(flat) flat, any_value(flon) flon, sum(x*y2-x2*y) s, sum((x*y2-x2*y)*(x+x2)) cx, sum((x*y2-x2*y)*(y+y2)) cy FROM pr GROUP BY way_id),
+cc AS (SELECT way_id, n, CASE WHEN abs(s)>1e-14 THEN flat+cy/(3*s) ELSE lat END lat, CASE WHEN abs(s)>1e-14 THEN flon+cx/(3*s) ELSE lon END lon FROM cl LEFT JOIN pp USING (way_id))"""
+    + _ADMIN
+    + f""", f AS (SELECT area_type, area_id, count(*) FILTER (piste_type='downhill') t, count(*) FILTER (aerialway NOT IN ('station','pylon')) l FROM cc JOIN way USING (way_id), area
+  WHERE n>=2 AND abs(lat-lat0)<0.02 AND abs(lon-lon0)<0.04 AND {_hav('lat', 'lon', 'lat0', 'lon0')}<=2000 GROUP BY ALL)
+SELECT area_type winter_sports_type, area_id winter_sports_id, name, country, state, coalesce(t, 0) downhill_trails, coalesce(l, 0) total_lifts, round_even(lat0, 6) centroid_lat FROM pa LEFT JOIN f USING (area_type, area_id) WHERE area_id%3<>0"""
+)
+def region_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region's whole run over the elements, from extraction to the exported table."""
+    path = _out(spark, "region")
+    jobs.region(spark, _elements(spark, sf_dir), views.countries(spark, sf_dir), views.states(spark, sf_dir), path)
+    return spark.read.parquet(f"{path}/ski_areas_analyzed.parquet").select("winter_sports_type", "winter_sports_id", "name", "country", "state", "downhill_trails", "total_lifts", "centroid_lat")

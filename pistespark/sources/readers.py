@@ -124,11 +124,11 @@ def nearby_parquet(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("tags", tg.json_tags(F.col("tags")))
 
 
-def boundaries(spark: SparkSession, path: str | None, names: list[str], out: str) -> DataFrame:
+def boundaries(spark: SparkSession, path: str | None, names: list[str], out: str, lines: bool = False) -> DataFrame:
     """(ordinal, ``out``, parts) of a boundary file; no rows if there is none."""
     if path is None:
         return spark.createDataFrame([], f"ordinal bigint, {out} string, parts array<array<{RING}>>")
-    f = geojson(spark, path)
+    f = geojson(spark, path, lines)
     return f.filter("parts IS NOT NULL").select("ordinal", tg.pick_name(F.col("props"), names).alias(out), "parts")
 
 
@@ -154,4 +154,5 @@ def regional(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The table ``name`` of all regions under root (root/region/name.parquet), with the region from its path; ``combined`` is no region."""
     df = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(f"{root.rstrip('/')}/*/{name}.parquet")
     region = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{name}\.parquet", 1)
+    region = F.url_decode(F.replace(region, F.lit("+"), F.lit("%2B")))  # the path is that of a URL
     return df.withColumn("region", region).filter("region <> 'combined'")
