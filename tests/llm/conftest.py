@@ -3,6 +3,9 @@ import random
 import pytest
 
 DDL = "doc_id long, text string, lang string, source string, n_chars int, part int, size string, node long, score string, keep_id string, count double"
+#: Names that operators use inside.
+CLASH = ["_id", "_hash", "_parts", "_r", "_sha", "_n", "_whole", "_h", "_k", "id", "hash", "from", "parts", "key", "points", "src", "words", "row", "toxic", "text_hash", "salt", "_row"]
+DDL += ", " + ", ".join(f"`{c}` string" for c in CLASH)
 
 
 def words(rnd, n, kinds=400):
@@ -19,7 +22,7 @@ def edge_rows():
     rows += [(300, None, "en", "s0"), (301, "", None, None), (302, " \t\n", "en", "s2"), (303, "...", "en", ""), (304, "one", "en", "tiny"), (305, "two words", None, "tiny")]
     rows += [(None, base[3], "en", None), (None, "no id here at all", None, "s3"), (7, base[7], "en", "s3"), (7, base[7], "en", "s3"), (7, "another text of seven", "de", "s3")]
     rows += [(400, words(rnd, 30_000, 5000), "en", "s2"), (401, "x" * 300_000, "en", "s2"), (402, "é☃ñ " * 500, "fr", "s2"), (403, "ab" * 200, None, "s1")]
-    return [(i, t, la, s, None if t is None else len(t), 1, "x", 2, "y", "z", 0.5) for i, t, la, s in rows]
+    return [(i, t, la, s, None if t is None else len(t), 1, "x", 2, "y", "z", 0.5, *CLASH) for i, t, la, s in rows]
 
 
 @pytest.fixture(scope="session")

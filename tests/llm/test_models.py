@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from pistespark.llm import language, language_model, repetition, toxicity, url_filter
+from pistespark.llm import common, language, language_model, repetition, toxicity, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -121,6 +121,35 @@ def test_language(spark, edge, empty):
     assert {r["lang_pred"] for r in language.languages(edge.withColumn("lang", edge["lang"].substr(9, 1)).filter("lang IS NULL")).collect()} <= {"und"}
 
 
+def test_ngrams_do_not_depend_on_slices():
+    text_ = "Ab, çd  efg--ΣΑΣ 中文x\n" * 37 + "1 2 3" + "z" * 50
+    want = np.sort(language.ngrams(text_))
+    for size in (1, 2, 3, 5, 7, 64, 1000):
+        assert (np.sort(np.concatenate(list(language.grams(text_, size=size)))) == want).all()
+    plain_ = " " + re.sub(r"[^a-z]+", " ", "ab, cd!e") + " "
+    assert len(language.ngrams("ab, cd!e")) == sum(len(plain_) - n + 1 for n in (2, 3, 4))
+
+
+def test_slices_cut_no_word():
+    for data in (b"x" * 5000, b"\r".join(b"word%d" % i for i in range(999)), b"a" * 100 + b"\v" + b"b" * 3000 + b"\f\f c", b"", b" " * 500):
+        parts = list(common.slices(data, 64))
+        assert b"".join(parts) == data and [w for p in parts for w in p.split()] == data.split()
+
+
+def test_samples_are_by_row_and_bounded(spark):
+    """4,000 rows of one id: each is as likely to be learned as any other, and no more than the sample; repeated rows count once."""
+    rnd = random.Random(3)
+    for id_ in (5, 6):
+        rows = [(id_, text(rnd, "жзик", 5), "ru") for _ in range(400)] + [(1000 + i, text(rnd, "abcde", 5), "en") for i in range(400)]
+        f = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=50)
+        assert f.languages == (["en", "ru"] if not held(id_, 4) else ["en"])
+    docs = spark.createDataFrame([(1, f"w{i} bad{i % 2}") for i in range(500)] + [(1, "same bad1")] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int")
+    a = toxicity.learn(docs, labels, sample=40)
+    b = toxicity.learn(docs.repartition(7), labels, sample=40)
+    assert a.w0 == b.w0 and (a.w == b.w).all()
+
+
 def test_filters_return_every_language_of_an_ngram():
     rng = np.random.default_rng(2)
     grams = {f"l{i:02d}": rng.integers(0, 2**63, 500, dtype=np.uint64) for i in range(11)}
