@@ -36,6 +36,8 @@ from pistespark.shared import spread_join
 K, WORDS, SEED, FAN, MOST, BLOCK = 3, 3, 42, 8, 4096, 1 << 16
 #: For copies by similarity: least similarity, words of a shingle, bins of the sketch, bits of the codes, levels of the split.
 SIMILAR, WORDS2, BINS, WIDE_K, LEVELS = 0.8, 5, 1024, 6, 3
+#: Estimates at which the shingle sets themselves are compared, and from which on a link is sure: over three standard errors about SIMILAR.
+MAYBE, SURE = 0.74, 0.87
 _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -72,14 +74,11 @@ def _majority(h: np.ndarray) -> int:
     return int(np.packbits((votes * 2 > len(h)).reshape(64), bitorder="little").view("<u8")[0])
 
 
-def codes(text: str | None, known: dict[bytes, int]) -> tuple[int, int, bytes]:
-    """Two SimHash codes of the set of words, and a sketch of the set of five-word shingles. known: hashes of words met before.
-
-    The sketch has two bits for each of BINS equal ranges of hash values: whether a shingle falls there, and one
-    bit of the least that does. How often two sketches agree estimates the sets' similarity (see ``similarity``)."""
+def shingles(text: str | None, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, in order, and of the set of five-word shingles, ascending. known: hashes of words met before."""
     parts = (text or "").encode("utf-8", "replace").lower().split()
     if not parts:
-        return 0, 0, bytes(BINS // 4)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     if len(known) > 500_000:
         known.clear()
     of = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh64_intdigest(w, SEED)) for w in parts), np.uint64, len(parts))
@@ -87,7 +86,17 @@ def codes(text: str | None, known: dict[bytes, int]) -> tuple[int, int, bytes]:
     h = np.zeros(n, np.uint64)
     for i in range(min(WORDS2, len(of))):
         h = h * _STEP + of[i : i + n]
-    h = np.unique(_mixed(h))
+    return of, np.unique(_mixed(h))
+
+
+def codes(text: str | None, known: dict[bytes, int]) -> tuple[int, int, bytes]:
+    """Two SimHash codes of the set of words, and a sketch of the set of five-word shingles. known: hashes of words met before.
+
+    The sketch has two bits for each of BINS equal ranges of hash values: whether a shingle falls there, and one
+    bit of the least that does. How often two sketches agree estimates the sets' similarity (see ``similarity``)."""
+    of, h = shingles(text, known)
+    if not len(of):
+        return 0, 0, bytes(BINS // 4)
     bins = (h >> np.uint64(54)).astype(np.int64)
     first = np.concatenate([[True], bins[1:] != bins[:-1]])
     bits = np.zeros((2, BINS), bool)
@@ -143,10 +152,28 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room: int = 1 << 20, sketch: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links inside each group, as pairs of places in ``fp`` (uint64).
-
-    With sketches, a link also needs a similarity of SIMILAR."""
+def spanning(n: int, a: np.ndarray, b: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """The edges, by place, of a spanning forest of the greatest weights: each round every tree takes its best edge."""
+    tree, live, kept = np.arange(n), np.lexsort((b, a, -s)), [np.zeros(0, np.int64)]
+    while True:
+        x, y = tree[a[live]], tree[b[live]]
+        out = x != y
+        live, x, y = live[out], x[out], y[out]
+        if not len(live):
+            return np.concatenate(kept)
+        best = np.full(n, len(live))
+        np.minimum.at(best, x, np.arange(len(live)))
+        np.minimum.at(best, y, np.arange(len(live)))
+        pick = np.unique(best[best < len(live)])
+        kept.append(live[pick])
+        tree = forest(n, x[pick], y[pick])[tree]
+
+
+def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room: int = 1 << 20, sketch: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A spanning forest of the links inside each group, as pairs of places in ``fp`` (uint64), with a similarity.
+
+    With sketches, a link also needs an estimate of SURE (the similarity given is 1 then). Pairs with one from MAYBE to SURE
+    come along as they are, where they would join what sure links do not: a spanning forest of the greatest estimates."""
     order = np.lexsort((gray_rank(fp), group))
     group, fp = group[order], fp[order]
     sketch = None if sketch is None else sketch[order]
@@ -166,20 +193,26 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
         kind = kind[at]
     found: list[np.ndarray] = []
     count, root = 0, np.arange(len(fp))
+    maybe = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
 
-    def add(a: np.ndarray, b: np.ndarray) -> None:
-        nonlocal found, count, root
-        if len(a):
+    def add(a: np.ndarray, b: np.ndarray, s: np.ndarray | None = None) -> None:
+        nonlocal count
+        if len(a) and s is None:
             found.append(np.stack([a, b]))
-            count += len(a)
+        elif len(a):
+            maybe.append((a, b, s))
+        count += len(a)
         if count > 4 * room:
             merge()
 
     def merge() -> None:
-        nonlocal found, count, root
+        nonlocal found, count, root, maybe
         ids = np.arange(len(fp))
         e = np.concatenate([*found, np.stack([ids, root])], axis=1)
         root, found, count = forest(len(fp), e[0], e[1]), [], 0
+        x, y, s = (np.concatenate(c) for c in zip(*maybe, strict=True))
+        best = spanning(len(fp), root[x], root[y], s)
+        maybe = [(x[best], y[best], s[best])]
 
     top = np.arange(len(kind))
     work = [(len(levels) - 1, top, top)]
@@ -197,8 +230,10 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
                 continue
             for at in range(0, len(a), 1 << 14):
                 x, y = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
-                alike = similarity(sketch[x], sketch[y]) >= SIMILAR
-                add(x[alike], y[alike])
+                s = similarity(sketch[x], sketch[y])
+                add(x[s >= SURE], y[s >= SURE])
+                some = (s >= MAYBE) & (s < SURE)
+                add(x[some], y[some], s[some])
             continue
         close = np.bitwise_count((every[a] & every[b]) ^ (some[a] | some[b])) <= (k if sketch is None else -1)
         # all below is linked: members of one node to its first leaf, two nodes by their first leaves
@@ -221,8 +256,9 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
             once = (x <= y) | np.repeat(p != q, m)
             work.append((level - 1, x[once], y[once]))
     merge()
-    tied = root != np.arange(len(fp))
-    return order[tied], order[root[tied]]
+    tied = np.flatnonzero(root != np.arange(len(fp)))
+    a, b, s = maybe[0]
+    return order[np.append(tied, a)], order[np.append(root[tied], b)], np.append(np.ones(len(tied)), s)
 
 
 def cut(mask: int, parts: int = K + 1) -> list[int]:
@@ -254,15 +290,15 @@ def _gray(x: Column) -> Column:
 
 
 def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
-    """Forest edges (a, b) of the groups of 2 to ``most`` rows; larger ones are left to the next level.
+    """Forest edges (a, b, similarity) of the groups of 2 to ``most`` rows; larger ones are left to the next level.
 
     whole: there is none, and larger groups are searched, too: without sketches at once (few bits are left then, so there
     are few fingerprints), with sketches in overlapping windows of 2 * ``most`` rows in Gray order."""
     wide = "sketch" in rows.columns
 
     def linked_rows(part: list[np.ndarray], group: np.ndarray) -> pa.RecordBatch:
-        a, b = linked(group, part[3].view(np.uint64), k, sketch=part[4] if wide else None)
-        return pa.RecordBatch.from_arrays([pa.array(part[2][x]) for x in (a, b)], names=["a", "b"])
+        a, b, s = linked(group, part[3].view(np.uint64), k, sketch=part[4] if wide else None)
+        return pa.RecordBatch.from_arrays([pa.array(part[2][a]), pa.array(part[2][b]), pa.array(s)], names=["a", "b", "similarity"])
 
     def out(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         start = np.flatnonzero(np.concatenate([[True], (part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])]))
@@ -299,13 +335,13 @@ def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
             yield from out(held)
 
     dealt = rows.repartition("mask", "bits").sortWithinPartitions("mask", "bits", *([_gray(F.col("fp"))] if wide and whole else []))
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, similarity double")
 
 
 def links(nodes: DataFrame, k: int = K, most: int = MOST, levels: int = 64) -> DataFrame:
-    """Edges (a, b) between nodes that connect what chains of links connect. nodes: (node, fp), a row per node, and sketch, if links need it.
+    """Edges (a, b, similarity) between nodes that connect what chains of links connect. nodes: (node, fp), a row per node, and sketch, if links need it.
 
-    Without sketches that is exact. With them, a group that is still larger than ``most`` after ``levels`` levels
+    Without sketches that is exact. With them, edges below SURE are candidates yet (see ``linked``), and a group that is still larger than ``most`` after ``levels`` levels
     (a dense cluster of copies) is searched in windows, which may miss a link between far ends of a cluster."""
     masks, edges, level = [0], None, 0
     rows = nodes.select(F.lit(0).cast("long").alias("mask"), *[c for c in ("node", "fp", "sketch") if c in nodes.columns])
@@ -335,13 +371,43 @@ def near_groups(docs: DataFrame, words: int = WORDS, k: int = K, most: int = MOS
     return spread_join(fps, label, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp")
 
 
+def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets of five-word shingles have a similarity of SIMILAR or more, by the sets themselves.
+
+    Only texts that are in a pair are taken apart; nodes stand for the document in ``first``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        for batch in batches:
+            held: list[np.ndarray] = []
+            for i, text in enumerate(batch.column(1)):
+                held.append(shingles(text.as_py(), known)[1].view(np.int64))
+                if len(held) == 64 or i == batch.num_rows - 1 or sum(map(len, held)) > 1 << 20:
+                    end = np.cumsum([0, *map(len, held)]).astype(np.int32)
+                    sets = pa.ListArray.from_arrays(pa.array(end), pa.array(np.concatenate(held)))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i + 1 - len(held), len(held)), sets], names=["node", "set"])
+                    held = []
+
+    used = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    used = used.select("node", F.col("first.id").alias("id"), F.col("first.text_hash").alias("text_hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+    here = (texts["id"].eqNullSafe(used["id"])) & (texts["text_hash"] == used["text_hash"])
+    sets = texts.join(used, here).select("node", "text").mapInArrow(run, "node long, set array<long>")
+    sets = written(sets.groupBy("node").agg(F.any_value("set").alias("set")), "sets")  # repeated rows have one set
+    for c in ("a", "b"):
+        pairs = spread_join(pairs, sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")), [c])
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return written(pairs.filter(both / (F.size("set_a") + F.size("set_b") - both) >= SIMILAR).select("a", "b"), "same")
+
+
 def keepers(docs: DataFrame, k: int = WIDE_K, most: int = MOST) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: the smallest doc_id of each group of near copies.
 
     Copies are texts whose sets of five-word shingles have a similarity of SIMILAR or more, and what chains of such
     links connect. The Gray-order index finds candidates: one of two codes of the words' set within ``k`` bits, which
     scattered edits at that similarity change by some 4 bits of 64; it compares the sketches where a pair comes that
-    far. Texts without words are copies of each other; a null doc_id comes after all others; of rows that repeat id
+    far. Where their estimate is too near to SIMILAR to decide and no sure link joins the two, the shingle sets
+    themselves do (``confirmed``). Texts without words are copies of each other; a null doc_id comes after all others; of rows that repeat id
     and text one stays; the columns' names may be any.
     """
 
@@ -358,7 +424,14 @@ def keepers(docs: DataFrame, k: int = WIDE_K, most: int = MOST) -> DataFrame:
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash"))
     nodes = written(rows.groupBy("one", "two", "sketch").agg(first.alias("first")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     found = [links(nodes.select("node", F.col(c).alias("fp"), "sketch"), k, most, LEVELS) for c in ("one", "two")]
-    member = connected_components(found[0].unionByName(found[1]))
+    found = written(found[0].unionByName(found[1]), "found")
+    sure = connected_components(found.filter(F.col("similarity") >= SURE))
+    open_ = found.filter(F.col("similarity") < SURE).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for c in ("a", "b"):
+        root = sure.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+        open_ = spread_join(open_, root, [c], "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    same = confirmed(docs, nodes, written(open_.filter("root_a <> root_b").select("a", "b"), "open"))
+    member = connected_components(sure.toDF("a", "b").unionByName(same))
     stay = nodes.select("node", "first").join(member, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     id_, hash_ = fresh(docs.columns, "id", "hash")
     stay = written(stay.select(F.col("first.id").alias(id_), F.col("first.text_hash").alias(hash_)), "stay")
