@@ -29,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+#: Whether shuffle files go when the query that made them ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Tables that ``written`` has made, by application.
 _TABLES: dict[str, list[str]] = {}
 
@@ -36,11 +38,17 @@ _TABLES: dict[str, list[str]] = {}
 def written(df: DataFrame, name: str = "part") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    The lineage ends at that table, so a lost executor costs a reread and never the work before it.
+    The lineage ends at that table, so a lost executor costs a reread and never the work before it. The shuffle files
+    that the write needed are deleted with its end; a later run of ``df`` itself makes them anew.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
