@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pistespark.llm import collocations, exact_dedup, language, language_model, mixing, packing, repetition, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from pistespark.llm import collocations, exact_dedup, language, language_model, mixing, packing, prefix_trie, repetition, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from pistespark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,9 +56,13 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.ranked(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_model, op5_simhash, op6_repetition, op7_exact_dedup, op8_suffix_dedup, op9_language, op10_toxicity, op11_substring_dedup, op13_collocations)}
-SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL, "op6_repetition": repetition.SQL, "op7_exact_dedup": exact_dedup.SQL, "op11_substring_dedup": substring_dedup.SQL, "op13_collocations": collocations.SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_mixing, op3_url_filter, op4_language_model, op5_simhash, op6_repetition, op7_exact_dedup, op8_suffix_dedup, op9_language, op10_toxicity, op11_substring_dedup, op12_prefix_trie, op13_collocations)}
+SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL, "op6_repetition": repetition.SQL, "op7_exact_dedup": exact_dedup.SQL, "op11_substring_dedup": substring_dedup.SQL, "op12_prefix_trie": prefix_trie.SQL, "op13_collocations": collocations.SQL}
