@@ -38,21 +38,29 @@ _TABLES: dict[str, list[str]] = {}
 def written(df: DataFrame, name: str = "part") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    The lineage ends at that table, so a lost executor costs a reread and never the work before it. The shuffle files
-    that the write needed are deleted with its end; a later run of ``df`` itself makes them anew.
+    The lineage ends at that table, so a lost executor costs a reread and never the work before it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    df.write.parquet(path)
     _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str = "part") -> DataFrame:
+    """As ``written``; the shuffle files that the write needed are deleted with its end, whatever the collector does.
+
+    For a ``df`` that is run once: running it again makes its shuffles anew.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
 def dropped(df: DataFrame) -> None:
     """Delete the files of a table made by ``written`` that nothing reads any more."""
     for f in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
