@@ -37,8 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pistespark.llm import words
-from pistespark.llm.common import written
-from pistespark.shared import spread_join
+from pistespark.shared import settled, spread_join
 
 LEAST, LONGEST, BEST, COVERED, SCALE = 30, 4, 2000, 80, 2_000_000
 LISTED, BUDGET, PASSES = 1 << 20, 1 << 20, 2
@@ -122,7 +121,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 def vocabulary(docs: DataFrame, bits: int = 63) -> tuple[DataFrame, int]:
     """(h, lang, word, n) of all words, and the seed under which each has a hash of its own. Fewer bits serve the tests."""
     for seed in range(100):
-        found = written(_counted(docs, seed, bits), "words")
+        found = settled(_counted(docs, seed, bits), "words")
         if found.filter("clash").isEmpty():
             return found.drop("clash"), seed
     raise ValueError("no seed keeps all words apart")
@@ -325,21 +324,21 @@ def nodes(docs: DataFrame, least: int = LEAST, budget: int = BUDGET, listed: int
     order = np.argsort(top)
     hashes, numbers = top[order], order.astype(np.int64) + 1
     given = spark.createDataFrame(pa.table({"h": hashes, "number": numbers}))
-    names = written(often.join(given, "h", "left").select(F.coalesce("number", -1 - F.col("h")).alias("code"), "lang", "word", "n"), "names")
-    codes = written(_numbered(docs, hashes, numbers, all_listed, seed), "codes")
+    names = settled(often.join(given, "h", "left").select(F.coalesce("number", -1 - F.col("h")).alias("code"), "lang", "word", "n"), "names")
+    codes = settled(_numbered(docs, hashes, numbers, all_listed, seed), "codes")
     groups = Groups()
     first = names.select("code", "n").mapInArrow(_first_keys, "key long, n long")
     groups.add(first, budget)
     while len(groups.hot[-1]):
-        groups.add(written(_prefixes(codes, groups), "prefixes"), budget)
+        groups.add(settled(_prefixes(codes, groups), "prefixes"), budget)
     lengths = groups.lengths()
-    parts = [written(_dealt(codes, groups, p, passes).groupBy("bucket").applyInArrow(_subtree(lengths, least), "phrase array<long>, n long"), "nodes") for p in range(passes)]
+    parts = [settled(_dealt(codes, groups, p, passes).groupBy("bucket").applyInArrow(_subtree(lengths, least), "phrase array<long>, n long"), "nodes") for p in range(passes)]
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
     # only what stands above a group's prefixes comes more than once
     found = found.groupBy("phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return vocab, names, written(found.unionByName(names.select(F.array("code").alias("phrase"), "n")), "phrases")
+    return vocab, names, settled(found.unionByName(names.select(F.array("code").alias("phrase"), "n")), "phrases")
 
 
 def _first_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +373,7 @@ def ranked(docs: DataFrame, best: int = BEST, **options: int) -> DataFrame:
     found = spread_join(found.withColumn("_c", F.element_at("phrase", 1)), lang, ["_c"]).drop("_c")
     # ranks by numbers first, ties kept: Spark drops what no task needs before it shuffles; words are looked up for what is left
     by = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    some = written(found.withColumn("at", F.rank().over(by)).filter(F.col("at") <= best), "best")
+    some = settled(found.withColumn("at", F.rank().over(by)).filter(F.col("at") <= best), "best")
     each = some.select("phrase", F.posexplode("phrase").alias("i", "code"))
     told = spread_join(each, names.select("code", "word"), ["code"]).groupBy("phrase").agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("w"))
     told = told.select("phrase", F.array_join("w.word", " ").alias("text"))

@@ -34,8 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pistespark.llm.common import written
-from pistespark.shared import dropped, spread_join
+from pistespark.shared import dropped, settled, spread_join
 
 SHARED, HEADS = 100, 6
 #: Bytes of joined ids in a piece.
@@ -49,7 +48,7 @@ def _root() -> Column:
 def _placed(df: DataFrame, by: list[Column]) -> DataFrame:
     """df in order: ``pid`` and ``at`` number the rows, by partition and within it. A table, so that the numbers stay."""
     rows = df.repartitionByRange(*by).sortWithinPartitions(*by)
-    rows = written(rows.withColumn("_at", F.monotonically_increasing_id()), "placed")
+    rows = settled(rows.withColumn("_at", F.monotonically_increasing_id()), "placed")
     return rows.withColumns({"pid": F.shiftright("_at", 33).cast("int"), "at": F.col("_at").bitwiseAND((1 << 33) - 1)}).drop("_at")
 
 
@@ -74,13 +73,13 @@ def _own(conversations: DataFrame) -> DataFrame:
 def rebuilt(conversations: DataFrame, shared: int = SHARED, heads: int = HEADS) -> tuple[DataFrame, DataFrame]:
     """(turns: conv, pid, place, role, text; lengths: conv, n) of all conversations, each beginning with the first turns of another:
     ``crc32(conv) % heads`` turns of the conversation whose id is the next lower multiple of ``shared``."""
-    own = written(_own(conversations), "own")
+    own = settled(_own(conversations), "own")
     h = (F.crc32(F.col("conv").cast("string").cast("binary")) % heads).cast("long")
     sizes = own.groupBy("conv").agg(F.count("*").alias("own"))
     head = own.filter(F.col("place") < heads).groupBy("conv").agg(F.count("*").alias("have")).withColumnRenamed("conv", "base")
     convs = sizes.withColumns({"base": F.col("conv") - F.col("conv") % shared, "h": h}).join(head, "base", "left")
     convs = convs.withColumn("taken", F.least("h", F.coalesce("have", F.lit(0)))).drop("have")
-    convs = written(convs.withColumn("n", F.col("taken") + F.greatest(F.col("own") - F.col("h"), F.lit(0))), "convs")
+    convs = settled(convs.withColumn("n", F.col("taken") + F.greatest(F.col("own") - F.col("h"), F.lit(0))), "convs")
     # a base's turns are at most ``heads``, and at most ``shared`` conversations take them
     lent = own.filter(F.col("place") < heads).select(F.col("conv").alias("base"), "place", "role", "text").join(convs.select("conv", "base", "taken"), "base").filter("place < taken")
     rest = spread_join(own, convs.select("conv", "h", "taken"), ["conv"]).filter("place >= h").withColumn("place", F.col("place") - F.col("h") + F.col("taken"))
@@ -91,7 +90,7 @@ def rebuilt(conversations: DataFrame, shared: int = SHARED, heads: int = HEADS)
 def _members(turns: DataFrame) -> DataFrame:
     """conv, node, parent, chars, mark: one row for each conversation and beginning of one turn or more."""
     mark = lambda k: F.xxhash64(F.lit(k), "place", "role", "text")
-    rows = written(turns.select("conv", "pid", "place", F.char_length("text").cast("long").alias("chars"), mark(1).alias("a"), mark(2).alias("b"), F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256).alias("turn")), "marks")
+    rows = settled(turns.select("conv", "pid", "place", F.char_length("text").cast("long").alias("chars"), mark(1).alias("a"), mark(2).alias("b"), F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256).alias("turn")), "marks")
     up_to = Window.partitionBy("conv", "pid").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({"up_a": F.bit_xor("a").over(up_to), "up_b": F.bit_xor("b").over(up_to)})
     rows = spread_join(rows, _before(rows, "ab", "xor"), ["conv", "pid"])
@@ -118,7 +117,7 @@ def _rank(node: Column) -> Column:
 def _rake(live: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes without a child, the others with what these had)."""
     kids = live.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("kids"))
-    each = written(live.join(kids, "node", "left"), "raked")
+    each = settled(live.join(kids, "node", "left"), "raked")
     bare = each.filter("kids IS NULL AND parent IS NOT NULL").drop("kids")
     given = bare.groupBy(F.col("parent").alias("node")).agg(F.sum("leaves").alias("_leaves"), F.sum("saved").alias("_saved"))
     rest = each.filter("kids IS NOT NULL OR parent IS NULL").drop("kids").join(given, "node", "left")
@@ -129,12 +128,12 @@ def _rake(live: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _compress(live: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes of chains that leave, with their one child; the others, tied together anew)."""
     kids = live.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("kids"), F.min("node").alias("kid")).filter("kids = 1").drop("kids")
-    chain = written(live.filter("parent IS NOT NULL").join(kids, "node"), "chain")
+    chain = settled(live.filter("parent IS NOT NULL").join(kids, "node"), "chain")
     among = chain.select(F.col("node").alias("other"))
     own = _rank(F.col("node"))
     lower = lambda side: F.col(f"{side}_in").isNull() | (own < _rank(F.col(side)))
     asked = chain.join(among.select(F.col("other").alias("parent"), F.lit(True).alias("parent_in")), "parent", "left").join(among.select(F.col("other").alias("kid"), F.lit(True).alias("kid_in")), "kid", "left")
-    gone = written(asked.filter(lower("parent") & lower("kid")).select("node", "parent", "kid", "leaves", "saved"), "gone")
+    gone = settled(asked.filter(lower("parent") & lower("kid")).select("node", "parent", "kid", "leaves", "saved"), "gone")
     given = gone.groupBy(F.col("parent").alias("node")).agg(F.sum("leaves").alias("_leaves"), F.sum("saved").alias("_saved"))
     above = gone.select(F.col("kid").alias("node"), F.col("parent").alias("_parent"))
     rest = live.join(gone.select("node"), "node", "left_anti").join(given, "node", "left").join(above, "node", "left")
@@ -145,18 +144,18 @@ def _compress(live: DataFrame) -> tuple[DataFrame, DataFrame]:
 def totals(tree: DataFrame) -> DataFrame:
     """Subtree sums of ``leaves`` and ``saved`` over a tree of (node, parent, leaves, saved), whose root has no parent. node is a
     struct whose field ``d`` grows from parent to child."""
-    live = written(tree.select("node", "parent", "leaves", "saved"), "live")
+    live = settled(tree.select("node", "parent", "leaves", "saved"), "live")
     done, passed = [], []
     while not live.filter("parent IS NOT NULL").isEmpty():
         bare, rest = _rake(live)
         done.append(bare)
-        after = written(rest, "live")
+        after = settled(rest, "live")
         dropped(live)
         gone, rest = _compress(after)
         if gone.isEmpty():
             live = after
             continue
-        live = written(rest, "live")
+        live = settled(rest, "live")
         passed.append(gone)
         dropped(after)
     known = live.select("node", "leaves", "saved")
@@ -168,10 +167,10 @@ def totals(tree: DataFrame) -> DataFrame:
     asked = passed[0].select("kid")
     for p in passed[1:]:
         asked = asked.unionByName(p.select("kid"))
-    at_hand = written(known.join(asked.select(F.col("kid").alias("node")), "node", "left_semi"), "hand")
+    at_hand = settled(known.join(asked.select(F.col("kid").alias("node")), "node", "left_semi"), "hand")
     for p in reversed(passed):
         kid = at_hand.select(F.col("node").alias("kid"), F.col("leaves").alias("_leaves"), F.col("saved").alias("_saved"))
-        found = written(p.join(kid, "kid").select("node", (F.col("leaves") + F.col("_leaves")).alias("leaves"), (F.col("saved") + F.col("_saved")).alias("saved")), "expanded")
+        found = settled(p.join(kid, "kid").select("node", (F.col("leaves") + F.col("_leaves")).alias("leaves"), (F.col("saved") + F.col("_saved")).alias("saved")), "expanded")
         known, at_hand = known.unionByName(found), at_hand.unionByName(found)
     return known
 
@@ -225,7 +224,7 @@ def _ends(members: DataFrame, lengths: DataFrame) -> DataFrame:
     last = last.unionByName(lengths.filter("n = 0").select(_root().alias("node"), "conv").select("node.*", "conv"))
     order = ["d", "a", "b", "conv"]
     rows = last.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    pieces = written(rows.mapInArrow(_pieces, "d int, a long, b long, first long, ids string"), "pieces")
+    pieces = settled(rows.mapInArrow(_pieces, "d int, a long, b long, first long, ids string"), "pieces")
     by = ["d", "a", "b", "first"]
     made = pieces.repartition("d", "a", "b").sortWithinPartitions(*by).mapInArrow(_digests, "d int, a long, b long, ends_sha256 string")
     return made.select(F.struct("d", "a", "b").alias("node"), "ends_sha256")
@@ -234,10 +233,10 @@ def _ends(members: DataFrame, lengths: DataFrame) -> DataFrame:
 def trie(conversations: DataFrame, shared: int = SHARED, heads: int = HEADS) -> DataFrame:
     """A row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     turns, lengths = rebuilt(conversations, shared, heads)
-    members = written(_members(turns), "members")
-    nodes = written(_nodes(members, lengths), "nodes")
+    members = settled(_members(turns), "members")
+    nodes = settled(_nodes(members, lengths), "nodes")
     kids = nodes.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n_children"))
-    nodes = written(nodes.join(kids, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long"))), "nodes")
+    nodes = settled(nodes.join(kids, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long"))), "nodes")
     leaf = F.when(F.col("n_children") == 0, 1).otherwise(0).cast("long")
     sums = totals(nodes.select("node", "parent", leaf.alias("leaves"), F.col("own").alias("saved")))
     above = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))

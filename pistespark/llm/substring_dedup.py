@@ -9,7 +9,7 @@ A passage repeats if LENGTH words in a row also stand in a document with a small
    them. A task sends a hash once for each part of the documents that has it, and once in all to the hash's range, so a
    passage that a third of the documents share costs a row per task there.
 3. *Extension.* A part gets its documents and the anchors in them that count. Each window around such an anchor is a
-   candidate; it goes out with two hashes of all its words (128 bits), once per part, for the part's smallest document;
+   candidate; it goes out with two hashes of all its words (128 bits), for the part's smallest document that has it;
    what repeats inside the part is known at once. Candidates meet by ranges of the first hash, where the smallest
    document of each window is found and all others' are repeats.
 4. Repeats, as runs of windows, go back to their documents, which are cut.
@@ -34,7 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pistespark.llm import words
-from pistespark.llm.common import WORD, written
+from pistespark.llm.common import WORD
+from pistespark.shared import settled
 
 LENGTH, PERIOD, COVER = 13, 7, (0, 1, 3)
 GRAM = LENGTH - PERIOD + 1
@@ -134,17 +135,17 @@ def _runs(doc: np.ndarray, tie: np.ndarray, start: np.ndarray) -> dict[str, np.n
     return {"doc": doc[new], "tie": tie[new], "start": start[new], "n": np.diff(np.append(np.flatnonzero(new), len(doc)))}
 
 
-def _later(w: np.ndarray, v: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, first of each window, repeats): by (w, v), then document; repeats have a smaller document before them."""
+def _later(w: np.ndarray, v: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, repeats): by (w, v), then document; repeats have a smaller document before them."""
     order = np.lexsort((doc, v, w))
     w, v, doc = w[order], v[order], doc[order]
     new = np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]) if len(w) else np.zeros(0, bool)
     first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(w) else np.zeros(0, np.int64)
-    return order, new, doc > doc[first]
+    return order, doc > doc[first]
 
 
 def _extended(ranges: int):
-    """The step at a part: candidate windows, one row each for the part's smallest document, and repeats within the part (n > 0)."""
+    """The step at a part: candidate windows in the part's smallest document that has them, and repeats within the part (n > 0)."""
 
     def run(docs: pa.Table, wanted: pa.Table) -> pa.Table:
         known = np.unique(wanted.column("h").to_numpy()).view(np.uint64)
@@ -170,8 +171,8 @@ def _extended(ranges: int):
         columns = [list(x) for x in zip(*made, strict=True)]
         made.clear()
         w, v, doc, tie, start = (np.concatenate(columns.pop(0)) for _ in range(5))
-        order, new, later = _later(w, v, doc)
-        first, gone = order[new], order[later]
+        order, later = _later(w, v, doc)
+        first, gone = order[~later], order[later]
         out = {"bucket": _range(w[first], ranges), "w": w[first].view(np.int64), "v": v[first].view(np.int64), "doc": doc[first], "tie": tie[first], "start": start[first], "n": np.zeros(len(first), np.int64)}
         spans = _runs(doc[gone], tie[gone], start[gone])
         none = np.zeros(len(spans["doc"]), np.int64)
@@ -186,7 +187,7 @@ def _met(rows: pa.Table) -> pa.Table:
     cols = {c: rows.column(c).to_numpy() for c in ("w", "v", *_SPANS)}
     ready = cols["n"] > 0
     w, v, doc, tie, start = (cols[c][~ready] for c in ("w", "v", "doc", "tie", "start"))
-    order, _, later = _later(w, v, doc)
+    order, later = _later(w, v, doc)
     gone = order[later]
     out = _runs(doc[gone], tie[gone], start[gone])
     return pa.Table.from_batches([*_batches(out, _SPANS), *_batches({c: cols[c][ready] for c in _SPANS}, _SPANS)], schema=pa.schema(list(_SPANS.items())))
@@ -227,9 +228,9 @@ def repeated(docs: DataFrame, part: int = PART, rows_a_range: int = RANGE) -> tu
     tie = F.xxhash64("text") if twice else F.lit(0).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc.alias("doc"), tie.alias("tie"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.lit(1).cast("long").alias("copies"))
     if twice:  # rows that repeat id and text become one, so that no part gets them all
-        rows = written(rows.groupBy("doc_id", "doc", "tie", F.octet_length("text").alias("_b")).agg(F.first("text").alias("text"), F.count("*").alias("copies")).drop("_b"), "rows")
+        rows = settled(rows.groupBy("doc_id", "doc", "tie", F.octet_length("text").alias("_b")).agg(F.first("text").alias("text"), F.count("*").alias("copies")).drop("_b"), "rows")
     rows = rows.select("*", _part(parts))
-    wanted = written(_anchors(rows, ranges).groupBy("bucket").applyInArrow(_counting, "h long, part int"), "anchors")
+    wanted = settled(_anchors(rows, ranges).groupBy("bucket").applyInArrow(_counting, "h long, part int"), "anchors")
     windows = rows.groupBy("part").cogroup(wanted.groupBy("part")).applyInArrow(_extended(ranges), _SCHEMA)
     found = windows.groupBy("bucket").applyInArrow(_met, "doc long, tie long, start long, n long")
     return rows, found.select("doc", "tie", "start", "n", _part(parts))
