@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pistespark.functions import geo
 from pistespark.functions import tags as tg
-from pistespark.operators import cluster, combine, enrich, features, rollup, spatial_join, ways
+from pistespark.operators import assembly, closure, cluster, combine, enrich, features, rollup, spatial_join, ways
 from pistespark.plans import jobs, views
 from pistespark.shared import shared_dir, table
 from pistespark.sources import readers, sinks
@@ -660,3 +660,91 @@ def region_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _out(spark, "region")
     jobs.region(spark, _elements(spark, sf_dir), views.countries(spark, sf_dir), views.states(spark, sf_dir), path)
     return spark.read.parquet(f"{path}/ski_areas_analyzed.parquet").select("winter_sports_type", "winter_sports_id", "name", "country", "state", "downhill_trails", "total_lifts", "centroid_lat")
+
+
+#: A ring of n vertices with a node in the middle of each side, around (x, y), for relation o: 0 outer, 1 inner, 2 a second outer one.
+_RADII = {0: 0.01, 1: 0.004, 2: 0.006}
+
+
+def _rings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(members, ways) of a relation for each order: rings of as many sides as it has lines and four, every side a way of three nodes
+    that may run backwards; every 11th lacks one, every third has a hole, every fifth a second polygon, which is one closed way."""
+    o = F.col("relation_id")
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("relation_id")).agg((F.count("*") + 4).alias("n"))
+    rows = rows.withColumn("r", F.explode(F.expr("filter(array(0, 1, 2), r -> r = 0 OR r = 1 AND relation_id % 3 = 0 OR r = 2 AND relation_id % 5 = 0)")))
+    radius = F.expr("CASE r WHEN 0 THEN 0.01D WHEN 1 THEN 0.004D ELSE 0.006D END")
+    x, y = (o % 1000) / F.lit(100.0) + F.when(F.col("r") == 2, 0.05).otherwise(0.0), (o * 7 % 1000) / F.lit(100.0) + 40
+    base = (o * 4 + F.col("r")) * 64
+    at = lambda k: F.struct((base + 2 * k).alias("node"), (y + radius * F.sin(2 * F.pi() * k / F.col("n"))).alias("lat"), (x + radius * F.cos(2 * F.pi() * k / F.col("n"))).alias("lon"))
+    middle = lambda k, a, b: F.struct((base + 2 * k + 1).alias("node"), ((a["lat"] + b["lat"]) / 2).alias("lat"), ((a["lon"] + b["lon"]) / 2).alias("lon"))
+    sides = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), lambda k: F.array(at(k), middle(k, at(k), at((k + 1) % F.col("n"))), at((k + 1) % F.col("n"))))
+    each = rows.select(o, "r", base.alias("base"), F.posexplode(F.when(F.col("r") == 2, F.array(F.concat(F.flatten(F.transform(sides, lambda s: F.slice(s, 1, 2))), F.slice(F.element_at(sides, 1), 1, 1)))).otherwise(sides)).alias("k", "line"))
+    each = each.filter("NOT (r = 0 AND k = 1 AND relation_id % 11 = 0)").withColumn("line", F.when((o + F.col("k")) % 3 == 0, F.reverse("line")).otherwise(F.col("line")))
+    made = each.select(o, "r", (F.col("base") + (F.col("k") * 37) % 64).alias("way_id"), F.transform("line", lambda v: v["node"]).alias("nodes"), F.transform("line", lambda v: geo.vertex(v["lat"], v["lon"])).alias("geometry"))
+    return made.select("relation_id", F.when(F.col("r") == 1, "inner").when(o % 2 == 0, "outer").otherwise("").alias("role"), "way_id"), made.select("way_id", "nodes", "geometry")
+
+
+@_query(
+    """WITH o AS (SELECT l_orderkey relation_id, count(*)+4 n FROM lineitem GROUP BY 1),
+p AS (SELECT *, (relation_id%11<>0)::int a, (relation_id%11<>0 AND relation_id%3=0)::int b, (relation_id%5=0)::int c, n*sin(2*pi()/n)/2 unit FROM o)
+SELECT relation_id, CAST(a+c AS BIGINT) polygons, CAST(b AS BIGINT) holes, CAST((a+b+c)*(2*n+1) AS BIGINT) vertices, round(unit*(a*100-b*16+c*36), 3) area FROM p WHERE a+c>0"""
+)
+def multipolygon_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = assembly.multipolygons(*_rings(spark, sf_dir))
+    size = lambda r: F.abs(geo._moments(r)["c"]) / 2
+    total = lambda x, f: F.aggregate(x, F.lit(0.0), lambda a, v: a + f(v))
+    area = total(F.col("parts"), lambda p: 2 * size(F.get(p, F.lit(0))) - total(p, size))
+    n = F.aggregate(F.flatten("parts"), F.lit(0).cast("bigint"), lambda a, r: a + F.size(r))
+    return made.select("relation_id", F.size("parts").cast("bigint").alias("polygons"), (F.size(F.flatten("parts")) - F.size("parts")).cast("bigint").alias("holes"), n.alias("vertices"), F.round(area * 1e6, 3).alias("area"))
+
+
+def _network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions name their nations, nations their suppliers and, in a circle, their region; suppliers name the ways (orders) with a line
+    of theirs, and ways the nodes (parts) of their lines."""
+    none = lambda kind: F.lit(None).cast(kind)
+    one = lambda kind, ref: F.struct(F.lit(kind).alias("type"), ref.cast("bigint").alias("ref"))
+    lines, suppliers, nations = (table(spark, sf_dir, t) for t in ("lineitem", "supplier", "nation"))
+    relation = lambda df, key, m: df.groupBy(key.cast("bigint").alias("osm_id")).agg(F.collect_list(m).alias("members"))
+    up = nations.select((F.col("n_nationkey") + 2_000_000).alias("k"), one("relation", F.col("n_regionkey") + 1_000_000).alias("m"))
+    down = suppliers.select((F.col("s_nationkey") + 2_000_000).alias("k"), one("relation", F.col("s_suppkey") + 3_000_000).alias("m"))
+    top = nations.select((F.col("n_regionkey") + 1_000_000).alias("k"), one("relation", F.col("n_nationkey") + 2_000_000).alias("m"))
+    low = lines.select((F.col("l_suppkey") + 3_000_000).alias("k"), one("way", F.col("l_orderkey")).alias("m")).distinct()
+    relations = relation(up.unionByName(down).unionByName(top).unionByName(low), F.col("k"), "m").select(F.lit("relation").alias("osm_type"), "osm_id", none("double").alias("lat"), none("double").alias("lon"), none("array<bigint>").alias("nodes"), "members")
+    way = lines.groupBy(F.col("l_orderkey").cast("bigint").alias("osm_id")).agg(F.collect_list(F.col("l_partkey").cast("bigint")).alias("nodes"))
+    way = way.select(F.lit("way").alias("osm_type"), "osm_id", none("double").alias("lat"), none("double").alias("lon"), "nodes", none("array<struct<type:string,ref:bigint>>").alias("members"))
+    node = views.view(spark, sf_dir, "node").select(F.lit("node").alias("osm_type"), F.col("node_id").cast("bigint").alias("osm_id"), "lat", "lon", none("array<bigint>").alias("nodes"), none("array<struct<type:string,ref:bigint>>").alias("members"))
+    return relations.unionByName(way).unionByName(node)
+
+
+_REFS = """ refs AS (SELECT 'relation' bt, n_nationkey+2000000 b, 'relation' t, n_regionkey+1000000 i FROM nation UNION ALL SELECT 'relation', s_nationkey+2000000, 'relation', s_suppkey+3000000 FROM supplier
+  UNION ALL SELECT 'relation', n_regionkey+1000000, 'relation', n_nationkey+2000000 FROM nation UNION ALL SELECT DISTINCT 'relation', l_suppkey+3000000, 'way', l_orderkey FROM lineitem
+  UNION ALL SELECT DISTINCT 'way', l_orderkey, 'node', l_partkey FROM lineitem)"""
+
+
+@_query(
+    views.with_views("node")
+    + ","
+    + _REFS
+    + """, kept AS (SELECT 'relation' t, r_regionkey+1000000 i FROM region WHERE r_regionkey%2=0 UNION ALL SELECT 'way', o_orderkey FROM orders WHERE o_orderkey%40=0),
+found AS (SELECT t, i FROM kept UNION SELECT refs.t, refs.i FROM found JOIN refs ON refs.bt=found.t AND refs.b=found.i),
+there AS (SELECT DISTINCT bt t, b i FROM refs UNION SELECT 'node', node_id FROM node)
+SELECT t osm_type, CAST(i AS BIGINT) osm_id, NOT EXISTS (SELECT 1 FROM kept WHERE kept.t=found.t AND kept.i=found.i) referenced FROM found JOIN there USING (t, i)"""
+)
+def referenced_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a tag keeps (some regions, and ways of their own), with all that it names: three levels of relations, in circles."""
+    every = _network(spark, sf_dir)
+    kept = every.filter("(osm_type = 'relation' AND osm_id BETWEEN 1000000 AND 1999999 AND osm_id % 2 = 0) OR (osm_type = 'way' AND osm_id % 40 = 0)")
+    return closure.with_referenced(kept, every).select("osm_type", "osm_id", "referenced")
+
+
+@_query(
+    views.with_views("node")
+    + ","
+    + _REFS
+    + """, here AS (SELECT 'node' t, node_id i FROM node WHERE lon BETWEEN 1 AND 2.5 AND lat BETWEEN 41 AND 43),
+w AS (SELECT DISTINCT bt t, b i FROM refs JOIN here USING (t, i) WHERE bt='way'),
+a AS (SELECT t, i FROM here UNION SELECT t, i FROM w UNION SELECT refs.t, refs.i FROM refs JOIN w ON bt=w.t AND b=w.i JOIN node ON node_id=refs.i)
+SELECT t osm_type, CAST(i AS BIGINT) osm_id FROM a UNION SELECT DISTINCT bt, CAST(b AS BIGINT) FROM refs JOIN a USING (t, i) WHERE bt='relation'"""
+)
+def complete_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return closure.complete_ways(_network(spark, sf_dir), 1, 41, 2.5, 43).select("osm_type", "osm_id")
