@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pistespark.llm.common import held_out, row_hash, thinned, written
+from pistespark.shared import settled
 
 SAMPLE, NGRAMS, SIZES, SHARE, CELLS, PROBES, FOLD, SLICE, LANGUAGES = 1500, 30_000, (2, 3, 4), 0.25, 1 << 19, 3, 4, 1 << 18, 512
 UND = "und"
@@ -125,12 +126,14 @@ class Filters:
 
 def learn(docs: DataFrame, sample: int = SAMPLE, top: int = NGRAMS) -> Filters:
     rows = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), FOLD))
-    # thinned to about 1.5 times the sample per language first, so that ranking it is a small task whatever the corpus
+    # repeated rows are one before anything is counted or chosen: only their hashes move
     rows = rows.withColumn("h", row_hash())
-    sizes = rows.groupBy("lang").agg(F.least(F.lit(1.0), (1.5 * sample + 50) / F.count("*")).alias("share"))
+    each = settled(rows.select("lang", "h").distinct(), "hashes")
+    # thinned to about 1.5 times the sample per language, so that ranking it is a small task whatever the corpus
+    sizes = each.groupBy("lang").agg(F.least(F.lit(1.0), (1.5 * sample + 50) / F.count("*")).alias("share"))
     if sizes.count() > LANGUAGES:
         raise ValueError(f"over {LANGUAGES} languages to learn")
-    some = thinned(rows.select("lang", "h").join(F.broadcast(sizes), "lang"), F.col("share"), F.col("h")).select("lang", "h").distinct()
+    some = thinned(each.join(F.broadcast(sizes), "lang"), F.col("share"), F.col("h")).select("lang", "h")
     picked = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= sample).select("lang", "h")
     picked = written(picked, "sample")  # at most ``sample`` hashes per language
     chosen = rows.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))  # repeated rows once

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pistespark.llm.common import held_out, row_hash, slices, thinned, written
+from pistespark.shared import settled
 
 SAMPLE, TERMS, FACTORS, HASH_BITS, THRESHOLD, FOLD = 20_000, 4096, 8, 20, 0.3, 4
 STEPS, BATCH, RATE, DECAY, LEAST_ROWS, LEAST_GAIN = 2500, 256, 0.02, 2e-3, 3, 20.0
@@ -123,11 +124,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     # thinned first, so that taking the first ``sample`` is a small task whatever the number of labels
     known = thinned(known, F.lit(min(1.0, (1.5 * sample + 50) / max(1, known.count()))), F.xxhash64("doc_id"))
     known = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "labelled")  # at most ``sample`` rows of 12 bytes
-    # an id may come in many rows: these are thinned as well, by a hash of their own, so that the sample's bound holds
-    many = docs.select("doc_id").join(F.broadcast(known), "doc_id").count()
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(row_hash().alias("at"), "toxic", "text")
-    rows = thinned(rows, F.lit(min(1.0, (1.5 * sample + 50) / max(1, many))), F.col("at"))
-    rows = _terms(rows).groupBy("at").agg(F.first("toxic").alias("toxic"), F.first("terms").alias("terms")).orderBy("at").limit(sample)
+    # an id may come in many rows, equal ones being one: their hashes are chosen before any text is read for its terms
+    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(row_hash().alias("at"), "toxic", "text")
+    each = settled(found.select("at").distinct(), "hashes")
+    picked = thinned(each, F.lit(min(1.0, (1.5 * sample + 50) / max(1, each.count()))), F.col("at")).orderBy("at").limit(sample)
+    picked = settled(picked, "picked")  # at most ``sample`` hashes
+    rows = found.join(F.broadcast(picked), "at", "left_semi").dropDuplicates(["at"])
+    rows = _terms(rows)
     rows = written(rows.repartition(16), "terms")
     n, pos = rows.agg(F.count("*"), F.sum("toxic")).first()
     if not n:
