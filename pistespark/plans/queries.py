@@ -748,3 +748,12 @@ SELECT t osm_type, CAST(i AS BIGINT) osm_id FROM a UNION SELECT DISTINCT bt, CAS
 )
 def complete_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closure.complete_ways(_network(spark, sf_dir), 1, 41, 2.5, 43).select("osm_type", "osm_id")
+
+
+@_query(views.with_views("area") + "SELECT row_number() OVER (ORDER BY area_id)-1 AS ordinal, area_id, name, 'Polygon' AS kind, round(lat0-h, 6) AS first_lat FROM area")
+def document_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document, read in splits; ordinals are places in it."""
+    path = _out(spark, "document")
+    sinks.geojson_document(views.areas(spark, sf_dir), path, ["area_id", "name"])
+    back = readers.geojson(spark, path)
+    return back.select("ordinal", F.col("props")["area_id"].cast("bigint").alias("area_id"), F.col("props")["name"].alias("name"), "kind", F.round(F.element_at("geometry", 1)["lat"], 6).alias("first_lat"))

@@ -1,7 +1,7 @@
 """Reading map files. Every reader has a fixed schema, so a scan is one pass and files need not agree.
 
-GeoJSON and element JSON are read with ``multiLine`` where a file is one document; a folder of line-delimited
-features reads in parallel splits (``lines=True``), which is what large inputs should be.
+GeoJSON and element JSON are read in splits also where a file is one document (``documents``); a folder with a feature a line
+(``lines=True``) takes no shuffle, which is what large inputs should be.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pistespark.functions import geo
 from pistespark.functions import tags as tg
 from pistespark.schema import ANALYZED_DDL, BOUNDS, MEMBERS, RING
 from pistespark.shared import listed
+from pistespark.sources import documents
 
 FEATURE = "struct<type:string,id:string,ordinal:bigint,geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
 _POSITION, _LINE, _RINGS, _PARTS = "array<double>", "array<array<double>>", "array<array<array<double>>>", "array<array<array<array<double>>>>"
@@ -57,11 +58,7 @@ def geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
         found = spark.read.schema(schema).json(path).select(F.struct("type", "id", "geometry", "properties").alias("f"), "ordinal")
         found = found.withColumn("ordinal", F.coalesce("ordinal", F.monotonically_increasing_id()))
     else:
-        raw = spark.read.option("wholetext", True).text(path)
-        plain = F.from_json("value", f"struct<features:array<{FEATURE}>>")["features"]
-        keyed = F.from_json("value", f"map<string,struct<features:array<{FEATURE}>>>")
-        by_layer = F.flatten(F.transform(F.map_values(F.map_filter(keyed, lambda k, v: v["features"].isNotNull())), lambda v: v["features"]))
-        found = raw.select(F.posexplode(F.coalesce(plain, by_layer)).alias("ordinal", "f")).withColumn("ordinal", F.col("ordinal").cast("bigint"))
+        found = documents.objects(spark, path, "features").select("ordinal", F.from_json("value", FEATURE).alias("f"))
     out = shaped(found.filter("f.type = 'Feature' AND f.geometry IS NOT NULL"))
     return out.filter(F.coalesce(F.size("geometry"), F.lit(0)) > 0).select("ordinal", "kind", F.coalesce("f.properties", F.create_map().cast("map<string,string>")).alias("props"), F.col("f.id").alias("feature_id"), "geometry", "parts", "lines")
 
@@ -92,8 +89,7 @@ def osm_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
         e = spark.read.schema(T.StructType([*kind.fields, T.StructField("ordinal", T.LongType())])).json(path)
         e = e.withColumn("ordinal", F.coalesce("ordinal", F.monotonically_increasing_id()))
     else:
-        raw = spark.read.schema(f"elements array<{ELEMENT_JSON}>").option("multiLine", True).json(path)
-        e = raw.select(F.posexplode("elements").alias("ordinal", "e")).select(F.col("ordinal").cast("bigint").alias("ordinal"), "e.*")
+        e = documents.objects(spark, path, "elements").select("ordinal", F.from_json("value", ELEMENT_JSON).alias("e")).filter("e.type IS NOT NULL").select("ordinal", "e.*")
     return e.withColumnsRenamed({"type": "osm_type", "id": "osm_id"}).withColumn("winter_sports_id", tg.numeric_key(F.col("winter_sports_id"))).withColumn("tags", F.coalesce("tags", F.create_map().cast("map<string,string>")))
 
 

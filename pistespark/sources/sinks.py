@@ -13,7 +13,7 @@ from pistespark.schema import ANALYZED_COLUMNS
 from pistespark.sources import readers
 
 
-def feature_text(df: DataFrame, props: list[str] | Column) -> DataFrame:
+def feature_text(df: DataFrame, props: list[str] | Column, *keep: str) -> DataFrame:
     """One GeoJSON feature per row as ``value``. df: geometry (vertices), parts (or null), the property columns (or a map), and ordinal,
     if the features have an order to keep."""
     pair = lambda v: F.concat(F.lit("["), v["lon"].cast("string"), F.lit(","), v["lat"].cast("string"), F.lit("]"))
@@ -28,7 +28,7 @@ def feature_text(df: DataFrame, props: list[str] | Column) -> DataFrame:
         .otherwise(row(F.col("geometry")))
     )
     shape = F.coalesce(F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coords, F.lit("}")), F.lit("null"))
-    return df.select(F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.to_json(F.struct(*props) if isinstance(props, list) else props), *([F.lit(',"ordinal":'), F.col("ordinal").cast("string")] if "ordinal" in df.columns else []), F.lit("}")).alias("value"))
+    return df.select(F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.to_json(F.struct(*props) if isinstance(props, list) else props), *([F.lit(',"ordinal":'), F.col("ordinal").cast("string")] if "ordinal" in df.columns else []), F.lit("}")).alias("value"), *keep)
 
 
 def geojson_lines(df: DataFrame, path: str, props: list[str] | Column) -> None:
@@ -36,6 +36,18 @@ def geojson_lines(df: DataFrame, path: str, props: list[str] | Column) -> None:
     feature_text(df, props).write.mode("overwrite").text(path)
 
 
+def geojson_document(df: DataFrame, path: str, props: list[str] | Column) -> None:
+    """One feature collection as one file in a folder, in the order of ``ordinal``. One file has one writer, which streams the
+    features and holds none; large outputs are ``geojson_lines``."""
+    at = F.col("ordinal") if "ordinal" in df.columns else F.lit(0)
+    rows = feature_text(df.withColumn("_at", at), props, "_at").select(F.lit(1).alias("k"), "_at", "value")
+    ends = df.sparkSession.createDataFrame([(0, 0, '{"type":"FeatureCollection","features":['), (2, 0, "]}")], "k int, _at long, value string")
+    rows = ends.unionByName(rows).repartition(1).sortWithinPartitions("k", "_at")
+    # after sorting, every feature but the first has a comma before it
+    nth = F.monotonically_increasing_id()
+    rows.withColumn("n", nth).select(F.when((F.col("k") == 1) & (F.col("n") > 1), F.concat(F.lit(","), "value")).otherwise(F.col("value")).alias("value")).write.mode("overwrite").text(path)
+
+
 def element_lines(df: DataFrame, path: str) -> None:
     """A folder of element JSON, one element per line."""
     df.withColumnsRenamed({"osm_type": "type", "osm_id": "id"}).write.mode("overwrite").json(path)
