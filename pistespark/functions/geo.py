@@ -209,6 +209,44 @@ def wkb(g: Column) -> Column:
     return F.unhex(text)
 
 
+def wkb_of_parts(parts: Column) -> Column:
+    """Well-known binary (big-endian) of polygons with their holes: a Polygon if there is one, else a MultiPolygon; null if none."""
+    count = lambda x: F.lpad(F.hex(F.size(x)), 8, "0")
+    polygon = lambda p: F.concat(F.lit("0000000003"), count(p), F.array_join(F.transform(p, _hex_list), ""))
+    many = F.concat(F.lit("0000000006"), count(parts), F.array_join(F.transform(parts, polygon), ""))
+    return F.unhex(F.when(F.size(parts) == 1, polygon(F.get(parts, F.lit(0)))).when(F.size(parts) > 1, many))
+
+
+def meets_box(g: Column, x0: float, y0: float, x1: float, y1: float) -> Column:
+    """Whether a vertex list, as a point, a line or a ring, has a point in a box (edges count)."""
+    within = lambda v: v["lon"].between(x0, x1) & v["lat"].between(y0, y1)
+    side = lambda a, b, x, y: F.signum((b["lon"] - a["lon"]) * (y - a["lat"]) - (b["lat"] - a["lat"]) * (x - a["lon"]))
+
+    def crosses(a: Column, b: Column) -> Column:
+        near = (F.greatest(a["lon"], b["lon"]) >= x0) & (F.least(a["lon"], b["lon"]) <= x1) & (F.greatest(a["lat"], b["lat"]) >= y0) & (F.least(a["lat"], b["lat"]) <= y1)
+        corners = [side(a, b, x, y) for x in (x0, x1) for y in (y0, y1)]
+        return near & ~((F.least(*corners) > 0) | (F.greatest(*corners) < 0))
+
+    around = (geometry_kind(g) == "Polygon") & inside(F.lit(float(x0)), F.lit(float(y0)), F.array(g))
+    return F.coalesce(F.exists(g, within) | F.exists(_steps(g, crosses), lambda c: c) | around, F.lit(False))
+
+
+def hilbert(lat: Column, lon: Column, bits: int = 16) -> Column:
+    """A point's place on a Hilbert curve over all latitudes and longitudes, 2 ** bits cells to a side: near places are near points."""
+    n = 1 << bits
+    cell = lambda v, low, span: F.least(F.lit(n - 1), F.floor((v - low) / span * n)).cast("int")
+    state = lambda x, y, d: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), d.cast("long").alias("d"))
+
+    def step(s: Column, k: Column) -> Column:
+        half = F.call_function("shiftleft", F.lit(1), k)
+        right, up = s["x"].bitwiseAND(half) > 0, s["y"].bitwiseAND(half) > 0
+        quarter = F.when(right & up, 2).when(right, 3).when(up, 1).otherwise(0)
+        x, y = (F.when(right & ~up, n - 1 - s[c]).otherwise(s[c]) for c in "xy")
+        return state(F.when(up, x).otherwise(y), F.when(up, y).otherwise(x), s["d"] * 4 + quarter)
+
+    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), state(cell(lon, -180, 360), cell(lat, -90, 180), F.lit(0)), step, lambda s: s["d"])
+
+
 def _double_at(digits: Column, at: Column, little: Column) -> Column:
     """The double whose eight bytes are the 16 hex digits from a place on (from 0)."""
     own = F.substr(digits, at + 1, F.lit(16))

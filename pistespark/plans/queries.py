@@ -757,3 +757,21 @@ def document_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.geojson_document(views.areas(spark, sf_dir), path, ["area_id", "name"])
     back = readers.geojson(spark, path)
     return back.select("ordinal", F.col("props")["area_id"].cast("bigint").alias("area_id"), F.col("props")["name"].alias("name"), "kind", F.round(F.element_at("geometry", 1)["lat"], 6).alias("first_lat"))
+
+
+@_query(
+    views.with_views("way_vertex")
+    + _LINES
+    + _KIND
+    + """, hit AS (SELECT way_id, lat BETWEEN 41 AND 46 AND lon BETWEEN 1 AND 3 OR coalesce(greatest(lon,nlon)>=1 AND least(lon,nlon)<=3 AND greatest(lat,nlat)>=41 AND least(lat,nlat)<=46
+  AND NOT (least(s00,s01,s10,s11)>0 OR greatest(s00,s01,s10,s11)<0), false) meets FROM (SELECT *, sign((nlon-lon)*(41-lat)-(nlat-lat)*(1-lon)) s00, sign((nlon-lon)*(46-lat)-(nlat-lat)*(1-lon)) s01,
+  sign((nlon-lon)*(41-lat)-(nlat-lat)*(3-lon)) s10, sign((nlon-lon)*(46-lat)-(nlat-lat)*(3-lon)) s11 FROM seg)),
+closed AS (SELECT way_id, count(*) FILTER ((lat>41)<>(nlat>41) AND 1<(nlon-lon)*(41-lat)/(nlat-lat)+lon)%2=1 around FROM seg JOIN k USING (way_id) WHERE kind='Polygon' GROUP BY way_id)
+SELECT way_id, kind, round(min(lon), 8) xmin, round(max(lat), 8) ymax FROM seg JOIN k USING (way_id) WHERE way_id IN (SELECT way_id FROM hit WHERE meets UNION SELECT way_id FROM closed WHERE around) GROUP BY way_id, kind"""
+)
+def geoparquet_viewport(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as GeoParquet along a Hilbert curve, and those that meet a box."""
+    path = _out(spark, "geoparquet")
+    sinks.geoparquet(views.way_lines(spark, sf_dir), path)
+    back = readers.geoparquet(spark, path, (1, 41, 3, 46))
+    return back.select("way_id", geo.geometry_kind(F.col("geometry")).alias("kind"), F.round("bbox.xmin", 8).alias("xmin"), F.round("bbox.ymax", 8).alias("ymax"))

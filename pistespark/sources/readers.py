@@ -120,6 +120,21 @@ def nearby_parquet(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("tags", tg.json_tags(F.col("tags")))
 
 
+def geoparquet(spark: SparkSession, path: str, box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Rows of GeoParquet with their geometry as vertices (of polygons the first outer ring's) and ``wkb``. Files of other writers, which
+    have no ``vertices``, are decoded; with a box they must have a ``bbox`` column.
+
+    box (x0, y0, x1, y1): only rows that meet it. Their bounds are asked first, so row groups that cannot matter are not read; then
+    the vertices decide, and of multipolygons the bounds alone."""
+    rows = spark.read.parquet(path)
+    if box is not None:
+        x0, y0, x1, y1 = (float(v) for v in box)
+        rows = rows.filter((F.col("bbox.xmax") >= x0) & (F.col("bbox.xmin") <= x1) & (F.col("bbox.ymax") >= y0) & (F.col("bbox.ymin") <= y1))
+    rows = rows.withColumnRenamed("geometry", "wkb")
+    rows = rows.withColumnRenamed("vertices", "geometry") if "vertices" in rows.columns else rows.withColumn("geometry", geo.vertices_of_wkb(F.col("wkb")))
+    return rows if box is None else rows.filter(F.col("geometry").isNull() | geo.meets_box(F.col("geometry"), x0, y0, x1, y1))
+
+
 def boundaries(spark: SparkSession, path: str | None, names: list[str], out: str, lines: bool = False) -> DataFrame:
     """(ordinal, ``out``, parts) of a boundary file; no rows if there is none."""
     if path is None:
