@@ -35,6 +35,8 @@ def layered(elements: DataFrame) -> DataFrame:
     """Add the layer that an element is read from: polygons, lines, or points."""
     closed = geo.geometry_kind(F.col("geometry")) == "Polygon"
     layer = F.when(F.col("osm_type") == "relation", "multipolygons").when(F.col("osm_type") == "node", "points").otherwise(F.when(closed, "multipolygons").otherwise("lines"))
+    if "parts" in elements.columns:  # a relation whose ways make no polygon is of no layer
+        layer = F.when((F.col("osm_type") == "relation") & F.coalesce(F.size("parts") <= 0, F.lit(True)), F.lit(None)).otherwise(layer)
     if "lines" in elements.columns:  # a line of several parts has a layer of its own
         layer = F.when(F.size("lines") > 0, "multilinestrings").otherwise(layer)
     return elements.withColumn("layer", layer)

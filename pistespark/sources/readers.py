@@ -6,6 +6,8 @@ GeoJSON and element JSON are read in splits also where a file is one document (`
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,9 +163,30 @@ def regions(spark: SparkSession, root: str) -> dict[str, list[str]]:
     return found
 
 
+def _agreed(name: str, kinds: dict[str, set[str]]) -> dict[str, str]:
+    """The one type of each column whose types differ between regions: the table's own, else double for numbers, else string."""
+    own = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(ANALYZED_DDL)} if name == "ski_areas_analyzed" else {}
+    numbers = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    whole = numbers - {"float", "double"}
+    return {c: own.get(c) or ("bigint" if k <= whole else "double" if k <= numbers else "string") for c, k in kinds.items() if len(k) > 1}
+
+
 def regional(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The table ``name`` of all regions under root (root/region/name.parquet), with the region from its path; ``combined`` is no region."""
-    df = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(f"{root.rstrip('/')}/*/{name}.parquet")
+    """The table ``name`` of all regions under root (root/region/name.parquet), with the region from its path; ``combined`` is no region.
+
+    Columns that a region lacks are null there. Where regions differ in a column's type, each is read by itself and cast."""
+    at = lambda r: f"{root.rstrip('/')}/{r}/{name}.parquet"
     region = F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{name}\.parquet", 1)
     region = F.url_decode(F.replace(region, F.lit("+"), F.lit("%2B")))  # the path is that of a URL
+    names = regions(spark, root).get(name, [])
+    kinds: dict[str, set[str]] = {}
+    for r in names:  # footers only
+        for c, k in spark.read.parquet(at(r)).dtypes:
+            kinds.setdefault(c, set()).add(k)
+    to = _agreed(name, kinds)
+    if to:
+        each = [spark.read.parquet(at(r)) for r in names]
+        each = [df.withColumns({c: F.expr(f"try_cast(`{c}` AS {k})") for c, k in to.items() if c in df.columns}).withColumn("region", F.lit(r)) for r, df in zip(names, each, strict=True)]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each)
+    df = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet").parquet(at("*"))
     return df.withColumn("region", region).filter("region <> 'combined'")
