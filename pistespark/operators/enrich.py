@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pistespark.operators.spatial_join import first_match
+from pistespark.operators import cells
+from pistespark.operators.cells import Cells
+from pistespark.operators.spatial_join import CELL, first_match
 
 
-def with_admin(points: DataFrame, countries: DataFrame, states: DataFrame, cell: float = 0.5, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """points with country and state of the boundaries that they are in. countries: ordinal, country, parts; states alike."""
-    out = first_match(points.drop("country", "state"), countries, ["country"], cell=cell, lat=lat, lon=lon)
-    return first_match(out, states, ["state"], cell=cell, lat=lat, lon=lon)
+def admin_cells(countries: DataFrame, states: DataFrame, cell: float = CELL) -> Cells:
+    """One index of both kinds of boundaries, which are cut once. countries: ordinal, country, parts; states alike."""
+    return cells.cut({"country": countries, "state": states}, cell)
+
+
+def with_admin(points: DataFrame, countries: DataFrame | Cells, states: DataFrame | None = None, cell: float = CELL, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """points with country and state of the boundaries that they are in, in one join. countries: ordinal, country, parts; states
+    alike; or, in place of both, the index that ``admin_cells`` made of them."""
+    index = countries if isinstance(countries, Cells) else admin_cells(countries, states, cell)
+    return index.first_of(points.drop("country", "state"), lat, lon)
 
 
 def with_area(points: DataFrame, areas: DataFrame, cell: float = 0.05) -> DataFrame:
@@ -25,7 +33,7 @@ def names_of(areas: DataFrame) -> DataFrame:
     return areas.filter("name IS NOT NULL").groupBy("name").agg(F.max_by(F.struct("country", "state"), "ordinal").alias("_n"))
 
 
-def by_name(features: DataFrame, areas: DataFrame, countries: DataFrame, states: DataFrame, cell: float = 0.5) -> DataFrame:
+def by_name(features: DataFrame, areas: DataFrame, countries: DataFrame | Cells, states: DataFrame | None = None, cell: float = CELL) -> DataFrame:
     """features (area_name, lat, lon, any more) with country and state by their area's name; where one of the two is missing
     and there is a point, both come from the boundaries, nulls too. Features are read once and never grouped."""
     met = features.drop("country", "state").join(names_of(areas).withColumnRenamed("name", "area_name"), "area_name", "left")

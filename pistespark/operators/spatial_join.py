@@ -16,6 +16,8 @@ from pistespark.functions import geo
 
 #: Metres in a degree on the sphere that distances are taken on, and a margin for rounding.
 _SPHERE_DEGREE, _MARGIN = geo.RADIUS_M * math.pi / 180, 1.01
+#: Degrees of a cell for boundaries.
+CELL = 0.5
 
 
 def _row(lat: Column, size: float) -> Column:
@@ -122,16 +124,24 @@ def containment_join(points: DataFrame, polygons: DataFrame, cell: float = 0.5,
     return placed.join(clipped(polygons, cell, parts), ["_cy", "_cx"]).filter(_inside(F.col("lat"), F.col("lon"), c)).drop("_cy", "_cx", "_edges", "_in", "_rx", "_ry")
 
 
-def first_match(points: DataFrame, polygons: DataFrame, take: list[str], ordinal: str = "ordinal", cell: float = 0.5, lat: str = "lat", lon: str = "lon") -> DataFrame:
+def cell_rows(polygons: DataFrame, take: list[str], ordinal: str = "ordinal", size: float = CELL) -> DataFrame:
+    """(_cy, _cx, _polygons): a row for each cell, with its polygons' ordinals, ``take`` values and what decides there."""
+    own = polygons.select(F.col(ordinal).alias("_o"), *[F.col(c).alias(f"_t_{c}") for c in take], "parts")
+    return clipped(own, size).groupBy("_cy", "_cx").agg(F.collect_list(F.struct("_o", *[f"_t_{c}" for c in take], "_edges", "_in", "_rx", "_ry")).alias("_polygons"))
+
+
+def in_cells(points: DataFrame, cells: DataFrame, take: list[str], size: float = CELL, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """All points, each with the first non-null value of every ``take`` column over the polygons of ``cell_rows`` that hold it."""
+    met = points.withColumn("_cy", _row(F.col(lat), size)).withColumn("_cx", _column(F.col(lon), size)).join(cells, ["_cy", "_cx"], "left")
+    met = met.withColumn("_polygons", F.transform(F.filter("_polygons", lambda c: _inside(F.col(lat), F.col(lon), c)), lambda c: F.struct(c["_o"].alias("_o"), *[c[f"_t_{t}"].alias(t) for t in take])))
+    first = lambda t: F.array_min(F.transform(F.filter("_polygons", lambda c: c[t].isNotNull()), lambda c: F.struct(c["_o"].alias("o"), c[t].alias("v"))))["v"]
+    return met.withColumns({t: first(t) for t in take}).drop("_cy", "_cx", "_polygons")
+
+
+def first_match(points: DataFrame, polygons: DataFrame, take: list[str], ordinal: str = "ordinal", cell: float = CELL, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """All points, each with the first non-null value of every ``take`` column over the polygons that it is inside of, by ordinal.
 
     The first is taken per column, so values may come from two polygons. The polygons of a cell are one row, as many as
     overlap there, so every point meets one row: it is read once, stays one row, and moves only if the cells are too
     many to broadcast. A point without a place gets nulls."""
-    own = polygons.select(F.col(ordinal).alias("_o"), *[F.col(c).alias(f"_t_{c}") for c in take], "parts")
-    dealt = clipped(own, cell)
-    cells = dealt.groupBy("_cy", "_cx").agg(F.collect_list(F.struct("_o", *[f"_t_{c}" for c in take], "_edges", "_in", "_rx", "_ry")).alias("_polygons"))
-    met = points.withColumn("_cy", _row(F.col(lat), cell)).withColumn("_cx", _column(F.col(lon), cell)).join(cells, ["_cy", "_cx"], "left")
-    met = met.withColumn("_polygons", F.transform(F.filter("_polygons", lambda c: _inside(F.col(lat), F.col(lon), c)), lambda c: F.struct(c["_o"].alias("_o"), *[c[f"_t_{t}"].alias(t) for t in take])))
-    first = lambda t: F.array_min(F.transform(F.filter("_polygons", lambda c: c[t].isNotNull()), lambda c: F.struct(c["_o"].alias("o"), c[t].alias("v"))))["v"]
-    return met.withColumns({t: first(t) for t in take}).drop("_cy", "_cx", "_polygons")
+    return in_cells(points, cell_rows(polygons, take, ordinal, cell), take, cell, lat, lon)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pistespark.functions import geo
 from pistespark.functions import tags as tg
-from pistespark.operators import assembly, closure, cluster, combine, enrich, features, rollup, spatial_join, ways
+from pistespark.operators import assembly, cells, closure, cluster, combine, enrich, features, rollup, spatial_join, ways
 from pistespark.plans import jobs, views
 from pistespark.shared import shared_dir, table
 from pistespark.sources import readers, sinks
@@ -248,6 +248,14 @@ def admin_pip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("area_type", "area_id", "country", "state")
 
 
+@_query(views.with_views("area", "way_vertex", "admin0", "admin1") + _LINES + _ADMIN.replace("area_type, area_id, name, lat0, lon0, h,", "way_id,").replace("FROM area)", "FROM (SELECT way_id, lat lat0, lon lon0 FROM wl))") + "SELECT way_id, country, state FROM pa")
+def admin_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ways against an index of boundaries that is stored as a table bucketed by cell."""
+    path = _out(spark, "cells")
+    index = cells.kept(enrich.admin_cells(views.countries(spark, sf_dir), views.states(spark, sf_dir)), f"cells_{path.rsplit('-', 1)[1]}", 8, path)
+    return enrich.with_admin(views.way_points(spark, sf_dir), index).select("way_id", "country", "state")
+
+
 @_query(
     views.with_views("area", "way_vertex")
     + """, c AS (SELECT way_id, avg(lat)+0.0000123 lat, avg(lon)+0.0000123 lon FROM way_vertex GROUP BY way_id)
