@@ -12,7 +12,7 @@ from pistespark.functions import tags as tg
 from pistespark.operators import assembly, cells, closure, cluster, combine, enrich, features, rollup, spatial_join, ways
 from pistespark.plans import jobs, views
 from pistespark.shared import shared_dir, table
-from pistespark.sources import readers, sinks
+from pistespark.sources import publish, readers, rejects, sinks
 
 RADIUS_M, LINK_M = 2000.0, 120_000.0
 Query = Callable[[SparkSession, str], DataFrame]
@@ -783,3 +783,33 @@ def geoparquet_viewport(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.geoparquet(views.way_lines(spark, sf_dir), path)
     back = readers.geoparquet(spark, path, (1, 41, 3, 46))
     return back.select("way_id", geo.geometry_kind(F.col("geometry")).alias("kind"), F.round("bbox.xmin", 8).alias("xmin"), F.round("bbox.ymax", 8).alias("ymax"))
+
+
+@_query("""SELECT o_orderkey, CASE o_orderkey%6 WHEN 0 THEN 'broken' WHEN 1 THEN 'kind' WHEN 2 THEN 'no geometry' WHEN 3 THEN 'empty geometry' ELSE 'good' END reason,
+CASE WHEN o_orderkey%6>3 THEN round_even(o_totalprice, 2) END price FROM orders""")
+def feature_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features a third of which are fit for use: the others come back with the reason why not."""
+    path = _out(spark, "mixed")
+    text = """CASE o_orderkey % 6 WHEN 0 THEN concat('{"type":"Feature","id":"', o_orderkey, '","geometry":{') WHEN 1 THEN concat('{"type":"Thing","id":"', o_orderkey, '","geometry":{"type":"Point","coordinates":[1,2]}}')
+        WHEN 2 THEN concat('{"type":"Feature","id":"', o_orderkey, '","geometry":null}') WHEN 3 THEN concat('{"type":"Feature","id":"', o_orderkey, '","geometry":{"type":"LineString","coordinates":[]}}')
+        ELSE concat('{"type":"Feature","id":"', o_orderkey, '","properties":{"price":"', o_totalprice, '"},"geometry":{"type":"Point","coordinates":[1,2]}}') END"""
+    table(spark, sf_dir, "orders").select(F.expr(text).alias("value")).write.text(f"{path}/in")
+    good, bad = rejects.routed(rejects.features(spark, f"{path}/in", lines=True), f"{path}/out")
+    good = good.select(F.col("feature_id").cast("bigint").alias("o_orderkey"), F.lit("good").alias("reason"), F.bround(F.col("props")["price"].cast("double"), 2).alias("price"))
+    return good.unionByName(bad.select(F.regexp_extract("value", r'"id":"(\d+)"', 1).cast("bigint").alias("o_orderkey"), "reason"), allowMissingColumns=True)
+
+
+@_query(
+    """WITH s AS (SELECT s_suppkey, s_name, r_regionkey, r_name region FROM supplier JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey)
+SELECT s_suppkey, s_name, region, '2024-02' AS month FROM s WHERE r_regionkey<>0 OR s_suppkey%2=0 UNION ALL SELECT s_suppkey, NULL, region, '2024-03' FROM s WHERE r_regionkey=1"""
+)
+def publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months, of which the first has a region replaced; what the manifests name is what is read."""
+    path = _out(spark, "manifest")
+    rows = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = rows.select("s_suppkey", "s_name", "r_regionkey", F.col("r_name").alias("region"))
+    publish.publish(rows, path, "2024-02")
+    publish.publish(rows.filter("r_regionkey = 0 AND s_suppkey % 2 = 0"), path, "2024-02")
+    publish.publish(rows.filter("r_regionkey = 1").drop("s_name"), path, "2024-03")
+    publish.swept(spark, path)
+    return publish.published(spark, path).select("s_suppkey", "s_name", "region", "month")

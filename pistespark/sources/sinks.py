@@ -12,6 +12,7 @@ from pistespark.functions import tags as tg
 from pistespark.schema import ANALYZED_COLUMNS, RING
 from pistespark.sources import readers
 from pistespark.sources.geoparquet import GeoParquet
+from pistespark.sources.publish import counted, rows_of
 
 
 def feature_text(df: DataFrame, props: list[str] | Column, *keep: str) -> DataFrame:
@@ -32,9 +33,11 @@ def feature_text(df: DataFrame, props: list[str] | Column, *keep: str) -> DataFr
     return df.select(F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.to_json(F.struct(*props) if isinstance(props, list) else props), *([F.lit(',"ordinal":'), F.col("ordinal").cast("string")] if "ordinal" in df.columns else []), F.lit("}")).alias("value"), *keep)
 
 
-def geojson_lines(df: DataFrame, path: str, props: list[str] | Column) -> None:
-    """A folder of line-delimited features: splittable, and written in parallel."""
-    feature_text(df, props).write.mode("overwrite").text(path)
+def geojson_lines(df: DataFrame, path: str, props: list[str] | Column) -> int:
+    """A folder of line-delimited features: splittable, and written in parallel. The rows written."""
+    rows, seen = counted(feature_text(df, props))
+    rows.write.mode("overwrite").text(path)
+    return rows_of(seen)
 
 
 def geojson_document(df: DataFrame, path: str, props: list[str] | Column) -> None:
@@ -107,9 +110,11 @@ def csv_to_parquet(spark: SparkSession, source: str, path: str) -> None:
     readers.analyzed_csv(spark, source).write.mode("overwrite").parquet(path)
 
 
-def combined(df: DataFrame, path: str) -> None:
-    """All regions of a table, a folder for each."""
-    df.write.mode("overwrite").partitionBy("region").parquet(path)
+def combined(df: DataFrame, path: str) -> int:
+    """All regions of a table, a folder for each. The rows written."""
+    rows, seen = counted(df)
+    rows.write.mode("overwrite").partitionBy("region").parquet(path)
+    return rows_of(seen)
 
 
 def export_all(jobs: dict[str, Callable[[], None]]) -> dict[str, str | None]:
