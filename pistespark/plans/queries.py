@@ -758,6 +758,22 @@ def complete_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closure.complete_ways(_network(spark, sf_dir), 1, 41, 2.5, 43).select("osm_type", "osm_id")
 
 
+@_query(
+    views.with_views("area", "way", "way_vertex", "node")
+    + """, e AS (SELECT 0 k, area_type osm_type, area_id osm_id, CAST(5 AS BIGINT) vertices, name FROM area
+UNION ALL SELECT 1, 'way', w.way_id, v.n, NULL FROM way w LEFT JOIN (SELECT way_id, count(*) n FROM way_vertex GROUP BY 1) v USING (way_id)
+UNION ALL SELECT 2, 'node', node_id, 1, NULL FROM node)
+SELECT row_number() OVER (ORDER BY k, osm_id)-1 AS ordinal, osm_type, osm_id, vertices, name FROM e"""
+)
+def element_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas, then ways, then nodes in one document that many tasks write, and read in splits; ordinals are places in it."""
+    path, rows = _out(spark, "document"), _elements(spark, sf_dir)
+    kind = F.when(F.col("tags")["landuse"].isNotNull(), 0).when(F.col("osm_type") == "way", 1).otherwise(2)
+    sinks.element_document(rows.withColumn("ordinal", F.struct(kind.alias("kind"), "osm_id")), path)
+    back = readers.osm_json(spark, path).withColumn("vertices", F.nullif(F.size("geometry").cast("bigint"), F.lit(-1).cast("bigint")))
+    return back.select("ordinal", "osm_type", "osm_id", "vertices", F.col("tags")["name"].alias("name"))
+
+
 @_query(views.with_views("area") + "SELECT row_number() OVER (ORDER BY area_id)-1 AS ordinal, area_id, name, 'Polygon' AS kind, round(lat0-h, 6) AS first_lat FROM area")
 def document_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document, read in splits; ordinals are places in it."""

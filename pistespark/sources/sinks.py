@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pistespark.functions import geo
 from pistespark.functions import tags as tg
 from pistespark.schema import ANALYZED_COLUMNS, RING
-from pistespark.sources import readers
+from pistespark.sources import one_document, readers
 from pistespark.sources.geoparquet import GeoParquet
 from pistespark.sources.publish import counted, rows_of
 
@@ -30,7 +31,7 @@ def feature_text(df: DataFrame, props: list[str] | Column, *keep: str) -> DataFr
         .otherwise(row(F.col("geometry")))
     )
     shape = F.coalesce(F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coords, F.lit("}")), F.lit("null"))
-    return df.select(F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.to_json(F.struct(*props) if isinstance(props, list) else props), *([F.lit(',"ordinal":'), F.col("ordinal").cast("string")] if "ordinal" in df.columns else []), F.lit("}")).alias("value"), *keep)
+    return df.select(F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.coalesce(F.to_json(F.struct(*props) if isinstance(props, list) else props), F.lit("null")), *([F.lit(',"ordinal":'), F.col("ordinal").cast("string")] if "ordinal" in df.columns else []), F.lit("}")).alias("value"), *keep)
 
 
 def geojson_lines(df: DataFrame, path: str, props: list[str] | Column) -> int:
@@ -40,16 +41,21 @@ def geojson_lines(df: DataFrame, path: str, props: list[str] | Column) -> int:
     return rows_of(seen)
 
 
-def geojson_document(df: DataFrame, path: str, props: list[str] | Column) -> None:
-    """One feature collection as one file in a folder, in the order of ``ordinal``. One file has one writer, which streams the
-    features and holds none; large outputs are ``geojson_lines``."""
-    at = F.col("ordinal") if "ordinal" in df.columns else F.lit(0)
-    rows = feature_text(df.withColumn("_at", at), props, "_at").select(F.lit(1).alias("k"), "_at", "value")
-    ends = df.sparkSession.createDataFrame([(0, 0, '{"type":"FeatureCollection","features":['), (2, 0, "]}")], "k int, _at long, value string")
-    rows = ends.unionByName(rows).repartition(1).sortWithinPartitions("k", "_at")
-    # after sorting, every feature but the first has a comma before it
-    nth = F.monotonically_increasing_id()
-    rows.withColumn("n", nth).select(F.when((F.col("k") == 1) & (F.col("n") > 1), F.concat(F.lit(","), "value")).otherwise(F.col("value")).alias("value")).write.mode("overwrite").text(path)
+def in_order(df: DataFrame) -> DataFrame:
+    """Rows in the order of ``ordinal`` over all partitions, if there is one."""
+    return df.repartitionByRange("ordinal").sortWithinPartitions("ordinal") if "ordinal" in df.columns else df
+
+
+def geojson_document(df: DataFrame, path: str, props: list[str] | Column) -> int:
+    """One feature collection as one file in a folder, in the order of ``ordinal``, which many tasks write. The rows written."""
+    return one_document.written(feature_text(in_order(df), props), path, '{"type":"FeatureCollection","features":[\n', "\n]}\n")
+
+
+def element_document(df: DataFrame, path: str, generator: str = "pistespark") -> int:
+    """Elements as one JSON document with its header, in the order of ``ordinal``, which is their place in it. The rows written."""
+    rows = in_order(df).withColumnsRenamed({"osm_type": "type", "osm_id": "id"}).drop("ordinal")
+    head = json.dumps({"version": 0.6, "generator": generator, "elements": []}).removesuffix("]}") + "\n"
+    return one_document.written(rows.select(F.to_json(F.struct("*")).alias("value")), path, head, "\n]}\n")
 
 
 def element_lines(df: DataFrame, path: str) -> None:
