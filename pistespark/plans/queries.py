@@ -551,6 +551,40 @@ def usable_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.usable(rows).select("way_id", F.lit(True).alias("is_usable"), tg.display_name(F.col("tags"), F.lit("way"), F.col("way_id")).alias("label"))
 
 
+@_query(views.with_views("way_vertex", "node") + _KIND + "SELECT 'way' osm_type, way_id osm_id, n vertices FROM k WHERE n>=2 UNION ALL SELECT 'node', node_id, 1 FROM node")
+def usable_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ways of one vertex, and those of none, are dropped; a node's one vertex counts."""
+    none = F.lit(None).cast("double")
+    way = views.way_lines(spark, sf_dir).select(F.lit("way").alias("osm_type"), F.col("way_id").alias("osm_id"), "geometry", none.alias("lat"), none.alias("lon"))
+    empty = way.select("osm_type", (-F.col("osm_id")).alias("osm_id"), F.slice("geometry", 1, 0).alias("geometry"), "lat", "lon")
+    node = views.view(spark, sf_dir, "node").select(F.lit("node").alias("osm_type"), F.col("node_id").alias("osm_id"), F.array(geo.vertex(F.col("lat"), F.col("lon"))).alias("geometry"), none.alias("lat"), none.alias("lon"))
+    return features.usable(way.unionByName(empty).unionByName(node)).select("osm_type", "osm_id", F.size("geometry").cast("bigint").alias("vertices"))
+
+
+@_query(
+    views.with_views("way_vertex")
+    + _KIND
+    + """SELECT way_id, CASE way_id%3 WHEN 0 THEN 'MultiLineString' WHEN 1 THEN 'MultiPolygon' ELSE 'Polygon' END kind, g.n vertices,
+  CASE way_id%3 WHEN 1 THEN 2 WHEN 2 THEN 1 END n_parts, CASE way_id%3 WHEN 0 THEN 2 END n_lines, round(flat, 6) first_lat, round(llon, 6) last_lon FROM g"""
+)
+def nested_geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and polygons of several parts as one row of vertices: all parts of a line, the first outer ring of polygons."""
+    path, g, n = _out(spark, "nested"), F.col("geometry"), F.size("geometry")
+    place = lambda v: F.array(v["lon"], v["lat"])
+    line, inner = F.transform(g, place), F.array(F.array(F.lit(0.0), F.lit(0.0)), F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(0.0)))
+    half = F.floor(n / 2).cast("int")
+    coords = (
+        F.when(F.col("way_id") % 3 == 0, F.to_json(F.array(F.slice(line, 1, half), F.slice(line, half + 1, n))))
+        .when(F.col("way_id") % 3 == 1, F.to_json(F.array(F.array(line, inner), F.array(inner))))
+        .otherwise(F.to_json(F.array(line, inner)))
+    )
+    kind = F.get(F.array(F.lit("MultiLineString"), F.lit("MultiPolygon"), F.lit("Polygon")), (F.col("way_id") % 3).cast("int"))
+    text = F.concat(F.lit('{"type":"Feature","properties":{"id":'), F.col("way_id").cast("string"), F.lit('},"geometry":{"type":"'), kind, F.lit('","coordinates":'), coords, F.lit("}}"))
+    views.way_lines(spark, sf_dir).select(text.alias("value")).write.text(path)
+    back, size = readers.geojson(spark, path, lines=True), lambda c: F.when(F.col(c).isNotNull(), F.size(c)).cast("bigint")
+    return back.select(F.col("props")["id"].cast("bigint").alias("way_id"), "kind", F.size("geometry").cast("bigint").alias("vertices"), size("parts").alias("n_parts"), size("lines").alias("n_lines"), F.round(F.element_at("geometry", 1)["lat"], 6).alias("first_lat"), F.round(F.element_at("geometry", -1)["lon"], 6).alias("last_lon"))
+
+
 @_query(
     views.with_views("area", "way_vertex", "node")
     + """, o AS (SELECT area_id, count(*) n, min(lat) lat FROM area JOIN way_vertex ON way_id=area_id WHERE area_id%3=2 GROUP BY area_id)
@@ -616,6 +650,27 @@ def enrich_nearby_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.enrich_nearby(rows, named, views.countries(spark, sf_dir), views.states(spark, sf_dir)).select("way_id", "ski_area", "country", "state")
 
 
+@_query("SELECT way_id, area_name, coalesce(country,'Unknown') country, coalesce(state,'Unknown') state FROM (" + SQL["name_lookup_fallback"] + ")")
+def filled_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What neither the name nor a boundary gives has a default."""
+    return enrich.filled(QUERIES["name_lookup_fallback"](spark, sf_dir), {"country": "Unknown", "state": "Unknown"})
+
+
+@_query(
+    views.with_views("node", "admin0", "admin1")
+    + """SELECT node_id osm_id, (SELECT coalesce(nullif(trim(admin),''), nullif(trim(name_long),'')) FROM admin0 WHERE lon>x0 AND lon<x1 AND lat>y0 AND lat<y1) country,
+  (SELECT coalesce(nullif(trim(b.name),''), nullif(trim(b.admin),'')) FROM admin1 b WHERE lon>x0 AND lon<x1 AND lat>y0 AND lat<y1) state,
+  CASE WHEN node_id%3=0 THEN 'own' END ski_area FROM node"""
+)
+def enrich_own_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An element's own point goes before the middle of its vertices, which here is in another country."""
+    node, none = views.view(spark, sf_dir, "node"), F.lit(None).cast("string")
+    away = F.array(geo.vertex(F.col("lat"), F.col("lon") + 4.0), geo.vertex(F.col("lat") - 6.0, F.col("lon") + 2.0))
+    rows = node.select(F.col("node_id").alias("osm_id"), none.alias("winter_sports_name"), F.when(F.col("node_id") % 3 == 0, "own").otherwise("").alias("ski_area"), away.alias("geometry"), "lat", "lon")
+    names = views.areas(spark, sf_dir).select("ordinal", "name", "country", "state")
+    return jobs.enrich_nearby(rows, names, views.countries(spark, sf_dir), views.states(spark, sf_dir)).select("osm_id", "country", "state", "ski_area")
+
+
 @_query(
     """SELECT 'ski_areas' dataset, r_name AS region, count(*) AS "rows" FROM supplier JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey WHERE r_regionkey<>1 GROUP BY r_name
 UNION ALL SELECT 'ski_areas_analyzed', r_name, count(*) FROM supplier JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey GROUP BY r_name"""
