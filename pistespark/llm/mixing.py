@@ -98,25 +98,34 @@ def planned(docs: DataFrame, sizes: list[tuple[str | None, int]], block: int, se
     return made
 
 
+def stretched(table: DataFrame, first: str, end: str, width: int) -> DataFrame:
+    """A row for each stretch of ``width`` numbers that [first, end) meets, as ``at``. Rows without numbers meet none."""
+    return table.filter(f"{end} > {first}").withColumn("at", F.explode(F.expr(f"sequence({first} div {width}, ({end} - 1) div {width})")))
+
+
 def shards(docs: DataFrame, plan: list[dict], shard_slots: int, seed: int) -> DataFrame:
-    """shard, src, first, n: the shard has n slots of the source, from its first-th on. Multinomial draws with corrected totals."""
+    """shard, src, first, n: the shard has n slots of the source, from its first-th on. Multinomial draws with corrected totals.
+
+    What is broadcast has two rows a source at most. Stretches are as many as sources, so a ticket, which may be any
+    number, is compared with two sources on average, however uneven they are."""
     spark = docs.sparkSession
     total = sum(x["n"] for x in plan)
-    longs = lambda values: F.array(*[F.lit(int(v)).cast("long") for v in values]) if plan else F.array(F.lit(0).cast("long"))
-    starts, at = [], 0
+    held, at = [], 0
     for x in plan:
-        starts.append(at)
+        held.append((x["src"], x["n"], at, at + x["n"]))
         at += x["n"]
-    # a ticket per slot: the source that holds it. A source without slots starts where the next one does, and never holds one
+    sources = spark.createDataFrame(held, "src int, n long, from long, to long")
+    # a ticket per slot: the source that holds it
+    width = max(1, total // max(1, len(plan)))
     ticket = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(total, 1)))
     drawn = spark.range(0, total, 1, max(spark.sparkContext.defaultParallelism, total // 2_000_000)).select(F.expr(f"id div {shard_slots}").alias("shard"), ticket.alias("t"))
-    drawn = drawn.select("shard", (F.size(F.filter(longs(starts), lambda f: f <= F.col("t"))) - 1).alias("src"))
+    drawn = drawn.withColumn("at", F.expr(f"t div {width}")).join(F.broadcast(stretched(sources, "from", "to", width)), "at").filter("t >= from AND t < to")
     counts = written(drawn.groupBy("shard", "src").agg(F.count("*").alias("drawn")), "shards")
     got = {r["src"]: r["n"] for r in counts.groupBy("src").agg(F.sum("drawn").alias("n")).collect()}
     near = max(1, isqrt(total // shard_slots))
     counts = counts.withColumn("salt", F.expr(f"shard div {near}"))
     rows = ranked(counts, ["src"], ["shard"], "salt", F.col("drawn"), "before").drop("_row")
-    rows = rows.withColumn("kept", F.greatest(F.lit(0).cast("long"), F.least(F.col("drawn"), F.get(longs([x["n"] for x in plan]), F.col("src")) - F.col("before"))))
+    rows = rows.join(F.broadcast(sources.select("src", "n")), "src").withColumn("kept", F.greatest(F.lit(0).cast("long"), F.least(F.col("drawn"), F.col("n") - F.col("before")))).drop("n")
     rows = written(rows.withColumn("over", F.col("drawn") - F.col("kept")), "counted")
     kept = rows.filter("kept > 0").select("shard", "src", F.col("before").alias("first"), F.col("kept").alias("n"))
     gaps, at = [], 0
@@ -127,12 +136,14 @@ def shards(docs: DataFrame, plan: list[dict], shard_slots: int, seed: int) -> Da
             at += lack
     if not gaps:
         return kept
+    width = max(1, at // len(gaps))
     over = ranked(rows.filter("over > 0").select("shard", "src", "salt", "over", F.lit(0).alias("all")), ["all"], ["shard", "src"], "salt", F.col("over"), "off")
-    lacks = F.array(*[F.struct(*[F.lit(int(v)).cast("long").alias(k) for k, v in zip(("src", "from", "to", "first"), g, strict=True)]) for g in gaps])
-    end = F.col("off") + F.col("over")
-    given = over.select("shard", "off", end.alias("end"), F.explode(F.filter(lacks, lambda g: (g["from"] < end) & (g["to"] > F.col("off")))).alias("g"))
-    low, high = F.greatest("off", "g.from"), F.least("end", "g.to")
-    given = given.select("shard", F.col("g.src").cast("int").alias("src"), (F.col("g.first") + low - F.col("g.from")).alias("first"), (high - low).alias("n"))
+    over = stretched(over.select("shard", "off", (F.col("off") + F.col("over")).alias("end")), "off", "end", width)
+    lacks = stretched(spark.createDataFrame(gaps, "src int, from long, to long, had long"), "from", "to", width)
+    # the two meet in every stretch that they share; the first one counts
+    given = over.join(F.broadcast(lacks), "at").filter(f"from < end AND to > off AND at = greatest(from div {width}, off div {width})")
+    low, high = F.greatest("off", "from"), F.least("end", "to")
+    given = given.select("shard", "src", (F.col("had") + low - F.col("from")).alias("first"), (high - low).alias("n"))
     return kept.unionByName(given)
 
 
@@ -149,12 +160,14 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, see
     rows = rows.join(sources, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     placed = ranked(rows, ["src"], ["doc_id", "text_hash", "size"], "salt", F.col("size"), "offset")
 
-    of = lambda k: F.get(F.array(*[F.lit(int(x[k])).cast("long") for x in plan] or [F.lit(0).cast("long")]), F.col("src"))
+    names = ["blocks", "epochs", "rest", "short", "turn"]
+    known = spark.createDataFrame([(x["src"], *(x[k] for k in names)) for x in plan], "src int, " + ", ".join(f"{k} long" for k in names))
     slots = shards(docs, plan, shard_slots, seed).select("shard", "src", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("nth"))
-    slots = slots.withColumn("blocks", of("blocks")).withColumn("epoch", F.expr("nth div blocks")).withColumn("place", F.col("nth") % F.col("blocks"))
-    so_far = F.col("place") * block - F.when(of("turn") < F.col("place"), block - of("short")).otherwise(0)
+    slots = slots.join(F.broadcast(known), "src")  # a row per source, at most SOURCES
+    slots = slots.withColumn("epoch", F.expr("nth div blocks")).withColumn("place", F.col("nth") % F.col("blocks"))
+    so_far = F.col("place") * block - F.when(F.col("turn") < F.col("place"), block - F.col("short")).otherwise(0)
     whole = F.lit(block).cast("long")
-    take = F.when(F.col("epoch") == of("epochs"), F.least(of("rest") - so_far, whole)).otherwise(whole)
+    take = F.when(F.col("epoch") == F.col("epochs"), F.least(F.col("rest") - so_far, whole)).otherwise(whole)
     drawn = permuted(F.col("place"), F.col("blocks"), F.lit(seed), F.col("src").cast("long"), F.col("epoch"))
     # a table: else the join's null filters pull the permutations, written out many times over, below it
     return placed, written(slots.select("shard", "src", "nth", "epoch", drawn.alias("block"), take.alias("take")), "slots")

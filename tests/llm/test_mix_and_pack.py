@@ -169,3 +169,17 @@ def docs_of(edge):
 
 def test_queries_are_registered():
     assert [k.split("_")[0] for k in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+
+
+def test_many_sources(spark):
+    """Sources by the thousand, one of them with a third of all rows: the plan is a table, and each meets its target."""
+    source = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id").cast("string")))
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 90).cast("int")).alias("text"), source.alias("source"))
+    rows = mixing.taken(df).collect()
+    words, target = Counter(), {}
+    for r in rows:
+        key = "hot" if r["doc_id"] % 3 == 0 else r["doc_id"]
+        words[key] += r["taken"]
+        target[key] = r["target"]
+    assert len(rows) == 3000 and len(target) == 2001
+    assert all(abs(words[k] - t) <= 0.5 + 1e-9 for k, t in target.items()) and all(r["taken"] <= 3 * r["size"] for r in rows)
