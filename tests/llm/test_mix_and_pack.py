@@ -168,7 +168,7 @@ def docs_of(edge):
 
 
 def test_queries_are_registered():
-    assert [k.split("_")[0] for k in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_many_sources(spark):
