@@ -162,7 +162,9 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, see
 
     names = ["blocks", "epochs", "rest", "short", "turn"]
     known = spark.createDataFrame([(x["src"], *(x[k] for k in names)) for x in plan], "src int, " + ", ".join(f"{k} long" for k in names))
-    slots = shards(docs, plan, shard_slots, seed).select("shard", "src", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("nth"))
+    # a row holds at most a shard's slots; there are few rows, but many slots to be made of them: dealt by how many those are
+    dealt = max(spark.sparkContext.defaultParallelism, sum(x["n"] for x in plan) // 2_000_000)
+    slots = shards(docs, plan, shard_slots, seed).repartition(dealt, "shard", "src").select("shard", "src", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("nth"))
     slots = slots.join(F.broadcast(known), "src")  # a row per source, at most SOURCES
     slots = slots.withColumn("epoch", F.expr("nth div blocks")).withColumn("place", F.col("nth") % F.col("blocks"))
     so_far = F.col("place") * block - F.when(F.col("turn") < F.col("place"), block - F.col("short")).otherwise(0)
