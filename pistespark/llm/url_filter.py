@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pistespark.shared import spread_join
 
 #: Fixed values: (host, path, verdict). A rule fits its host and all subdomains where the url's path starts with its path.
-RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 #: Second labels under a two-letter country that are suffixes with it.
 SECOND = ["ac", "co", "com", "edu", "gov", "net", "org"]
 Z, BLOCK_ABOVE, LEAST_ICC, MOST_ICC = 1.645, 0.5, 0.001, 0.9

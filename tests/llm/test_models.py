@@ -242,7 +242,7 @@ def test_url_filter_cases(spark):
     labels = spark.createDataFrame([(3, 1, 0), (3, 0, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     out = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.verdicts(pages, url_filter.labelled(labels)).collect()}
     assert out[1] == ("a.example.com", "/en/7x", "example.com/en/7", "allow") and out[2] == ("x.com", "/en/1", "com/en/", "block")
-    assert out[3][:3] == out[4][:3] == ("", "", None) and out[5][:2] == ("b:", "//c/d") and out[6][2:] == ("net/de/", "block") and out[7][2:] == ("example.net/de/8", "block")
+    assert out[3][:3] == out[4][:3] == ("", "", None) and out[5][:2] == ("b:", "//c/d") and out[6][2:] == ("net/de/", "allow") and out[7][2:] == ("example.net/de/8", "block")
     assert out[8][:2] == ("host", "") and out[9][:3] == ("h.org", "", None) and out[10][3] == "block" and out[11][2] is None and len(out) == 12
     assert url_filter.verdicts(pages.limit(0), url_filter.labelled(labels)).count() == 0
     assert {r["verdict"] for r in url_filter.verdicts(pages, url_filter.labelled(labels.limit(0))).filter("rule IS NULL").collect()} == {"allow"}
@@ -252,3 +252,16 @@ def test_reputation_shrinks(spark):
     hosts = [(f"h{i}.bad.co.uk", 20, 20) for i in range(10)] + [("new.bad.co.uk", 0, 0), ("one.good.org", 1, 1)] + [(f"g{i}.good.org", 40, 1) for i in range(20)]
     got = {r["host"]: r for r in url_filter.reputation(spark.createDataFrame(hosts, "host string, n long, bad long")).collect()}
     assert got["h1.bad.co.uk"]["bound"] > 0.5 and got["new.bad.co.uk"]["mean"] > 0.5 > got["one.good.org"]["bound"]
+
+
+def test_url_rules_are_those_of_the_contract(spark):
+    """Every rule's word, also where labels would block the host: a net/de/ page is allowed, but for example.net/de/8."""
+    want = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
+    assert {h + p: v for h, p, v in url_filter.RULES} == want
+    pages = spark.createDataFrame([(i, f"http://www.{rule}x") for i, rule in enumerate(want)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0, 1) for i in range(5)], "doc_id long, quality int, toxic int")
+    assert {r["rule"]: r["verdict"] for r in url_filter.verdicts(pages, url_filter.labelled(labels)).collect()} == want
+    c = duckdb.connect()
+    c.sql("CREATE TABLE labels AS SELECT range doc_id, 0 quality, 1 toxic FROM range(5)")
+    c.sql("CREATE TABLE pages AS " + " UNION ALL ".join(f"SELECT {i} page_id, 'http://www.{rule}x' url" for i, rule in enumerate(want)))
+    assert dict(c.sql(f"SELECT rule, verdict FROM ({url_filter.SQL})").fetchall()) == want
