@@ -31,7 +31,8 @@ def single_linkage(points: DataFrame, distance_m: float, key: str = "ordinal") -
     placed = points.filter("lat IS NOT NULL AND lon IS NOT NULL").select(F.col(key).alias("_k"), "lat", "lon", _cell(F.col("lat"), F.col("lon"), distance_m).alias("_cell"))
     nodes = placed.groupBy("_cell").agg(F.min("_k").alias("_node"))
     placed = placed.join(nodes, "_cell")
-    near = radius_join(placed.select(F.col("_node").alias("b"), "lat", "lon"), placed.select(F.col("_node").alias("a"), F.col("lat").alias("area_lat"), F.col("lon").alias("area_lon")), distance_m)
+    place = placed.select("_node", "lat", "lon").distinct()  # points at one place have the same links
+    near = radius_join(place.select(F.col("_node").alias("b"), "lat", "lon"), place.select(F.col("_node").alias("a"), F.col("lat").alias("area_lat"), F.col("lon").alias("area_lon")), distance_m)
     roots = connected_components(near.filter("a < b").select("a", "b").distinct()).withColumnRenamed("node", "_node")
     label = placed.select("_k", "_node").join(roots, "_node", "left").select(F.col("_k").alias(key), F.coalesce("root", "_node").alias("cluster"))
     return points.join(label, key, "left").withColumn("cluster", F.coalesce("cluster", key))
