@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pistespark.functions import geo, tags
 from pistespark.operators.features import is_lift
+from pistespark.operators.spatial_join import expanded
 from pistespark.schema import ANALYZED_COLUMNS, DIFFICULTIES
 
 KEY = ["area_type", "area_id"]
@@ -114,10 +115,13 @@ def resort_type(terrain: Column, n_lifts: Column, n_trails: Column) -> Column:
     return F.when((terrain > 0) | (n_lifts > 0) | (n_trails > 0), "downhill ski resort").otherwise("not a downhill ski resort")
 
 
-def area_rollup(areas: DataFrame, nearby: DataFrame, line_rule: str = "reference") -> DataFrame:
-    """All areas, the 28 columns of the per-area table. areas: KEY, name, country, state, lat, lon, geometry."""
+def area_rollup(areas: DataFrame, nearby: DataFrame, line_rule: str = "reference", members: DataFrame | None = None) -> DataFrame:
+    """All areas, the 28 columns of the per-area table. areas: KEY, name, country, state, lat, lon, geometry.
+
+    members: where ``nearby`` has the representatives of areas only (``spatial_join.representatives``), which they stand for."""
     zero = F.lit(0).cast("bigint")
-    all_ = areas.join(per_area(elements(measures(nearby, line_rule))), KEY, "left")
+    found = per_area(elements(measures(nearby, line_rule)))
+    all_ = areas.join(found if members is None else expanded(found, members, KEY), KEY, "left")
     ha = lambda m2: F.bround(geo.hectares(m2), 2)
     mi = lambda m: F.coalesce(F.bround(geo.miles(m), 2), F.lit(0.0))
     total, terrain = ha(geo.polygon_area(F.col("geometry"))), F.coalesce(F.col("terrain_m2"), F.lit(0.0))

@@ -150,7 +150,7 @@ def analyzed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 #: The tables of a region.
-TABLES = ["ski_areas", "lifts", "pistes", "osm_near_winter_sports", "ski_areas_analyzed"]
+TABLES = ["ski_areas", "lifts", "pistes", "osm_near_winter_sports", "osm_near_winter_sports_areas", "ski_areas_analyzed"]
 
 
 def regions(spark: SparkSession, root: str) -> dict[str, list[str]]:
