@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from pistespark.operators import assembly, closure
 
 ELEMENT = "osm_type string, osm_id long, lat double, lon double, nodes array<long>, members array<struct<type:string,ref:long,role:string>>, geometry array<struct<lat:double,lon:double>>"
@@ -110,3 +112,13 @@ def test_complete_ways(spark):
     got = sorted((r["osm_type"], r["osm_id"]) for r in closure.complete_ways(every, -1, 0.15, 1, 0.25).collect())
     assert got == [("node", 0), ("node", 1), ("node", 2), ("node", 3), ("relation", 3), ("way", 1), ("way", 2)]
     assert closure.complete_ways(every, 5, 5, 6, 6).count() == 0
+
+
+def test_no_join_of_the_assembly_is_a_broadcast(spark):
+    line = [F.struct(F.lit(float(i)).alias("lat"), F.lit(float(i * i)).alias("lon")) for i in range(4)]
+    ways = spark.range(3).select(F.col("id").alias("way_id"), F.array(*[F.lit(i).cast("bigint") for i in (1, 2, 3, 1)]).alias("nodes"), F.array(*line).alias("geometry"))
+    members = ways.select(F.lit(1).cast("bigint").alias("relation_id"), F.lit("outer").alias("role"), "way_id")
+    found = assembly.rings(members, ways)
+    for df in (found, assembly.nested(found)):  # tables this small would be broadcast, and so would large ones whose size is guessed as small
+        plan = df._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
