@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from pistespark.plans import queries
+from pistespark.plans import queries, views
 
 DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="needs the test tables")
@@ -33,6 +33,14 @@ def test_query_equals_its_sql(spark, duck, name):
     assert normal(got, cols) == normal(want, cols)
 
 
+def test_stored_points_are_the_means_of_one_thread(spark):
+    c = duckdb.connect(config={"threads": 1})
+    c.sql(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{DIR}/lineitem.parquet')")
+    want = {i: (y, x) for i, y, x in c.sql(views.with_views("way_vertex") + "SELECT way_id, avg(lat), avg(lon) FROM way_vertex GROUP BY way_id").fetchall()}
+    assert {r["way_id"]: (r["lat"], r["lon"]) for r in views.way_points(spark, DIR, stored=True).collect()} == want
+    assert {r["way_id"]: (r["lat"], r["lon"]) for r in views.way_points(spark, DIR).collect()} != want
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(queries.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
