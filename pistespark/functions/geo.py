@@ -1,4 +1,4 @@
-"""Geometry as Column expressions over arrays of (lat, lon) vertices: nothing leaves the JVM.
+"""Geometry as Column expressions over arrays of (lat, lon) vertices. Only well-known binary leaves the JVM, as Arrow batches.
 
 Distances are great-circle metres on a sphere; areas are planar on a local equirectangular map. A null
 geometry, or one with too few vertices, measures 0 and has null centroids and bounds.
@@ -6,9 +6,14 @@ geometry, or one with too few vertices, measures 0 and has null centroids and bo
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pistespark.schema import RING
+
 #: Sphere radius in metres, metres in a degree of latitude, unit conversions.
 RADIUS_M, DEGREE_M, MILE_M, ACRES_PER_HA = 6_371_000.0, 111_320.0, 1609.344, 2.47105
 
@@ -43,6 +48,11 @@ def line_length(g: Column) -> Column:
     return F.when(n_vertices(g) >= 2, _sum(_steps(g, lambda a, b: haversine(a["lat"], a["lon"], b["lat"], b["lon"])))).otherwise(F.lit(0.0))
 
 
+def _let(x: Column, f) -> Column:
+    """f(x), with x worked out once however often f uses it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def _around(g: Column) -> Column:
     """The ring with its first vertex again at the end."""
     return F.concat(g, F.slice(g, 1, 1))
@@ -90,23 +100,21 @@ def centroid_of_line(g: Column) -> Column:
 
 def _moments(ring: Column) -> Column:
     """Twice the signed area of a ring in degrees and its first moments, relative to its first vertex."""
-    o = F.get(ring, F.lit(0))
-    cross = _steps(
-        F.transform(_around(ring), lambda v: F.struct((v["lon"] - o["lon"]).alias("x"), (v["lat"] - o["lat"]).alias("y"))),
-        lambda a, b: F.struct((a["x"] * b["y"] - b["x"] * a["y"]).alias("c"), (a["x"] + b["x"]).alias("x"), (a["y"] + b["y"]).alias("y")),
-    )
-    part = lambda f: _sum(F.transform(cross, f))
-    return F.struct(part(lambda p: p["c"]).alias("c"), part(lambda p: p["c"] * p["x"]).alias("x"), part(lambda p: p["c"] * p["y"]).alias("y"), o["lon"].alias("lon"), o["lat"].alias("lat"))
+    o, fields = F.get(ring, F.lit(0)), ("c", "x", "y")
+    points = F.transform(_around(ring), lambda v: F.struct((v["lon"] - o["lon"]).alias("x"), (v["lat"] - o["lat"]).alias("y")))
+    cross = lambda a, b: F.struct((a["x"] * b["y"] - b["x"] * a["y"]).alias("c"), (a["x"] + b["x"]).alias("x"), (a["y"] + b["y"]).alias("y"))
+    more = lambda acc, p: F.struct((acc["c"] + p["c"]).alias("c"), (acc["x"] + p["c"] * p["x"]).alias("x"), (acc["y"] + p["c"] * p["y"]).alias("y"))
+    whole = lambda t: F.struct(*[t[f].alias(f) for f in fields], o["lon"].alias("lon"), o["lat"].alias("lat"))
+    return _let(points, lambda g: F.aggregate(_steps(g, cross), F.struct(*[F.lit(0.0).alias(f) for f in fields]), more, whole))
 
 
 def centroid_of_polygon(rings: Column) -> Column:
     """Centroid of an outer ring less its holes (rings[0], then the rest), in degrees; that of the outer line if there is no area."""
     # each ring's area and moments with the outer ring's sign, holes against it
     signed = F.transform(rings, lambda r, i: F.struct(F.when(i == 0, 1.0).otherwise(-1.0).alias("s"), _moments(r).alias("m")))
-    area = _sum(F.transform(signed, lambda p: p["s"] * F.abs(p["m"]["c"])))
-    lon = _sum(F.transform(signed, lambda p: p["s"] * F.signum(p["m"]["c"]) * (p["m"]["x"] / 3 + p["m"]["c"] * p["m"]["lon"])))
-    lat = _sum(F.transform(signed, lambda p: p["s"] * F.signum(p["m"]["c"]) * (p["m"]["y"] / 3 + p["m"]["c"] * p["m"]["lat"])))
-    return F.when(F.size(rings) > 0, F.when(area > 1e-14, vertex(lat / area, lon / area)).otherwise(centroid_of_line(F.get(rings, F.lit(0)))))
+    turn = lambda p: p["s"] * F.signum(p["m"]["c"])
+    each = F.transform(signed, lambda p: F.struct((p["s"] * F.abs(p["m"]["c"])).alias("a"), *[(turn(p) * (p["m"][m] / 3 + p["m"]["c"] * p["m"][f])).alias(f) for f, m in (("lat", "y"), ("lon", "x"))]))
+    return F.when(F.size(rings) > 0, F.coalesce(_weighed(each), centroid_of_line(F.get(rings, F.lit(0)))))
 
 
 def _weighed(values: Column) -> Column:
@@ -202,11 +210,40 @@ def _hex_list(g: Column) -> Column:
     return F.concat(F.lpad(F.hex(F.size(g)), 8, "0"), F.array_join(F.transform(g, _hex_point), ""))
 
 
+def _offsets(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _places(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the lengths, in a row."""
+    return np.arange(lengths.sum()) - np.repeat(_offsets(lengths)[:-1], lengths)
+
+
+def _encoded(g: pa.Array) -> pa.Array:
+    n = np.asarray(pc.list_value_length(g).fill_null(0), np.int64)
+    flat = g.flatten()
+    # big-endian; a negative zero is a zero
+    points = np.stack([np.asarray(pc.struct_field(flat, f).fill_null(np.nan), np.float64) + 0.0 for f in ("lon", "lat")], 1).astype(">f8")
+    own = points.view(np.uint8).reshape(-1, 16)
+    first = _offsets(n)[:-1]
+    some = n > 0
+    ring = n >= 4
+    ring[ring] = (points[first[ring]] == points[(first + n - 1)[ring]]).all(1)
+    head = np.where(n == 1, 5, np.where(ring, 13, 9))
+    at = _offsets(np.where(some, head + 16 * n, 0))
+    out = np.zeros(at[-1], np.uint8)
+    start = at[:-1]
+    out[start[some] + 4] = np.where(n == 1, 1, np.where(ring, 3, 2))[some]
+    out[start[ring] + 8] = 1  # ring of a polygon
+    many = n > 1
+    out[(start + head - 4)[many][:, None] + np.arange(4)] = n[many].astype(">u4").view(np.uint8).reshape(-1, 4)
+    out[(np.repeat(start + head, n) + 16 * _places(n))[:, None] + np.arange(16)] = own
+    return pa.Array.from_buffers(pa.binary(), len(n), [pa.py_buffer(np.packbits(some, bitorder="little")), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(out)])
+
+
 def wkb(g: Column) -> Column:
     """Well-known binary (big-endian) of a vertex list, by its kind; null if empty."""
-    kind = geometry_kind(g)
-    text = F.when(kind == "Point", F.concat(F.lit("0000000001"), _hex_point(F.get(g, F.lit(0))))).when(kind == "LineString", F.concat(F.lit("0000000002"), _hex_list(g))).when(kind == "Polygon", F.concat(F.lit("000000000300000001"), _hex_list(g)))
-    return F.unhex(text)
+    return F.arrow_udf(_encoded, "binary")(g)
 
 
 def wkb_of_parts(parts: Column) -> Column:
@@ -247,33 +284,32 @@ def hilbert(lat: Column, lon: Column, bits: int = 16) -> Column:
     return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), state(cell(lon, -180, 360), cell(lat, -90, 180), F.lit(0)), step, lambda s: s["d"])
 
 
-def _double_at(digits: Column, at: Column, little: Column) -> Column:
-    """The double whose eight bytes are the 16 hex digits from a place on (from 0)."""
-    own = F.substr(digits, at + 1, F.lit(16))
-    turned = F.concat(*[F.substr(own, F.lit(15 - 2 * i), F.lit(2)) for i in range(8)])
-    x = F.when(little, turned).otherwise(own)
-    top = F.conv(F.substr(x, F.lit(1), F.lit(3)), 16, 10).cast("int")
-    e, m = top.bitwiseAND(F.lit(2047)), F.conv(F.substr(x, F.lit(4), F.lit(13)), 16, 10).cast("long")
-    size = F.when((e == 0) & (m == 0), F.lit(0.0)).otherwise((1 + m / F.lit(float(1 << 52))) * F.pow(F.lit(2.0), (e - 1023).cast("double")))
-    return F.when(top >= 2048, -size).otherwise(size)
+def _decoded(data: pa.Array) -> pa.Array:
+    data = pa.concat_arrays([data.cast(pa.binary()).fill_null(b"")])
+    at = np.frombuffer(data.buffers()[1], np.int32)[data.offset :][: len(data) + 1].astype(np.int64)
+    raw = np.frombuffer(data.buffers()[2] or b"", np.uint8)
+    raw = np.append(raw, np.zeros(16, np.uint8))
+    size, at = np.diff(at), at[:-1]
+    little = raw[at] == 1
 
+    def whole(skip: int) -> np.ndarray:
+        b = raw[np.minimum((at + skip)[:, None] + np.arange(4), len(raw) - 1)].astype(np.int64)
+        return np.where(little, b @ (1 << 8 * np.arange(4)), b @ (1 << 8 * np.arange(3, -1, -1)))
 
-def vertices_of_wkb(data: Column) -> Column:
-    """The vertex list of well-known binary of either byte order: a point, a line, or a polygon's outer ring; null for any other."""
-    digits = F.hex(data)
-    little = F.substr(digits, F.lit(1), F.lit(2)) == "01"
-
-    def whole(at: int) -> Column:
-        own = F.substr(digits, F.lit(at + 1), F.lit(8))
-        turned = F.concat(*[F.substr(own, F.lit(7 - 2 * i), F.lit(2)) for i in range(4)])
-        return F.conv(F.when(little, turned).otherwise(own), 16, 10).cast("int")
+    kind = np.where(size >= 5, whole(1), 0)
+    n = np.where(kind == 1, 1, np.where(kind == 2, whole(5), np.where((kind == 3) & (whole(5) > 0), whole(9), 0)))
+    head = np.where(kind == 1, 5, np.where(kind == 2, 9, 13))
+    n = np.where(head + 16 * n <= size, n, 0)  # what ends too early has none
+    points = np.ascontiguousarray(raw[(np.repeat(at + head, n) + 16 * _places(n))[:, None] + np.arange(16)])
+    values = np.where(np.repeat(little, n)[:, None], points.view("<f8"), points.view(">f8").astype(np.float64))
+    each = pa.StructArray.from_arrays([pa.array(values[:, 1]), pa.array(values[:, 0])], names=["lat", "lon"])
+    return pa.ListArray.from_arrays(pa.array(_offsets(n), pa.int32()), each, mask=pa.array(n == 0))
 
-    def points(n: Column, at: int) -> Column:
-        one = lambda i: vertex(_double_at(digits, i * 32 + (at + 16), little), _double_at(digits, i * 32 + at, little))
-        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), one))
 
-    kind = whole(2)
-    return F.when(kind == 1, points(F.lit(1), 10)).when(kind == 2, points(whole(10), 18)).when((kind == 3) & (whole(10) > 0), points(whole(18), 26))
+def vertices_of_wkb(data: Column) -> Column:
+    """The vertex list of well-known binary of either byte order: a point, a line, or a polygon's outer ring; null for any other,
+    and for what ends too early."""
+    return F.arrow_udf(_decoded, RING)(data)
 
 
 def miles(metres: Column) -> Column:

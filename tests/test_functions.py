@@ -119,3 +119,15 @@ def test_names(spark):
     assert one(spark, tg.display_name(F.col("p"), F.lit("way"), F.lit(5)), p=({"name": ""}, "map<string,string>")) == "way/5"
     assert one(spark, tg.label(F.lit("chair_lift"))) == "chair lift"
     assert one(spark, tg.first_id(F.lit(0), F.lit(None).cast("bigint"), F.lit(4))) == 4
+
+
+def test_moments_and_binary_are_worked_out_once(spark):
+    g = [ring((0, 0), (4, 0), (4, 4), (0, 0)), ring((-1.5, 2)), ring((1, 2), (3, -4e-310)), [], None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(g)], f"i int, g array<{V}>").withColumn("wkb", geo.wkb(F.col("g")))
+    back = {r["i"]: r["v"] for r in df.select("i", geo.vertices_of_wkb(F.col("wkb")).alias("v")).collect()}
+    assert [back[i] and [v.asDict() for v in back[i]] for i in range(5)] == [*g[:3], None, None]
+    short = df.select(geo.vertices_of_wkb(F.expr("substring(wkb, 1, length(wkb) - 1)")).alias("v"))
+    assert all(r["v"] is None for r in short.collect())
+    # one trip of Arrow for the binary, and no expression that is written out over and over
+    assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 2000
+    assert len(df.select(geo.centroid_of_polygon(F.array("g")))._jdf.queryExecution().analyzed().toString()) < 20_000
