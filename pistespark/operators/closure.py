@@ -33,7 +33,7 @@ def with_referenced(kept: DataFrame, elements: DataFrame) -> DataFrame:
 
     Relations that name relations are followed round by round, each with what is new only, so a circle ends; ways and nodes
     take one step each. Names of elements that are not there are passed over."""
-    refs = references(elements)
+    refs = settled(references(elements), "references")  # every step asks them, and elements are taken apart once
     among = settled(refs.filter("by_type = 'relation' AND osm_type = 'relation'"), "nesting")
     kept = kept.select(*_ID).distinct()
     seen = new = settled(kept.filter("osm_type = 'relation'"), "relations")
@@ -53,7 +53,7 @@ def complete_ways(elements: DataFrame, minlon: float, minlat: float, maxlon: flo
     of these, and relations with a member among them, whose other members do not come along.
 
     elements: osm_type, osm_id, lat, lon, nodes, members."""
-    refs = references(elements)
+    refs = settled(references(elements), "references")
     here = elements.filter("osm_type = 'node'").filter(F.col("lon").between(minlon, maxlon) & F.col("lat").between(minlat, maxlat)).select(*_ID)
     of_ways = refs.filter("by_type = 'way'")
     touched = of_ways.join(here, _ID, "left_semi").select(F.col("by_type").alias("osm_type"), F.col("by_id").alias("osm_id")).distinct()

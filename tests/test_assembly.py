@@ -122,3 +122,11 @@ def test_no_join_of_the_assembly_is_a_broadcast(spark):
     for df in (found, assembly.nested(found)):  # tables this small would be broadcast, and so would large ones whose size is guessed as small
         plan = df._jdf.queryExecution().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_elements_are_taken_apart_once(spark):
+    rows = spark.createDataFrame([("way", i, None, None, [i, i + 1], None, None) for i in range(1, 9)] + [("node", i, 0.5, 0.5, None, None, None) for i in range(1, 10)], ELEMENT)
+    rows = rows.mapInArrow(lambda batches: batches, ELEMENT)
+    for found in (closure.complete_ways(rows, 0, 0, 1, 1), closure.with_referenced(rows.filter("osm_type = 'way'"), rows)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate explode") == 0 and plan.count("MapInArrow") <= 2
