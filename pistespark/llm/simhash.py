@@ -282,18 +282,23 @@ def _dealt(rows: DataFrame, masks: list[int], k: int) -> DataFrame:
     return rows.select(*rest, F.explode(finer).alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), *rest)
 
 
-def _gray(x: Column) -> Column:
-    """``gray_rank`` as a column."""
-    for n in (1, 2, 4, 8, 16, 32):
-        x = x.bitwiseXOR(F.shiftrightunsigned(x, n))
-    return x
+def _blocks(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (mask, bits, node, ...) of groups of any size as groups of some 2 * ``most``, in which every pair of a group meets.
+
+    A group is cut into blocks of some ``most`` rows by a hash of the node, and each two blocks are a group, whose key is in
+    ``bits``. No task holds more than two blocks; a row is repeated as often as its group has blocks."""
+    sizes = written(rows.groupBy("mask", "bits").agg(F.ceil(F.count("*") / most).alias("_n")).filter("_n > 2"), "sizes")
+    met = spread_join(rows, sizes, ["mask", "bits"], "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    met = met.withColumn("_own", F.pmod(F.xxhash64("node"), "_n")).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    key = F.when(F.col("_n") == 1, F.col("bits")).otherwise(F.xxhash64("mask", "bits", F.least("_own", "_other"), F.greatest("_own", "_other")))
+    return met.select("mask", key.alias("bits"), *[c for c in rows.columns if c not in ("mask", "bits")])
 
 
 def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
     """Forest edges (a, b, similarity) of the groups of 2 to ``most`` rows; larger ones are left to the next level.
 
-    whole: there is none, and larger groups are searched, too: without sketches at once (few bits are left then, so there
-    are few fingerprints), with sketches in overlapping windows of 2 * ``most`` rows in Gray order."""
+    whole: there is none, and groups of any size are searched. Without sketches few bits are left then, so there are few
+    fingerprints; with sketches ``_blocks`` has dealt large groups to small ones."""
     wide = "sketch" in rows.columns
 
     def linked_rows(part: list[np.ndarray], group: np.ndarray) -> pa.RecordBatch:
@@ -303,15 +308,10 @@ def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
     def out(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         start = np.flatnonzero(np.concatenate([[True], (part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])]))
         size = np.diff(np.append(start, len(part[0])))
-        limit = 2 * most if wide and whole else most if not whole else len(part[0])
+        limit = most if not whole else len(part[0])
         use = np.repeat((size > 1) & (size <= limit), size)
         if use.any():
             yield linked_rows([x[use] for x in part], np.repeat(np.arange(len(start)), size)[use])
-        if wide and whole:
-            for g in np.flatnonzero(size > limit):
-                for at in range(0, int(size[g]) - most, most):
-                    window = slice(start[g] + at, min(start[g] + at + 2 * most, start[g] + size[g]))
-                    yield linked_rows([x[window] for x in part], np.zeros(window.stop - window.start, np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -328,21 +328,18 @@ def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
             held = [x[last:] for x in part]
             if not whole:  # of an open group that is too large already, most + 1 rows are enough to know it by
                 held = [x[: most + 1] for x in held]
-            elif wide and len(held[0]) > 4 * most:
-                yield from out(held)
-                held = [x[-most:] for x in held]
         if held:
             yield from out(held)
 
-    dealt = rows.repartition("mask", "bits").sortWithinPartitions("mask", "bits", *([_gray(F.col("fp"))] if wide and whole else []))
+    dealt = rows.repartition("mask", "bits").sortWithinPartitions("mask", "bits")
     return dealt.mapInArrow(run, "a long, b long, similarity double")
 
 
 def links(nodes: DataFrame, k: int = K, most: int = MOST, levels: int = 64) -> DataFrame:
     """Edges (a, b, similarity) between nodes that connect what chains of links connect. nodes: (node, fp), a row per node, and sketch, if links need it.
 
-    Without sketches that is exact. With them, edges below SURE are candidates yet (see ``linked``), and a group that is still larger than ``most`` after ``levels`` levels
-    (a dense cluster of copies) is searched in windows, which may miss a link between far ends of a cluster."""
+    That is exact. With sketches, edges below SURE are candidates yet (see ``linked``), and a group that is still larger than ``most`` after ``levels`` levels
+    (a dense cluster of copies) is searched block by block (``_blocks``), all pairs of it."""
     masks, edges, level = [0], None, 0
     rows = nodes.select(F.lit(0).cast("long").alias("mask"), *[c for c in ("node", "fp", "sketch") if c in nodes.columns])
     while True:
@@ -351,7 +348,7 @@ def links(nodes: DataFrame, k: int = K, most: int = MOST, levels: int = 64) -> D
         hot = written(dealt.groupBy("mask", "bits").agg(F.count("*").alias("n")).filter(F.col("n") > most).drop("n"), "hot")
         # where few bits are left, a group has few fingerprints whatever the corpus
         if hot.isEmpty() or level == levels or (1 << 64 - min(m.bit_count() for m in masks)) <= 8 * most:
-            found = _searched(dealt, k, most, True)
+            found = _searched(_blocks(dealt, most) if "sketch" in dealt.columns else dealt, k, most, True)
             return found if edges is None else edges.unionByName(found)
         found = _searched(dealt.join(hot, ["mask", "bits"], "left_anti"), k, most, False)
         edges = found if edges is None else edges.unionByName(found)
