@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from pistespark.sources import documents, readers, sinks
 
@@ -71,3 +72,39 @@ def test_a_document_written_and_read(spark, tmp_path):
         (file,) = (tmp_path / f"d{n}").glob("part-*")
         assert len(json.loads(file.read_text())["features"]) == n
         assert sorted((r["ordinal"], r["props"]["name"]) for r in readers.geojson(spark, str(tmp_path / f"d{n}")).collect()) == [(i, f"n{i}") for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [40, 150])
+def test_objects_that_are_cut(spark, tmp_path, size):
+    """Splits of a few bytes: objects over several of them, cut at braces in strings and behind escaped quotes, in arrays of both kinds."""
+    rows = TRICKY[:12]
+    docs = {"plain": {"features": rows}, "other": {"notes": rows[:3], "features": rows}, "keyed": {"a": {"features": rows[:5]}, "b": {"notes": rows}, "c": {"features": rows[5:]}}}
+    for name, doc in docs.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc, ensure_ascii=False), encoding="utf-8")
+    assert of(spark, str(tmp_path), size) == {name: list(enumerate(rows)) for name in docs}
+
+
+def test_objects_of_one_file_stay_in_many_tasks(spark, tmp_path):
+    """Numbering the objects of a file must not bring them all to one task."""
+    path = tmp_path / "doc.json"
+    path.write_text(json.dumps(DOCS["plain"]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 2000)
+    try:
+        found = documents.objects(spark, str(path), "features").withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sum(r["count"] for r in found) == len(TRICKY) and max(r["count"] for r in found) < len(TRICKY) / 2
+
+
+def test_other_splits_than_were_counted_are_an_error(spark, tmp_path):
+    path = tmp_path / "doc.json"
+    path.write_text(json.dumps(DOCS["plain"]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 2000)
+    try:
+        df = documents.objects(spark, str(path), "features")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(Exception, match="splits have changed"):
+        df.collect()
