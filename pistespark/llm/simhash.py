@@ -169,14 +169,26 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray, s: np.ndarray) -> np.ndarray:
         tree = forest(n, x[pick], y[pick])[tree]
 
 
-def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room: int = 1 << 20, sketch: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+Links = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room: int = 1 << 20, sketch: np.ndarray | None = None, known: np.ndarray | None = None) -> Links:
     """A spanning forest of the links inside each group, as pairs of places in ``fp`` (uint64), with a similarity.
 
     With sketches, a link also needs an estimate of SURE (the similarity given is 1 then). Pairs with one from MAYBE to SURE
-    come along as they are, where they would join what sure links do not: a spanning forest of the greatest estimates."""
+    come along as they are, where they would join what sure links do not: a spanning forest of the greatest estimates.
+
+    known: what each item is known to be joined to. Then all pairs from MAYBE to SURE between different ones, and nothing else."""
+    a, b, s = (np.concatenate(x) for x in zip(*linked_pieces(group, fp, k, fan, room, sketch, known), strict=True))
+    return a, b, s
+
+
+def linked_pieces(group: np.ndarray, fp: np.ndarray, k: int, fan: int, room: int, sketch: np.ndarray | None, known: np.ndarray | None) -> Iterator[Links]:
+    """What ``linked`` gives, in pieces: with ``known`` of some ``room`` pairs each, however many there are, else in one."""
     order = np.lexsort((gray_rank(fp), group))
     group, fp = group[order], fp[order]
     sketch = None if sketch is None else sketch[order]
+    known = None if known is None else known[order]
     # levels from the leaves up: bits that all members have, bits that any has, first leaf, leaves, first child, children
     one = np.ones(len(fp), np.int64)
     levels = [(fp, fp, np.arange(len(fp)), one, np.arange(len(fp)), one)]
@@ -194,6 +206,7 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
     found: list[np.ndarray] = []
     count, root = 0, np.arange(len(fp))
     maybe = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    pairs = [*maybe]
 
     def add(a: np.ndarray, b: np.ndarray, s: np.ndarray | None = None) -> None:
         nonlocal count
@@ -214,6 +227,12 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
         best = spanning(len(fp), root[x], root[y], s)
         maybe = [(x[best], y[best], s[best])]
 
+    def given() -> Links:
+        nonlocal count
+        x, y, s = (np.concatenate(c) for c in zip(*pairs, strict=True))
+        pairs[1:], count = [], 0
+        return order[x], order[y], s
+
     top = np.arange(len(kind))
     work = [(len(levels) - 1, top, top)]
     while work:
@@ -224,6 +243,8 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
         a, b = a[near], b[near]
         if level == 0:
             use = a != b
+            if known is not None:
+                use &= known[a] != known[b]
             a, b = a[use], b[use]
             if sketch is None:
                 add(a, b)
@@ -231,9 +252,15 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
             for at in range(0, len(a), 1 << 14):
                 x, y = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
                 s = similarity(sketch[x], sketch[y])
-                add(x[s >= SURE], y[s >= SURE])
                 some = (s >= MAYBE) & (s < SURE)
-                add(x[some], y[some], s[some])
+                if known is None:
+                    add(x[s >= SURE], y[s >= SURE])
+                    add(x[some], y[some], s[some])
+                    continue
+                pairs.append((x[some], y[some], s[some]))
+                count += int(some.sum())
+                if count > room:
+                    yield given()
             continue
         close = np.bitwise_count((every[a] & every[b]) ^ (some[a] | some[b])) <= (k if sketch is None else -1)
         # all below is linked: members of one node to its first leaf, two nodes by their first leaves
@@ -245,9 +272,9 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
         two = close & (a != b)
         add(leaf[a[two]], leaf[b[two]])
         a, b = a[~close], b[~close]
-        pairs = children[a] * children[b]
-        for cut in np.split(np.arange(len(a)), np.flatnonzero(np.diff(np.cumsum(pairs) // room)) + 1):
-            p, q, m = a[cut], b[cut], pairs[cut]
+        met = children[a] * children[b]
+        for cut in np.split(np.arange(len(a)), np.flatnonzero(np.diff(np.cumsum(met) // room)) + 1):
+            p, q, m = a[cut], b[cut], met[cut]
             if not len(cut):
                 continue
             inner = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
@@ -255,10 +282,13 @@ def linked(group: np.ndarray, fp: np.ndarray, k: int = K, fan: int = FAN, room:
             x, y = np.repeat(child[p], m) + inner // wide, np.repeat(child[q], m) + inner % wide
             once = (x <= y) | np.repeat(p != q, m)
             work.append((level - 1, x[once], y[once]))
+    if known is not None:
+        yield given()
+        return
     merge()
     tied = np.flatnonzero(root != np.arange(len(fp)))
     a, b, s = maybe[0]
-    return order[np.append(tied, a)], order[np.append(root[tied], b)], np.append(np.ones(len(tied)), s)
+    yield order[np.append(tied, a)], order[np.append(root[tied], b)], np.append(np.ones(len(tied)), s)
 
 
 def cut(mask: int, parts: int = K + 1) -> list[int]:
@@ -295,15 +325,15 @@ def _blocks(rows: DataFrame, most: int) -> DataFrame:
 
 
 def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
-    """Forest edges (a, b, similarity) of the groups of 2 to ``most`` rows; larger ones are left to the next level.
+    """Edges (a, b, similarity), as ``linked`` gives them, of the groups of 2 to ``most`` rows; larger ones are left to the next level.
 
     whole: there is none, and groups of any size are searched. Without sketches few bits are left then, so there are few
     fingerprints; with sketches ``_blocks`` has dealt large groups to small ones."""
-    wide = "sketch" in rows.columns
+    wide, known = "sketch" in rows.columns, "root" in rows.columns
 
-    def linked_rows(part: list[np.ndarray], group: np.ndarray) -> pa.RecordBatch:
-        a, b, s = linked(group, part[3].view(np.uint64), k, sketch=part[4] if wide else None)
-        return pa.RecordBatch.from_arrays([pa.array(part[2][a]), pa.array(part[2][b]), pa.array(s)], names=["a", "b", "similarity"])
+    def linked_rows(part: list[np.ndarray], group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a, b, s in linked_pieces(group, part[3].view(np.uint64), k, FAN, 1 << 20, part[4] if wide else None, part[5] if known else None):
+            yield pa.RecordBatch.from_arrays([pa.array(part[2][a]), pa.array(part[2][b]), pa.array(s)], names=["a", "b", "similarity"])
 
     def out(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         start = np.flatnonzero(np.concatenate([[True], (part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])]))
@@ -311,7 +341,7 @@ def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
         limit = most if not whole else len(part[0])
         use = np.repeat((size > 1) & (size <= limit), size)
         if use.any():
-            yield linked_rows([x[use] for x in part], np.repeat(np.arange(len(start)), size)[use])
+            yield from linked_rows([x[use] for x in part], np.repeat(np.arange(len(start)), size)[use])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -321,6 +351,8 @@ def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
             part = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             if wide:
                 part.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(batch.num_rows, -1))
+            if known:
+                part.append(batch.column(5).to_numpy(zero_copy_only=False))
             part = [np.concatenate(x) for x in zip(held, part, strict=True)] if held else part
             last = int(np.flatnonzero((part[0] != part[0][-1]) | (part[1] != part[1][-1])).max(initial=-1)) + 1
             if last:
@@ -337,11 +369,12 @@ def _searched(rows: DataFrame, k: int, most: int, whole: bool) -> DataFrame:
 
 def links(nodes: DataFrame, k: int = K, most: int = MOST, levels: int = 64) -> DataFrame:
     """Edges (a, b, similarity) between nodes that connect what chains of links connect. nodes: (node, fp), a row per node, and sketch, if links need it.
+    With a column root, too, all candidates between nodes of different roots instead, some of them several times.
 
     That is exact. With sketches, edges below SURE are candidates yet (see ``linked``), and a group that is still larger than ``most`` after ``levels`` levels
     (a dense cluster of copies) is searched block by block (``_blocks``), all pairs of it."""
     masks, edges, level = [0], None, 0
-    rows = nodes.select(F.lit(0).cast("long").alias("mask"), *[c for c in ("node", "fp", "sketch") if c in nodes.columns])
+    rows = nodes.select(F.lit(0).cast("long").alias("mask"), *[c for c in ("node", "fp", "sketch", "root") if c in nodes.columns])
     while True:
         dealt, level = _dealt(rows, masks, k), level + 1
         masks = sorted({x for m in masks for x in cut(m, k + 1)})
@@ -397,6 +430,27 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(pairs.filter(both / (F.size("set_a") + F.size("set_b") - both) >= SIMILAR).select("a", "b"), "same")
 
 
+def _rest(nodes: DataFrame, joined: DataFrame, member: DataFrame, failed: DataFrame, k: int, most: int) -> DataFrame | None:
+    """The candidates (a, b) that the forest left out and that may still join something; none: None.
+
+    A candidate that is not in its group's forest has its ends joined by sure links and pairs of the forest. So, if links do
+    not join them (``joined``, whose components ``member`` has), a pair that is no link (``failed``) stands between, and all is in one component
+    of both kinds together. Only nodes of such components are searched again."""
+    root = {c: member.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")}
+    for c in ("a", "b"):
+        failed = spread_join(failed, root[c], [c], "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    failed = written(failed.filter("root_a <> root_b").select("a", "b"), "failed")
+    if failed.isEmpty():
+        return None
+    near = connected_components(joined.unionByName(failed)).withColumnRenamed("root", "area")
+    hit = near.join(failed.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("area").distinct()
+    left = near.join(hit, "area", "left_semi").select("node").join(member, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    left = written(nodes.join(left, "node"), "left")
+    found = [links(left.select("node", F.col(c).alias("fp"), "sketch", "root"), k, most, LEVELS) for c in ("one", "two")]
+    found = found[0].unionByName(found[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return written(found.join(failed, ["a", "b"], "left_anti"), "rest")
+
+
 def keepers(docs: DataFrame, k: int = WIDE_K, most: int = MOST) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: the smallest doc_id of each group of near copies.
 
@@ -404,7 +458,8 @@ def keepers(docs: DataFrame, k: int = WIDE_K, most: int = MOST) -> DataFrame:
     links connect. The Gray-order index finds candidates: one of two codes of the words' set within ``k`` bits, which
     scattered edits at that similarity change by some 4 bits of 64; it compares the sketches where a pair comes that
     far. Where their estimate is too near to SIMILAR to decide and no sure link joins the two, the shingle sets
-    themselves do (``confirmed``). Texts without words are copies of each other; a null doc_id comes after all others; of rows that repeat id
+    themselves do (``confirmed``): first for a spanning forest of such pairs, then for every other pair between what the pairs
+    of the forest that are no links would have joined (``_rest``). Texts without words are copies of each other; a null doc_id comes after all others; of rows that repeat id
     and text one stays; the columns' names may be any.
     """
 
@@ -427,8 +482,14 @@ def keepers(docs: DataFrame, k: int = WIDE_K, most: int = MOST) -> DataFrame:
     for c in ("a", "b"):
         root = sure.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
         open_ = spread_join(open_, root, [c], "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
-    same = confirmed(docs, nodes, written(open_.filter("root_a <> root_b").select("a", "b"), "open"))
-    member = connected_components(sure.toDF("a", "b").unionByName(same))
+    open_ = written(open_.filter("root_a <> root_b").select("a", "b"), "open")
+    same = confirmed(docs, nodes, open_)
+    joined = written(sure.toDF("a", "b").unionByName(same), "joined")
+    member = connected_components(joined)
+    rest = _rest(nodes, joined, member, open_.join(same, ["a", "b"], "left_anti"), k, most)
+    more = None if rest is None else confirmed(docs, nodes, rest)
+    if more is not None and not more.isEmpty():
+        member = connected_components(joined.unionByName(more))
     stay = nodes.select("node", "first").join(member, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     id_, hash_ = fresh(docs.columns, "id", "hash")
     stay = written(stay.select(F.col("first.id").alias(id_), F.col("first.text_hash").alias(hash_)), "stay")
