@@ -130,3 +130,19 @@ def test_elements_are_taken_apart_once(spark):
     for found in (closure.complete_ways(rows, 0, 0, 1, 1), closure.with_referenced(rows.filter("osm_type = 'way'"), rows)):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Generate explode") == 0 and plan.count("MapInArrow") <= 2
+
+
+def test_small_relations_take_no_rounds(spark, monkeypatch):
+    """Ways of one task are stitched there: no table of darts is written, and the rings are those of the rounds."""
+    rng, names = random.Random(4), []
+    settled = assembly.settled
+    monkeypatch.setattr(assembly, "settled", lambda df, name="part": (names.append(name), settled(df, name))[1])
+    lines = {r: [(rng.choice(["outer", "inner"]), [(v, float(v), float(v * v % 7)) for v in (a, a + 100 * rng.randint(1, 9), b)]) for a, b in ((rng.randrange(5), rng.randrange(5)) for _ in range(rng.randint(1, 24)))] for r in range(60)}
+    members, ways = made(spark, lines)
+    ring = lambda df: sorted((r["relation_id"], r["inner"], r["ring_id"], [tuple(v) for v in r["ring"]]) for r in df.collect())
+    here = ring(assembly.rings(members, ways))
+    assert "darts" not in names and len({r[0] for r in here}) > 20 and max(len(r[3]) for r in here) > 6
+    for local in (0, 6):
+        monkeypatch.setattr(assembly, "LOCAL", local)
+        assert ring(assembly.rings(members, ways)) == here
+    assert "darts" in names
