@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pistespark.functions import geo
+from pistespark.shared import settled, spread_join
 
 #: Metres in a degree on the sphere that distances are taken on, and a margin for rounding.
 _SPHERE_DEGREE, _MARGIN = geo.RADIUS_M * math.pi / 180, 1.01
 #: Degrees of a cell for boundaries.
 CELL = 0.5
+#: Areas of a point that are one row.
+CHUNK = 4096
 
 
 def _row(lat: Column, size: float) -> Column:
@@ -55,6 +58,24 @@ def radius_join(features: DataFrame, areas: DataFrame, radius_m: float, lat: str
     return pairs.withColumn(out, geo.haversine(F.col(lat), F.col(lon), F.col(area_lat), F.col(area_lon))).filter(F.col(out) <= radius_m)
 
 
+def places(areas: DataFrame, lat: str = "area_lat", lon: str = "area_lon") -> tuple[DataFrame, DataFrame]:
+    """(the points of areas, each once; the areas by point), for ``radius_join`` with the points and ``with_areas`` after it.
+
+    However many areas are at a point, a feature meets it once, and all that is worked out for the pair is worked out once. Both
+    are tables, so Spark knows how large they are before it plans: while the points are few, features are not shuffled to meet them."""
+    rest = [c for c in areas.columns if c not in (lat, lon)]
+    there = areas.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    points = settled(there.groupBy(lat, lon).agg(F.ceil(F.count("*") / CHUNK).alias("_n")), "places")
+    part = F.pmod(F.xxhash64(*rest), F.col("_n")).alias("_part")
+    by_point = spread_join(there, points, [lat, lon]).groupBy(lat, lon, part).agg(F.collect_list(F.struct(*rest)).alias("_areas")).drop("_part")
+    return points.drop("_n"), settled(by_point, "areas")
+
+
+def with_areas(near: DataFrame, by_point: DataFrame, lat: str = "area_lat", lon: str = "area_lon") -> DataFrame:
+    """Rows with the point of an area as rows of each area there, with its columns in place of the point. by_point: as ``places`` gives it."""
+    return near.join(by_point, [lat, lon]).select(*[c for c in near.columns if c not in (lat, lon)], F.inline("_areas"))
+
+
 def representatives(areas: DataFrame, key: list[str], lat: str = "lat", lon: str = "lon") -> tuple[DataFrame, DataFrame]:
     """(areas that stand for all at their point, members): of areas at one point the least by ``key`` stands for them.
 

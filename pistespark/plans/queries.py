@@ -152,15 +152,12 @@ def way_from_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("way_id", F.size(g).cast("bigint").alias("refs"), F.round(total("lat"), 4).alias("lat_sum"), F.round(total("lon"), 4).alias("lon_sum"), F.round(F.element_at(g, 1)["lat"], 4).alias("first_lat"), F.round(F.element_at(g, -1)["lon"], 4).alias("last_lon"))
 
 
-def _near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of a way and an area at most RADIUS_M apart."""
-    centers = views.areas(spark, sf_dir).select("area_type", "area_id", F.col("lat").alias("area_lat"), F.col("lon").alias("area_lon"))
-    return spatial_join.radius_join(views.way_points(spark, sf_dir), centers, RADIUS_M)
-
-
 @_query(views.with_views("area", "way_vertex") + _LINES + _PAIRS + "SELECT way_id, area_type, area_id, round(d, 1) distance_m FROM pair")
 def nearby_radius_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _near(spark, sf_dir).select("way_id", "area_type", "area_id", F.round("distance_m", 1).alias("distance_m"))
+    points, centers = spatial_join.places(views.areas(spark, sf_dir).select("area_type", "area_id", F.col("lat").alias("area_lat"), F.col("lon").alias("area_lon")))
+    near = spatial_join.radius_join(views.way_points(spark, sf_dir).select("way_id", "lat", "lon"), points, RADIUS_M)
+    near = near.select("way_id", "area_lat", "area_lon", F.round("distance_m", 1).alias("distance_m"))
+    return spatial_join.with_areas(near, centers).select("way_id", "area_type", "area_id", "distance_m")
 
 
 def _nearby(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

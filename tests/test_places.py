@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pistespark.functions import geo
 from pistespark.operators import cells, cluster, enrich, rollup, spatial_join
-from pistespark.plans import jobs
+from pistespark.plans import jobs, queries
 
 AREAS = "area_type string, area_id long, area_lat double, area_lon double"
 
@@ -52,3 +52,22 @@ def test_points_at_one_place(spark):
     near = [k for k, lat, _ in rows if lat < 46]
     assert got == sorted((a, b) for a in near for b in near if a < b)
     assert {r["ordinal"]: r["cluster"] for r in cluster.single_linkage(points, 2000.0).collect()} == {k: 200 if k == 200 else 0 for k, *_ in rows}
+
+
+def test_areas_of_a_point_follow_the_join(spark, monkeypatch):
+    """A feature meets a point once, whatever areas are there, and then gets every one of them."""
+    monkeypatch.setattr(spatial_join, "CHUNK", 2)
+    areas = spark.createDataFrame([(i, None if i == 3 else "n", *([47.0, 11.0] if i < 7 else [47.001, 11.0] if i < 9 else [None, 11.0])) for i in range(10)], "area_id long, name string, area_lat double, area_lon double")
+    ways = spark.createDataFrame([(1, 47.0, 11.0), (2, 47.0, 11.001), (3, 49.0, 11.0)], "way_id long, lat double, lon double")
+    points, by_point = spatial_join.places(areas)
+    near = spatial_join.radius_join(ways, points, 2000.0)
+    assert points.count() == 2 and near.count() == 4 and by_point.count() >= 2 and sum(len(r["_areas"]) for r in by_point.collect()) == 9
+    assert spark.sql("SELECT xxhash64(-0.0D) = xxhash64(0.0D)").first()[0]  # what puts areas of equal points together
+    got = spatial_join.with_areas(near, by_point).select("way_id", "area_id", "name", "distance_m").collect()
+    want = spatial_join.radius_join(ways, areas, 2000.0).select("way_id", "area_id", "name", "distance_m").collect()
+    assert len(got) == 18 and sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_distances_are_worked_out_before_areas_follow(spark):
+    plan = queries.nearby_radius_join(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" in plan and plan.index("Generate inline") < plan.index("round(") and plan.count("ATAN2") <= 2
